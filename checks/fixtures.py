@@ -104,7 +104,14 @@ GRID_BOXES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One given table, with work for every core.
+
+    A table in fewer files than cores (here: one file with one row group) would be one
+    task from scan to shuffle. Tables in many files are read as they lie, unshuffled.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 def columns(spec: dict[str, str]) -> list[str]:

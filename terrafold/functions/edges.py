@@ -80,14 +80,7 @@ def _point_edge_sq(px: Column, py: Column, e: Column) -> Column:
     dx, dy = px - e["x0"], py - e["y0"]
     t = F.coalesce(F.try_divide(dx * ex + dy * ey, ex * ex + ey * ey), F.lit(0.0))
     t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
-    return F.pow(dx - t * ex, F.lit(2.0)) + F.pow(dy - t * ey, F.lit(2.0))
-
-
-def _point_square_sq(px: Column, py: Column, x: Column, y: Column, half: float) -> Column:
-    """Squared distance from a point to an axis-aligned square."""
-    dx = F.greatest(F.abs(px - x) - half, F.lit(0.0))
-    dy = F.greatest(F.abs(py - y) - half, F.lit(0.0))
-    return dx * dx + dy * dy
+    return (dx - t * ex) * (dx - t * ex) + (dy - t * ey) * (dy - t * ey)
 
 
 def edge_near_square(e: Column, x: Column, y: Column, half: float, distance: Column) -> Column:
@@ -95,25 +88,37 @@ def edge_near_square(e: Column, x: Column, y: Column, half: float, distance: Col
 
     Two convex shapes that do not meet are nearest at a corner of one of them, so either
     they meet, or an end of the segment is near the square, or a corner of the square is
-    near the segment. The envelope comparison comes first and settles most pairs.
+    near the segment. A corner whose foot falls beyond an end is settled by that end,
+    which leaves the corners with a foot on the segment: no division is needed. The
+    envelope comparison comes first and settles most pairs.
     """
     reach = distance + half
     d2 = distance * distance
+    ex, ey = e["x1"] - e["x0"], e["y1"] - e["y0"]
+    len2 = ex * ex + ey * ey
+    dx, dy = x - e["x0"], y - e["y0"]
     close = (
         (F.least(e["x0"], e["x1"]) <= x + reach)
         & (F.greatest(e["x0"], e["x1"]) >= x - reach)
         & (F.least(e["y0"], e["y1"]) <= y + reach)
         & (F.greatest(e["y0"], e["y1"]) >= y - reach)
     )
-    meets = edge_hits_box(e, x - half, y - half, x + half, y + half)
-    ends = (_point_square_sq(e["x0"], e["y0"], x, y, half) <= d2) | (
-        _point_square_sq(e["x1"], e["y1"], x, y, half) <= d2
-    )
-    corners = F.lit(False)
+
+    def end_near(ux: Column, uy: Column) -> Column:
+        gx = F.greatest(F.abs(ux) - half, F.lit(0.0))
+        gy = F.greatest(F.abs(uy) - half, F.lit(0.0))
+        return gx * gx + gy * gy <= d2
+
+    def corner_near(sx: float, sy: float) -> Column:
+        cx, cy = dx + sx, dy + sy
+        along, across = cx * ex + cy * ey, cx * ey - cy * ex
+        return (along > 0) & (along < len2) & (across * across <= d2 * len2)
+
+    near = edge_hits_box(e, x - half, y - half, x + half, y + half) | end_near(dx, dy) | end_near(dx - ex, dy - ey)
     for sx in (-half, half):
         for sy in (-half, half):
-            corners = corners | (_point_edge_sq(x + sx, y + sy, e) <= d2)
-    return close & (meets | ends | corners)
+            near = near | corner_near(sx, sy)
+    return close & near
 
 
 def edge_near_point(e: Column, x: Column, y: Column, distance: Column) -> Column:

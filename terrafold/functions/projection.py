@@ -14,6 +14,8 @@ from types import SimpleNamespace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrafold.functions.staging import computed_once
+
 # WGS84 ellipsoid and the UTM grid.
 SEMI_MAJOR = 6378137.0
 FLATTENING = 1.0 / 298.257223563
@@ -140,7 +142,7 @@ def project_columns(df: DataFrame, lon: str, lat: str, epsg: int, x: str = "x",
     xi, eta = _sphere(_SPARK, F.col(lon), F.col(lat), epsg)
     staged = df.withColumns({"__xi": xi, "__eta": eta})
     gx, gy = _grid(_SPARK, F.col("__xi"), F.col("__eta"), epsg)
-    return staged.withColumns({x: gx, y: gy}).drop("__xi", "__eta")
+    return computed_once(staged, {x: gx, y: gy}).drop("__xi", "__eta")
 
 
 def unproject_columns(df: DataFrame, x: str, y: str, epsg: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -150,7 +152,7 @@ def unproject_columns(df: DataFrame, x: str, y: str, epsg: int, lon: str = "lon"
     chi, lam = _conformal(_SPARK, F.col("__xi"), F.col("__eta"))
     staged = staged.withColumns({"__chi": chi, "__lam": lam})
     glon, glat = _geographic(_SPARK, F.col("__chi"), F.col("__lam"), epsg)
-    return staged.withColumns({lon: glon, lat: glat}).drop("__xi", "__eta", "__chi", "__lam")
+    return computed_once(staged, {lon: glon, lat: glat}).drop("__xi", "__eta", "__chi", "__lam")
 
 
 def project_vertices(points: Column, epsg: int) -> Column:

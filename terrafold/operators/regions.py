@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import edges as E
 from terrafold.functions.projection import project_vertices
+from terrafold.functions.staging import closed, computed_once
 from terrafold.operators.sizing import BROADCAST_MAX_BYTES, ROWS_PER_TASK, tile_join
 
-DEFAULT_TILE_M = 600.0
+DEFAULT_TILE_M = 240.0
 
 _REGION_COLUMNS = ("region_id", "region_kind", "areal", "buffer_m", "edges", "epsg")
 
@@ -128,18 +129,19 @@ def _tile(value: Column, tile_m: float) -> Column:
     return F.floor(value / tile_m)
 
 
-def _overlaps(lo: Column, hi: Column, tile: Column, pad: Column, tile_m: float) -> Column:
-    """Does [lo - pad, hi + pad] meet the tile's interval?"""
-    return (lo - pad <= (tile + 1) * tile_m) & (hi + pad >= tile * tile_m)
-
-
 def tile_regions(regions: DataFrame, half_pixel: float, tile_m: float = DEFAULT_TILE_M) -> DataFrame:
-    """One row per region and tile, holding only the edges that matter in the tile.
+    """Regions cut up by tile, holding only the edges that matter there.
 
     Pixels of a tile are decided by (a) edges near the tile, for distance, and (b) for
     areal shapes, edges to the right in the tile's row band, for ray crossings. All other
-    edges are dropped, so a long line costs each pixel a few edges rather than all, and a
-    tile no edge can reach is not emitted for lines.
+    edges are dropped, so a long line costs each pixel a few edges rather than all. A
+    region's edges in a tile become one row each:
+
+    - ``edge`` is the row's own edge and ``earlier`` the region's edges before it in the
+      tile, so that a pixel near several can be counted for the first only;
+    - an areal shape adds one row without an edge, where ``earlier`` holds all near edges
+      and ``ray_edges`` those to cross. Where no edge is near, the tile is wholly inside
+      (``full``, no edges kept) or wholly outside (dropped).
     """
     pad = F.col("buffer_m") + 2.0 * half_pixel
     rows = regions.withColumn("__pad", pad).withColumn(
@@ -151,22 +153,26 @@ def tile_regions(regions: DataFrame, half_pixel: float, tile_m: float = DEFAULT_
             )
         ),
     )
-    rows = rows.withColumn(
-        "__band",
-        F.filter(
-            "edges",
-            lambda e: _overlaps(
-                F.least(e["y0"], e["y1"]), F.greatest(e["y0"], e["y1"]), F.col("tile_y"), F.col("__pad"), tile_m
-            ),
-        ),
+    keep = [c for c in regions.columns if c not in ("edges", "min_x", "min_y", "max_x", "max_y", "epsg")]
+    band_y0, band_y1 = F.col("tile_y") * tile_m, (F.col("tile_y") + 1) * tile_m
+    banded = computed_once(
+        rows,
+        {
+            "__band": F.filter(
+                "edges",
+                lambda e: (F.least(e["y0"], e["y1"]) - F.col("__pad") <= band_y1)
+                & (F.greatest(e["y0"], e["y1"]) + F.col("__pad") >= band_y0),
+            )
+        },
     ).filter(F.size("__band") > 0)
-    band = rows.withColumns(
+    spans = computed_once(
+        banded.select(*keep, "__pad", "tile_y", "__band"),
         {
             "__lo": F.array_min(F.transform("__band", lambda e: F.least(e["x0"], e["x1"]))),
             "__hi": F.array_max(F.transform("__band", lambda e: F.greatest(e["x0"], e["x1"]))),
-        }
+        },
     )
-    tiles = band.withColumn(
+    tiles = spans.withColumn(
         "tile_x",
         F.explode(
             F.sequence(
@@ -175,22 +181,44 @@ def tile_regions(regions: DataFrame, half_pixel: float, tile_m: float = DEFAULT_
             )
         ),
     )
-    # Only edges whose slanted strip, not merely envelope, reaches the tile count as near.
-    tx0, ty0 = F.col("tile_x") * tile_m - F.col("__pad"), F.col("tile_y") * tile_m - F.col("__pad")
-    tx1, ty1 = tx0 + tile_m + F.col("__pad") * 2.0, ty0 + tile_m + F.col("__pad") * 2.0
-    local = tiles.withColumns(
+    # An edge is near when it, not merely its envelope, reaches the grown tile.
+    x0, y0 = F.col("tile_x") * tile_m - F.col("__pad"), F.col("tile_y") * tile_m - F.col("__pad")
+    x1, y1 = x0 + tile_m + F.col("__pad") * 2.0, y0 + tile_m + F.col("__pad") * 2.0
+    none = F.array().cast(E.EDGES_TYPE)
+    local = computed_once(
+        tiles,
         {
-            "near_edges": F.filter("__band", lambda e: E.edge_hits_box(e, tx0, ty0, tx1, ty1)),
-            "ray_edges": F.when(
+            "__near": F.filter("__band", lambda e: E.edge_hits_box(e, x0, y0, x1, y1)),
+            "__ray": F.when(
                 F.col("areal"),
                 F.filter("__band", lambda e: F.greatest(e["x0"], e["x1"]) >= F.col("tile_x") * tile_m),
-            ).otherwise(F.array().cast(E.EDGES_TYPE)),
-        }
+            ).otherwise(none),
+        },
     )
-    keep = [c for c in regions.columns if c not in ("edges", "min_x", "min_y", "max_x", "max_y", "epsg")]
-    return local.filter((F.size("near_edges") > 0) | (F.size("ray_edges") > 0)).select(
-        *keep, "tile_x", "tile_y", "near_edges", "ray_edges"
+    middle = E.contains_point(F.col("__ray"), (F.col("tile_x") + 0.5) * tile_m, (F.col("tile_y") + 0.5) * tile_m)
+    split = F.col("areal") & (F.size("__near") > 0)
+    full = computed_once(
+        local, {"__full": F.when(F.col("areal") & (F.size("__near") == 0), middle).otherwise(False)}
+    )
+    member = lambda e, earlier, ray, is_full: F.struct(
+        e.alias("edge"), earlier.alias("earlier"), ray.alias("ray_edges"), is_full.alias("full")
     )
+    own = F.transform(
+        "__near", lambda e, i: member(e, F.slice("__near", 1, i), none, F.lit(False))
+    )
+    inner = F.when(
+        split | F.col("__full"),
+        F.array(
+            member(
+                F.lit(None).cast(E.EDGE_TYPE),
+                F.col("__near"),
+                F.when(F.col("__full"), none).otherwise(F.col("__ray")),
+                F.col("__full"),
+            )
+        ),
+    )
+    listed = F.concat(own, F.coalesce(inner, F.slice(own, 1, 0)))
+    return full.select(*keep, "tile_x", "tile_y", F.inline(listed))
 
 
 def pixel_region_join(
@@ -205,27 +233,32 @@ def pixel_region_join(
 ) -> DataFrame:
     """Pixels with every region they belong to, by an equi-join on square tiles.
 
-    A pixel lies in exactly one tile, so no pair is found twice. ``spread`` names pixel
-    columns whose hash divides the rows of a heavy tile among tasks.
+    A pixel lies in exactly one tile and is counted for the first edge it is near to, so
+    no pair is found twice and nothing needs a distinct. The test of a pixel against one
+    edge is compiled arithmetic; arrays are searched only for pixels that pass it and have
+    earlier edges to rule out. ``spread`` names pixel columns whose hash divides the rows
+    of a heavy tile among tasks.
     """
     tiled = pixels.withColumns(
         {"tile_x": _tile(F.col("x"), tile_m), "tile_y": _tile(F.col("y"), tile_m)}
     )
     areas = tile_regions(regions, half_pixel, tile_m)
-    x, y = F.col("x"), F.col("y")
+    x, y, buffer_m = F.col("x"), F.col("y"), F.col("buffer_m")
     if touch == "all":
-        near = F.exists("near_edges", lambda e: E.edge_near_square(e, x, y, half_pixel, F.col("buffer_m")))
+        near = lambda e: E.edge_near_square(e, x, y, half_pixel, buffer_m)
     elif touch == "center":
-        near = F.exists("near_edges", lambda e: E.edge_near_point(e, x, y, F.col("buffer_m"))) & (
-            F.col("buffer_m") > 0
-        )
+        near = lambda e: (buffer_m > 0) & E.edge_near_point(e, x, y, buffer_m)
     else:
         raise ValueError(f"touch must be 'all' or 'center', got {touch!r}")
-    member = near | (F.col("areal") & E.contains_point(F.col("ray_edges"), x, y))
+    edge, earlier = F.col("edge"), F.col("earlier")
+    hit = F.when(edge.isNotNull(), near(edge)).otherwise(
+        F.col("full") | E.contains_point(F.col("ray_edges"), x, y)
+    )
+    first = (F.size(earlier) == 0) | ~F.exists(earlier, near)
     joined = tile_join(
-        tiled, areas, ["tile_x", "tile_y"], spread or ["x", "y"], member, rows_per_task, max_bytes
+        tiled, areas, ["tile_x", "tile_y"], spread or ["x", "y"], closed(hit & first), rows_per_task, max_bytes
     )
-    return joined.drop("tile_x", "tile_y", "near_edges", "ray_edges")
+    return joined.drop("tile_x", "tile_y", "edge", "earlier", "ray_edges", "full")
 
 
 def block_region_join(

@@ -8,16 +8,21 @@ larger than one file is ever held.
 from __future__ import annotations
 
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold.functions.scene_ids import path_parent_name, path_stem, strip_file_scheme
 
+# Ship these helpers inside the task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_FIELDS = (
     "block_row bigint, block_col bigint, first_row bigint, first_col bigint, x0 double, y0 double, "
     "pixel_size double, width int, height int, epsg int, nodata double, data array<double>"
