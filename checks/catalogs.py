@@ -187,7 +187,7 @@ def catalog_assets(spark, sf_dir):
         "scenes files boxes",
         "SELECT scene_id AS id, datetime, cloud_cover, round(west, 6) AS west, round(north, 6) AS north, "
         "'EPSG:' || CAST(epsg AS string) AS code, lines, n_bands + 1 AS n_assets, 'landsat-9-scenes' AS collection, "
-        "'data/raw/' || scene_id || '/' || scene_id || '_MTL.json' AS metadata_href, (SELECT count(*) FROM built) AS n_items FROM built",
+        "'data/raw/' || scene_id || '/' || scene_id || '_MTL.json' AS metadata_href FROM built",
         **_ITEMS,
     ),
 )
@@ -195,7 +195,6 @@ def catalog_json(spark, sf_dir):
     built, collection = items(spark, sf_dir, href_bucket=None)
     path = P.write_catalog(built, collection, COLLECTION, fresh_path(spark, "catalog"))
     read = D.read_items(spark, f"{path}/items", one_document_per_line=True)
-    count = read.agg(F.count(F.lit(1)).alias("n_items"))
     asset = F.col("assets")
     return read.select(
         "id", _when(F.col("datetime")).alias("datetime"), "cloud_cover",
@@ -203,4 +202,4 @@ def catalog_json(spark, sf_dir):
         F.col("properties.`proj:code`").alias("code"), F.col("properties.`proj:shape`")[0].alias("lines"),
         F.size(F.map_keys(asset)).cast("bigint").alias("n_assets"), "collection",
         asset["MTL_JSON"]["href"].alias("metadata_href"),
-    ).join(F.broadcast(count))
+    )

@@ -99,10 +99,12 @@ def scene_assets(
 ) -> DataFrame:
     """One row per scene: ``bands`` (sorted labels) and ``hrefs`` (label to address).
 
-    Repeated files of one band collapse first, so the lists hold at most one entry per
-    band label. Addresses are bucket keys, or the local ``path`` when no bucket is given.
+    Only the declared bands count, and repeated files of one band collapse first, so the
+    lists hold at most six entries. Addresses are bucket keys, or the local ``path`` when
+    no bucket is given.
     """
-    one = bands.groupBy("scene_id", "band").agg(F.min("path").alias("path"))
+    declared = bands.filter(F.col("band").isin([b[0] for b in LANDSAT9_BANDS]))
+    one = declared.groupBy("scene_id", "band").agg(F.min("path").alias("path"))
     href = (
         F.col("path")
         if href_bucket is None
@@ -182,7 +184,6 @@ def _utc_text(ts: Column) -> Column:
 def item_documents(items: DataFrame, collection_id: str) -> DataFrame:
     """``scene_id`` and the nested item struct ``item``."""
     ring = bbox_ring(F.col("west"), F.col("south"), F.col("east"), F.col("north"))
-    known = F.filter("bands", lambda b: b.isin([b0[0] for b0 in LANDSAT9_BANDS]))
     lit_array = lambda values: F.array(*[F.lit(v) for v in values])
     band_assets = F.transform(
         F.map_entries("hrefs"),
@@ -219,7 +220,7 @@ def item_documents(items: DataFrame, collection_id: str) -> DataFrame:
         F.lit("L2SP").alias("landsat:processing_level"),
         F.lit("02").alias("landsat:collection_number"),
         F.lit("T1").alias("landsat:collection_category"),
-        F.transform(known, _band_struct).alias("eo:bands"),
+        F.transform("bands", _band_struct).alias("eo:bands"),
         F.col("cloud_cover").alias("eo:cloud_cover"),
         F.concat(F.lit("EPSG:"), F.col("epsg").cast("string")).alias("proj:code"),
         F.col("proj_shape").alias("proj:shape"),

@@ -221,6 +221,30 @@ def tile_regions(regions: DataFrame, half_pixel: float, tile_m: float = DEFAULT_
     return full.select(*keep, "tile_x", "tile_y", F.inline(listed))
 
 
+def tile_bound(regions: DataFrame, half_pixel: float, tile_m: float) -> tuple[int, int]:
+    """Upper bound of (rows, bytes) that :func:`tile_regions` can produce.
+
+    Read off the regions alone: every edge reaches at most the tiles of its grown
+    envelope, and every tile row holds at most all edges of its region twice.
+    """
+    pad = (F.col("buffer_m") + 2.0 * half_pixel) * 2.0
+    tiles = lambda width, height: ((width + pad) / tile_m + 2.0) * ((height + pad) / tile_m + 2.0)
+    along_edges = F.aggregate(
+        "edges",
+        F.lit(0.0),
+        lambda total, e: total + tiles(F.abs(e["x1"] - e["x0"]), F.abs(e["y1"] - e["y0"])),
+    )
+    whole = F.when(
+        F.col("areal"), tiles(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    ).otherwise(0.0)
+    rows = along_edges + whole
+    row = regions.agg(
+        F.coalesce(F.sum(rows), F.lit(0.0)).alias("n"),
+        F.coalesce(F.sum(rows * (F.size("edges") * 80.0 + 160.0)), F.lit(0.0)).alias("b"),
+    ).first()
+    return int(row["n"]), int(row["b"])
+
+
 def pixel_region_join(
     pixels: DataFrame,
     regions: DataFrame,
@@ -255,8 +279,10 @@ def pixel_region_join(
         F.col("full") | E.contains_point(F.col("ray_edges"), x, y)
     )
     first = (F.size(earlier) == 0) | ~F.exists(earlier, near)
+    bound = tile_bound(regions, half_pixel, tile_m)
     joined = tile_join(
-        tiled, areas, ["tile_x", "tile_y"], spread or ["x", "y"], closed(hit & first), rows_per_task, max_bytes
+        tiled, areas, ["tile_x", "tile_y"], spread or ["x", "y"], closed(hit & first),
+        rows_per_task, max_bytes, bound,
     )
     return joined.drop("tile_x", "tile_y", "edge", "earlier", "ray_edges", "full")
 

@@ -90,10 +90,18 @@ def tile_join(
     condition: Column,
     rows_per_task: int = ROWS_PER_TASK,
     max_bytes: int = BROADCAST_MAX_BYTES,
+    bound: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Inner join of a large table with tiled regions: broadcast when the tiles were
-    measured to be small, a split shuffle join otherwise."""
-    side, small = broadcast_if_bounded(other, max_bytes=max_bytes)
+    """Inner join of a large table with tiled regions: broadcast when the tiles are known
+    to be small, a split shuffle join otherwise.
+
+    ``bound`` is an upper bound of the tiles' (rows, bytes) when the caller has one that is
+    cheaper than counting; only where it is too large are the tiles counted themselves.
+    """
+    if bound is not None and bound[0] <= BROADCAST_MAX_ROWS and bound[1] <= max_bytes:
+        side, small = F.broadcast(other), True
+    else:
+        side, small = broadcast_if_bounded(other, max_bytes=max_bytes)
     if small:
         return big.join(side, keys, "inner").filter(condition)
     return split_join(big, other, keys, spread, condition, rows_per_task)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Ranges each column is cut into when exact quantiles are sought.
+_RANGES = 200
+
 
 def feature_summary(features: DataFrame) -> DataFrame:
     """Rows and distinct scenes. Scenes collapse to one row each before they are counted."""
@@ -20,29 +23,75 @@ def feature_summary(features: DataFrame) -> DataFrame:
     )
 
 
+def exact_quantiles(pairs: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Interpolated quantiles per ``column_name`` of its ``value``s, as ``q0, q1, ...``.
+
+    No group is gathered anywhere. Equal values collapse to (value, count) first; a sketch
+    of fixed size cuts each column into ranges; range totals tell which ranges hold the
+    wanted ranks; and only those are ranked, each on its own.
+    """
+    valued = pairs.filter(F.col("value").isNotNull())
+    counts = valued.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    steps = F.array(*[F.lit(i / _RANGES) for i in range(1, _RANGES)])
+    cuts = valued.groupBy("column_name").agg(
+        F.percentile_approx("value", steps, F.lit(10 * _RANGES)).alias("cuts")
+    )
+    placed = counts.join(F.broadcast(cuts), "column_name").select(
+        "column_name", "value", "n",
+        F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("range_no"),
+    )
+    # At most _RANGES rows per column from here on.
+    totals = placed.groupBy("column_name", "range_no").agg(F.sum("n").alias("range_n"))
+    order = Window.partitionBy("column_name").orderBy("range_no")
+    starts = totals.withColumns(
+        {
+            "start": F.sum("range_n").over(order) - F.col("range_n"),
+            "total": F.sum("range_n").over(Window.partitionBy("column_name")),
+        }
+    )
+    wanted = F.array(
+        *[
+            F.struct(F.lit(k).alias("k"), (F.lit(float(p)) * (F.col("total") - 1)).alias("position"))
+            for k, p in enumerate(probabilities)
+        ]
+    )
+    ranks = starts.select("column_name", "range_no", "start", "range_n", F.inline(wanted)).select(
+        "*", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank")
+    )
+    holding = ranks.filter(
+        (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("range_n"))
+    ).drop("range_n")
+    within = Window.partitionBy("column_name", "range_no", "k", "rank").orderBy("value")
+    ranked = placed.join(F.broadcast(holding), ["column_name", "range_no"]).withColumn(
+        "last", F.col("start") + F.sum("n").over(within)
+    )
+    found = ranked.filter((F.col("last") > F.col("rank")) & (F.col("last") - F.col("n") <= F.col("rank")))
+    # Each found value weighs by how close its rank is to the wanted position.
+    part = F.col("value") * (F.lit(1.0) - F.abs(F.col("position") - F.col("rank")))
+    return found.groupBy("column_name").agg(
+        *[F.sum(F.when(F.col("k") == k, part)).alias(f"q{k}") for k in range(len(probabilities))]
+    )
+
+
 def describe(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum, one row per column.
 
     All columns are unfolded to (column, value) first, so one pass serves them all.
     """
-    pairs = F.array(
+    named = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
     )
+    pairs = features.select(F.inline(named))
     value = F.col("value")
-    return (
-        features.select(F.inline(pairs))
-        .groupBy("column_name")
-        .agg(
-            F.count(value).alias("n"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"),
-            F.max(value).alias("max"),
-        )
-        .select(
-            "column_name", "n", "mean", "std", "min",
-            F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q50"), F.col("__q")[2].alias("q75"),
-            "max",
-        )
+    moments = pairs.groupBy("column_name").agg(
+        F.count(value).alias("n"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    )
+    quartiles = exact_quantiles(pairs, (0.25, 0.5, 0.75))
+    return moments.join(quartiles, "column_name", "left").select(
+        "column_name", "n", "mean", "std", "min",
+        F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max",
     )

@@ -267,6 +267,14 @@ def test_summary_of_nothing(spark):
     assert (row["n_rows"], row["n_scenes"]) == (0, 0)
 
 
+@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0] * 40 + [7.0], [float(i * i % 97) for i in range(1000)]])
+def test_exact_quantiles(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
+    row = summaries.describe(df, ["v"]).first()
+    assert row["n"] == len(values) and row["max"] == max(values)
+    assert [row["q25"], row["q50"], row["q75"]] == pytest.approx(list(np.percentile(values, [25, 50, 75])))
+
+
 def test_shared_folder_is_the_named_one(spark):
     assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
