@@ -251,7 +251,6 @@ def pixel_region_join(
     half_pixel: float = 15.0,
     tile_m: float = DEFAULT_TILE_M,
     touch: str = "all",
-    spread: list[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
@@ -260,8 +259,7 @@ def pixel_region_join(
     A pixel lies in exactly one tile and is counted for the first edge it is near to, so
     no pair is found twice and nothing needs a distinct. The test of a pixel against one
     edge is compiled arithmetic; arrays are searched only for pixels that pass it and have
-    earlier edges to rule out. ``spread`` names pixel columns whose hash divides the rows
-    of a heavy tile among tasks.
+    earlier edges to rule out.
     """
     tiled = pixels.withColumns(
         {"tile_x": _tile(F.col("x"), tile_m), "tile_y": _tile(F.col("y"), tile_m)}
@@ -281,8 +279,7 @@ def pixel_region_join(
     first = (F.size(earlier) == 0) | ~F.exists(earlier, near)
     bound = tile_bound(regions, half_pixel, tile_m)
     joined = tile_join(
-        tiled, areas, ["tile_x", "tile_y"], spread or ["x", "y"], closed(hit & first),
-        rows_per_task, max_bytes, bound,
+        tiled, areas, ["tile_x", "tile_y"], closed(hit & first), rows_per_task, max_bytes, bound
     )
     return joined.drop("tile_x", "tile_y", "edge", "earlier", "ray_edges", "full")
 
@@ -324,7 +321,6 @@ def block_region_join(
         & (F.col("tile_y") == _tile(corner_y, tile_m))
     )
     joined = tile_join(
-        tiles(blocks, ""), tiles(grown, "region_"), ["tile_x", "tile_y"],
-        ["min_x", "min_y"], meets, rows_per_task, max_bytes,
+        tiles(blocks, ""), tiles(grown, "region_"), ["tile_x", "tile_y"], meets, rows_per_task, max_bytes
     )
     return joined.drop("tile_x", "tile_y")

@@ -114,18 +114,29 @@ def test_tile_join_equals_every_pair(world, touch, tile_m):
 
 def test_shuffled_and_split_join_gives_the_same(world):
     pixels, rows, px, regs = world
-    joined = regions.pixel_region_join(px, regs, 15.0, spread=["pid"], rows_per_task=100, max_bytes=0)
+    joined = regions.pixel_region_join(px, regs, 15.0, rows_per_task=100, max_bytes=0)
     assert "BroadcastNestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
     assert pairs(joined) == brute(pixels, rows, 15.0, "all")
 
 
 def test_split_join_spreads_a_heavy_key(spark):
-    big = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
-    other = spark.range(10_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    out = sizing.split_join(big, other, ["k"], ["id"], rows_per_task=500)
-    plain = big.join(other, "k")
+    # A third of all rows share key 0, and half of those are copies of one row.
+    row = F.when(F.col("id") % 6 == 0, -1).otherwise(F.col("id"))
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    big = spark.range(10_000).select(key.alias("k"), row.alias("v"))
+    other = spark.range(10_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    other = other.unionByName(other.filter("k = 0").withColumn("w", F.lit(-5)))
+    out = sizing.split_join(big, other, ["k"], rows_per_task=500)
+    plain = big.join(other, "k").select(*out.columns)
     assert out.count() == plain.count()
-    assert out.exceptAll(plain.select(*out.columns)).count() == 0
+    assert out.exceptAll(plain).count() == 0
+    # Few rows but many pairs are split as well.
+    paired = sizing.split_join(big, other, ["k"], pairs_per_task=700)
+    assert "__share" in paired._jdf.queryExecution().executedPlan().toString()
+    assert paired.count() == plain.count() and paired.select(*out.columns).exceptAll(plain).count() == 0
+    shares = sizing.split_join(big, other, ["k"], rows_per_task=100_000)
+    assert "__share" not in shares._jdf.queryExecution().executedPlan().toString()
+    assert shares.select(*out.columns).exceptAll(plain).count() == 0
 
 
 def test_measured_broadcast(spark):
