@@ -37,31 +37,23 @@ def with_axial(df: DataFrame, resolution: int, x: str = "x", y: str = "y", q: st
     most from the other two.
     """
     s = edge_m(resolution)
-    fq = (F.col(x) * (SQRT3 / 3.0) - F.col(y) / 3.0) / s
-    fr = F.col(y) * (2.0 / 3.0) / s
-    df = df.withColumns({"__fq": fq, "__fr": fr})
-    df = df.withColumns(
-        {
-            "__rq": F.floor(F.col("__fq") + 0.5),
-            "__rr": F.floor(F.col("__fr") + 0.5),
-            "__rs": F.floor(-F.col("__fq") - F.col("__fr") + 0.5),
-        }
+    staged = df.selectExpr(
+        "*",
+        f"({x} * {SQRT3 / 3.0!r}D - {y} / 3D) / {s!r}D AS __fq",
+        f"{y} * {2.0 / 3.0!r}D / {s!r}D AS __fr",
     )
-    df = df.withColumns(
-        {
-            "__dq": F.abs(F.col("__rq") - F.col("__fq")),
-            "__dr": F.abs(F.col("__rr") - F.col("__fr")),
-            "__ds": F.abs(F.col("__rs") + F.col("__fq") + F.col("__fr")),
-        }
+    staged = staged.selectExpr(
+        "*", "floor(__fq + 0.5D) AS __rq", "floor(__fr + 0.5D) AS __rr", "floor(-__fq - __fr + 0.5D) AS __rs"
+    )
+    staged = staged.selectExpr(
+        "*", "abs(__rq - __fq) AS __dq", "abs(__rr - __fr) AS __dr", "abs(__rs + __fq + __fr) AS __ds"
+    )
+    move_q = "__dq > __dr AND __dq > __ds"
+    return staged.selectExpr(
+        *[f"`{c}`" for c in df.columns if c not in (q, r)],
+        f"CASE WHEN {move_q} THEN -__rr - __rs ELSE __rq END AS {q}",
+        f"CASE WHEN NOT ({move_q}) AND __dr > __ds THEN -__rq - __rs ELSE __rr END AS {r}",
     )
-    move_q = (F.col("__dq") > F.col("__dr")) & (F.col("__dq") > F.col("__ds"))
-    move_r = ~move_q & (F.col("__dr") > F.col("__ds"))
-    return df.withColumns(
-        {
-            q: F.when(move_q, -F.col("__rr") - F.col("__rs")).otherwise(F.col("__rq")),
-            r: F.when(move_r, -F.col("__rq") - F.col("__rs")).otherwise(F.col("__rr")),
-        }
-    ).drop("__fq", "__fr", "__rq", "__rr", "__rs", "__dq", "__dr", "__ds")
 
 
 def center_x(q: Column, r: Column, resolution: int) -> Column:
