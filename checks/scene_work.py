@@ -67,19 +67,24 @@ def object_keys(spark, sf_dir):
     )
 
 
+_ROWS = [f"{n:03d}" for n in range(20, 140)]
+_DATES = [f"202407{d:02d}" for d in range(5, 15)]
+
+
+def _listed(values: list[str]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
 @query(
     "scene_filter",
     X.with_(
         "scenes",
-        "SELECT scene_id FROM scenes WHERE substr(scene_id, 11, 3) = '001' AND substr(scene_id, 14, 3) IN ('032','033','250','251') "
-        "AND substr(scene_id, 18, 8) IN ('20240705','20240706','20240727','20240728')",
+        "SELECT scene_id FROM scenes WHERE substr(scene_id, 11, 3) = '000' "
+        f"AND substr(scene_id, 14, 3) IN {_listed(_ROWS)} AND substr(scene_id, 18, 8) IN {_listed(_DATES)}",
     ),
 )
 def scene_filter(spark, sf_dir):
-    return S.filter_scenes(
-        X.scenes(spark, sf_dir).select("scene_id"), "001", ["032", "033", "250", "251"],
-        ["20240705", "20240706", "20240727", "20240728"],
-    )
+    return S.filter_scenes(X.scenes(spark, sf_dir).select("scene_id"), "000", _ROWS, _DATES)
 
 
 _FOUND = {

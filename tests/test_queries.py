@@ -27,7 +27,8 @@ def test_entry(spark):
 
 # Row counts that must be positive even on the smallest tables, so no oracle passes empty.
 @pytest.mark.parametrize(
-    "name", ["corridor_pixel_join", "polygon_zonal_stats", "cells_in_footprint", "missing_bands", "catalog_assets"]
+    "name",
+    ["corridor_pixel_join", "polygon_zonal_stats", "cells_in_footprint", "missing_bands", "catalog_assets", "scene_filter"],
 )
 def test_not_vacuous(spark, name):
     assert queries()[name](spark, SF).count() > 0
