@@ -6,6 +6,7 @@ import compare
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_oracle(spark, con, name):
     assert name in oracle_sql()
     assert compare.differences(queries()[name](spark, SF), con, oracle_sql()[name]) == []
