@@ -50,12 +50,12 @@ def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
-def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes; at least one row each."""
+def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES, most: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes and at most ``most`` rows; at least one row each."""
     row, rows = 0, len(offsets) - 1
     while row < rows:
         end = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
-        end = min(max(end, row + 1), rows)
+        end = min(max(end, row + 1), row + most, rows)
         yield row, end
         row = end
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import bpe, packing
+from terrafold.llm import bpe, langid, minhash, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,21 @@ def byte_bpe(spark, sf_dir):
 def packed(spark, sf_dir):
     """All documents in sequences of 1024 ids."""
     return packing.pack(documents(spark, sf_dir))
+
+
+@query("op3_language_id")
+def language(spark, sf_dir):
+    """The language of every text."""
+    return langid.predictions(documents(spark, sf_dir))
+
+
+@query("op4_near_duplicates")
+def near_duplicates(spark, sf_dir):
+    """The group of every document."""
+    return minhash.groups(documents(spark, sf_dir))
+
+
+@query("op10_sharding")
+def sharded(spark, sf_dir):
+    """All documents in 24 shards of near equal bytes."""
+    return sharding.shard(documents(spark, sf_dir))
