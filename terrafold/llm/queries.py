@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import bpe, langid, minhash, packing, sharding
+from terrafold.llm import bpe, langid, minhash, packing, pii, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,15 @@ def near_duplicates(spark, sf_dir):
 def sharded(spark, sf_dir):
     """All documents in 24 shards of near equal bytes."""
     return sharding.shard(documents(spark, sf_dir))
+
+
+@query("op7_fingerprints")
+def fingerprinted(spark, sf_dir):
+    """Fingerprints of every text and of its edited text."""
+    return simhash.fingerprints(documents(spark, sf_dir))
+
+
+@query("op9_pseudonyms")
+def pseudonymised(spark, sf_dir):
+    """Every text with personal data replaced by pseudonyms."""
+    return pii.protected(documents(spark, sf_dir))
