@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import bpe, langid, minhash, packing, pii, sharding, simhash
+from terrafold.llm import bpe, langid, minhash, packing, pii, sharding, simhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,9 @@ def fingerprinted(spark, sf_dir):
 def pseudonymised(spark, sf_dir):
     """Every text with personal data replaced by pseudonyms."""
     return pii.protected(documents(spark, sf_dir))
+
+
+@query("op2_repeated_strings")
+def unrepeated(spark, sf_dir):
+    """What repeated strings of 400 bytes take out of every text."""
+    return suffix.removal(documents(spark, sf_dir))
