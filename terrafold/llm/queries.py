@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import bpe, langid, minhash, packing, pii, sharding, simhash, suffix
+from terrafold.llm import bpe, langid, minhash, packing, pii, sharding, simhash, suffix, topk, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,15 @@ def pseudonymised(spark, sf_dir):
 def unrepeated(spark, sf_dir):
     """What repeated strings of 400 bytes take out of every text."""
     return suffix.removal(documents(spark, sf_dir))
+
+
+@query("op5_top_products")
+def top_products(spark, sf_dir):
+    """The 20 best candidates of every twentieth vector."""
+    return topk.top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 20 = 0")
+
+
+@query("op6_token_counts")
+def counted(spark, sf_dir):
+    """Tokens of every text under a unigram vocabulary."""
+    return unigram.token_counts(documents(spark, sf_dir))
