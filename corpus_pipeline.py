@@ -3,15 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrafold.llm import packing
+from terrafold.llm import langid, minhash, packing, pii, suffix
 from terrafold.llm.common import keep
 
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    return langid.keep_known(docs)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates."""
+    return minhash.keep_one(docs)
+
+
+def no_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 400 bytes that stand elsewhere too."""
+    return suffix.without_repeats(docs)
+
+
+def no_names(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with pseudonyms for personal data."""
+    return pii.protect(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the texts in sequences of 1024 ids."""
+    return packing.pack(docs)
+
+
 STAGES = [
-    ("packing", lambda spark, docs, sf_dir: packing.pack(docs)),
+    ("language", known_language),
+    ("near_duplicates", one_of_each),
+    ("repeated_strings", no_repeats),
+    ("pseudonyms", no_names),
+    ("packing", packed),
 ]
 
-#: Tokenization and sketches are not SQL; tests hold the run against plain Python.
+#: Tokens, sketches and suffixes are not SQL; tests hold the run against plain Python.
 ORACLE_SQL = None
 
 

@@ -40,6 +40,17 @@ def small_side(df: DataFrame, row_bytes: str) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of an Arrow text column and each row's offsets; null is empty."""
     column = column.fill_null("" if not pa.types.is_binary(column.type) else b"")

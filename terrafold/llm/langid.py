@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import CHUNK_BYTES, as_bytes, chunks
+from terrafold.llm.common import CHUNK_BYTES, as_bytes, chunks, unused
 from terrafold.llm.pretokens import LETTER, classes
 
 #: Labelled rows that the classifier is fitted on, all languages together.
@@ -181,18 +181,19 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, clusters: int = CLUSTERS) -> M
     return Model(idf, centers, names, least)
 
 
-def classify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``rejected``, one row for each row.
+def classify(docs: DataFrame, model: Model, new: tuple[str, ...] = ("lang_pred", "score", "rejected")) -> DataFrame:
+    """``docs`` with prediction, score and rejection (named by ``new``), one row for each row.
 
     Only ``text`` is looked at, whole. Null text and text without any letter is ``und``,
     score 0 and rejected. A tie of centroids goes to the first in order of languages; equal
     texts get equal results. Columns of these three names are replaced, others are kept; an
     empty table stays empty.
     """
-    new = ("lang_pred", "score", "rejected")
     rest = [c for c in docs.columns if c not in new]
     columns = [f"`{c}`" for c in rest]
-    schema = type(docs.schema)([docs.schema[c] for c in rest]).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = type(docs.schema)([docs.schema[c] for c in rest])
+    for name, kind in zip(new, ("string", "double", "boolean"), strict=True):
+        schema = schema.add(name, kind)
 
     def run(batches):
         for batch in batches:
@@ -216,5 +217,6 @@ def predictions(docs: DataFrame) -> DataFrame:
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """Rows whose language is recognised; the columns of ``docs``."""
-    found = classify(docs, fit(docs))
-    return found.filter(~F.col("rejected")).select(*[f"`{c}`" for c in docs.columns])
+    names = unused(docs, "_lang", "_score", "_rejected")
+    found = classify(docs, fit(docs), tuple(names))
+    return found.filter(~F.col(names[2])).select(*[f"`{c}`" for c in docs.columns])

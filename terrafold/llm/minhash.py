@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import as_bytes, chunks, keep, mixed, part_ids, small_side
+from terrafold.llm.common import as_bytes, chunks, keep, mixed, part_ids, small_side, unused
 from terrafold.llm.components import components
 from terrafold.llm.shingles import sets_of, shingle_sets
 
@@ -262,14 +262,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     signed, of_class = labelled(docs)
     rows = signed.select("doc_id", "row_id", "digest", "text_md5").join(of_class, "digest", "left")
     rows = rows.filter("digest is null or row_id = head_row").select("doc_id", "text_md5", F.isnull("digest").alias("_wordless"))
-    signs = keep(rows.distinct(), "kept").select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5"), "_wordless")
-    md5 = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    found = docs.withColumn("_own_md5", md5).join(
-        small_side(signs, "32"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_md5") == F.col("_md5"))
+    theirs, md5, wordless, own = unused(docs, "_id", "_md5", "_wordless", "_own_md5")
+    signs = keep(rows.distinct(), "kept").toDF(theirs, md5, wordless)
+    text_md5 = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    found = docs.withColumn(own, text_md5).join(
+        small_side(signs, "32"), F.col("doc_id").eqNullSafe(F.col(theirs)) & (F.col(own) == F.col(md5))
     )
     columns = [f"`{c}`" for c in docs.columns]
     repeated = signed.filter("digest is not null").groupBy("doc_id", "text_md5").count().filter("count > 1")
     if not repeated.limit(1).count():
         return found.select(*columns)
-    once = found.filter("not _wordless").dropDuplicates(["doc_id", "_own_md5"])
-    return once.unionByName(found.filter("_wordless")).select(*columns)
+    once = found.filter(~F.col(wordless)).dropDuplicates(["doc_id", own])
+    return once.unionByName(found.filter(wordless)).select(*columns)

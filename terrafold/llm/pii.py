@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrafold.llm.common import unused
+
 ROUNDS = 8
 #: A key for tests and samples; pass a secret one.
 KEY = "terrafold"
@@ -193,14 +195,15 @@ def protect(docs: DataFrame, key: str = KEY, text: str = "text", count: str | No
     hits = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
     # Only texts with an at sign or two digits in a row can hold any.
     some = F.col(text).rlike(r"@|[0-9][0-9]")
-    found = docs.withColumn("_hits", F.when(some, hits).otherwise(F.array().cast("array<string>")))
-    found = found.withColumn("_new", F.transform("_hits", lambda h: pseudonym(h, key)))
+    old, new = unused(docs, "_hits", "_new")
+    found = docs.withColumn(old, F.when(some, hits).otherwise(F.array().cast("array<string>")))
+    found = found.withColumn(new, F.transform(old, lambda h: pseudonym(h, key)))
     parts = F.split(F.col(text), PATTERN, -1)
-    joined = F.array_join(F.flatten(F.zip_with(parts, "_new", lambda p, h: F.array(p, F.coalesce(h, F.lit(""))))), "")
-    out = F.when(F.size("_hits") > 0, joined).otherwise(F.col(text))
+    joined = F.array_join(F.flatten(F.zip_with(parts, new, lambda p, h: F.array(p, F.coalesce(h, F.lit(""))))), "")
+    out = F.when(F.size(old) > 0, joined).otherwise(F.col(text))
     columns = [out.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != count]
     if count:
-        changed = F.size(F.filter(F.zip_with("_hits", "_new", lambda a, b: a != b), lambda x: x))
+        changed = F.size(F.filter(F.zip_with(old, new, lambda a, b: a != b), lambda x: x))
         columns.append(F.coalesce(changed, F.lit(0)).alias(count))
     return found.select(*columns)
 

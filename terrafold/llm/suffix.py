@@ -16,14 +16,16 @@ Texts are read where they lie; only anchors, bytes around repeated ones and span
 from __future__ import annotations
 
 import hashlib
+import json
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import POWERS, as_bytes, chunks, keep, mixed, small_side
+from terrafold.llm.common import POWERS, as_bytes, chunks, keep, mixed, small_side, unused
 
 #: Bytes of a string that may not repeat, bytes of an anchor, and anchors in a string.
 LENGTH, GRAM = 400, 100
@@ -316,9 +318,11 @@ def kept_bytes(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
     return stays, len(text) - len(stays), len(merged)
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    side = small_side(spans.withColumnRenamed("digest", "_md5"), "40 + 16 * size(spans)").withColumnRenamed("spans", "_spans")
-    return docs.withColumn("_digest", text_digest()).join(side, F.col("_digest") == F.col("_md5"), "left").drop("_digest", "_md5")
+def with_spans(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
+    """``docs`` with each text's spans, null where it has none."""
+    own, md5 = unused(docs, "_digest", "_md5")
+    side = small_side(spans, "40 + 16 * size(spans)").toDF(md5, name)
+    return docs.withColumn(own, text_digest()).join(side, F.col(own) == F.col(md5), "left").drop(own, md5)
 
 
 def removal(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -342,7 +346,7 @@ def removal(docs: DataFrame, hot: int = HOT) -> DataFrame:
             )
 
     narrow = docs.select("doc_id", "text")
-    joined = with_spans(narrow, spans_by_text(narrow, hot))
+    joined = with_spans(narrow, spans_by_text(narrow, hot), "_spans")
     rows = joined.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), "_spans")
     return rows.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -353,20 +357,16 @@ def without_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     A character that a cut parts goes as a whole. ``n_chars``, if there, is counted anew.
     Null text stays null; every row stays, if with an empty text.
     """
-    cut = F.pandas_udf(_cut, "string")
-    joined = with_spans(docs, spans_by_text(docs.select("doc_id", "text"), hot))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut(F.when(F.col("_spans").isNotNull(), F.col("text")), F.to_json("_spans")))
-    out = joined.withColumn("text", text).drop("_spans")
+    (name,) = unused(docs, "_spans")
+    joined = with_spans(docs, spans_by_text(docs.select("doc_id", "text"), hot), name)
+    text = F.when(F.col(name).isNull(), F.col("text")).otherwise(F.pandas_udf(_cut, "string")(F.when(F.col(name).isNotNull(), F.col("text")), F.to_json(name)))
+    out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[f"`{c}`" for c in docs.columns])
 
 
-def _cut(texts, spans):
-    import json
-
-    import pandas as pd
-
+def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
     def one(text, s):
         return None if text is None or s is None else kept_bytes(text.encode("utf-8"), json.loads(s))[0].decode("utf-8", "ignore")
 
