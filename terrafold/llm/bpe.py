@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from terrafold.llm.common import as_bytes, chunks
 from terrafold.llm.pretokens import Pieces, flat_ids
@@ -309,8 +310,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", portion: in
     are replaced. ``path`` is a rank file.
     """
     rest = [c for c in docs.columns if c not in ("ids", "decoded")]
-    fields = [docs.schema[c] for c in rest]
-    schema = type(docs.schema)(fields).add("ids", "array<int>").add("decoded", "string")
+    schema = StructType([docs.schema[c] for c in rest]).add("ids", ArrayType(IntegerType())).add("decoded", "string")
 
     def run(batches):
         for batch in batches:

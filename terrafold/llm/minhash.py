@@ -6,8 +6,10 @@ minima into 1024 parity bits: two sketches' XOR count estimates how many minima
 most chance candidates end there. What is left is confirmed on the full sets.
 
 A bucket of a band first tests its members against the least one. Where links do not yet
-join a bucket's members, members of different components are compared sketch by sketch, so
-no group is turned into all its pairs and no link between components is lost.
+join a bucket's members, a block of members compares sketches across components and fetches
+its members' texts once, and confirms in place, most similar first, skipping what its links
+have joined. A pair is tested in its first common band only. So no group is turned into all
+its pairs, and no link between components is lost.
 
 A pair of similarity 0.75 shares no band with a chance of 4 in a million, and the sketch
 limit, similarity 0.60 by estimate, is over five standard errors below.
@@ -38,7 +40,6 @@ ESTIMATE = 0.60
 MOST_FLIPS = int(SKETCH_BITS / 2 * (1 - np.exp(-2 * (2 * HASHES * (1 - ESTIMATE)) / SKETCH_BITS)))
 #: Members of a bucket that one comparison block holds.
 BLOCK = 1024
-
 _random = np.random.Generator(np.random.PCG64(7))
 XORS = _random.integers(0, 1 << 32, HASHES, np.uint64).astype(np.uint32)
 FACTORS = (_random.integers(0, 1 << 31, HASHES, np.uint64) * 2 + 1).astype(np.uint32)
@@ -127,14 +128,24 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.filter(near).filter(flips("s_a", "s_b") <= MOST_FLIPS).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs whose full sets reach the similarity."""
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+def full_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """A text of each class in ``wanted`` (column ``cid``)."""
     wanted = keep(classes.join(wanted, "cid", "left_semi").select("cid", "rep_doc", "rep_md5"), "wanted")
     text = F.coalesce("text", F.lit("")).cast("binary")
     own = docs.select("doc_id", text.alias("text")).join(small_side(wanted, "40"), F.col("doc_id").eqNullSafe(F.col("rep_doc")))
     # Rows that repeat a doc_id with another text are not the class's.
-    texts = keep(own.filter(F.unhex(F.md5("text")) == F.col("rep_md5")).select("cid", "text").dropDuplicates(["cid"]), "texts")
+    return keep(own.filter(F.unhex(F.md5("text")) == F.col("rep_md5")).select("cid", "text").dropDuplicates(["cid"]), "texts")
+
+
+def enough(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two full sets reach the similarity."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= PERCENT * (len(a) + len(b) - common)
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs whose full sets reach the similarity."""
+    texts = full_texts(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct(), classes, docs)
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
 
     def run(frames):
@@ -144,43 +155,52 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
             for a, b, text_b, text_a in f.itertuples(index=False):
                 if a != last:
                     last, held = a, sets_of([text_a])[0]
-                other = sets_of([text_b])[0]
-                common = len(np.intersect1d(held, other, assume_unique=True))
-                if 100 * common >= PERCENT * (len(held) + len(other) - common):
+                if enough(held, sets_of([text_b])[0]):
                     out.append((a, b))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return both.select("a", "b", "text_b", "text_a").mapInPandas(run, "a long, b long")
 
 
-def unresolved(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely pairs of one bucket that links have not joined, the hub left out.
+def open_blocks(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Blocks of bucket members that links have not joined, with their likely pairs.
 
-    A bucket of many members is dealt out in pairs of blocks.
+    The hub is left out. A bucket of many members is dealt out in pairs of blocks. A row has
+    the pairs of a block, most similar first, as two byte strings of ids.
     """
     labelled = members.filter("cid <> hub").join(labels.select(F.col("v").alias("cid"), "l"), "cid", "left")
     labelled = keep(labelled.select("key", "cid", F.coalesce("l", "cid").alias("comp")), "members")
     open_ = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).filter("x <> y")
     open_ = keep(open_.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "open")
-    own = labelled.join(small_side(open_, "16"), "key").join(classes.select("cid", "n_shingles", "sketch"), "cid")
+    own = labelled.join(small_side(open_, "16"), "key").join(classes.select("cid", "n_shingles", "sketch", "bands"), "cid")
     own = own.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     own = own.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    names = ["key", "low", "high", "block", "cid", "comp", "n_shingles", "sketch"]
+    names = ["key", "low", "high", "block", "cid", "comp", "n_shingles", "sketch", "bands"]
 
-    def compare(g: pd.DataFrame):
+    def compare(g: pd.DataFrame) -> list[tuple]:
+        key, low, high = (g[c].iloc[0] for c in ("key", "low", "high"))
         sketch = np.stack(g["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
+        band = np.stack(g["bands"].to_numpy()).astype(np.int64)
         cid, comp, n, block = (g[c].to_numpy(np.int64) for c in ("cid", "comp", "n_shingles", "block"))
-        apart = g["low"].iloc[0] != g["high"].iloc[0]
+        found = []
         for i in range(len(g) - 1):
             ok = comp[i + 1 :] != comp[i]
             ok &= 100 * np.minimum(n[i + 1 :], n[i]) >= PERCENT * np.maximum(n[i + 1 :], n[i])
-            if apart:
+            if low != high:
                 ok &= block[i + 1 :] != block[i]
             j = np.flatnonzero(ok) + i + 1
-            j = j[np.bitwise_count(sketch[j] ^ sketch[i]).sum(1) <= MOST_FLIPS]
-            if len(j):
-                yield np.stack([np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j])])
+            flipped = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1)
+            j, flipped = j[flipped <= MOST_FLIPS], flipped[flipped <= MOST_FLIPS]
+            # Only the first band that the two share tests them.
+            first = band[i][(band[j] == band[i]).argmax(1)] == key
+            if first.any():
+                found.append(np.stack([np.full(first.sum(), cid[i]), cid[j[first]], flipped[first].astype(np.int64)]))
+        if not found:
+            return []
+        pairs = np.concatenate(found, axis=1)
+        pairs = pairs[:, np.argsort(pairs[2], kind="stable")]
+        return [(key, low, high, pairs[0].tobytes(), pairs[1].tobytes())]
 
     def run(frames):
         rest = None
@@ -188,20 +208,57 @@ def unresolved(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Dat
             f = f if rest is None else pd.concat([rest, f], ignore_index=True)
             where = f[["key", "low", "high"]].to_numpy()
             cuts = np.flatnonzero((where[1:] != where[:-1]).any(1)) + 1
-            done = cuts[-1] if len(cuts) else 0
-            yield from answer(f.iloc[:done], cuts)
-            rest = f.iloc[done:]
+            yield from answer(f, cuts)
+            rest = f.iloc[cuts[-1] if len(cuts) else 0 :]
         if rest is not None and len(rest):
             yield from answer(rest, np.array([len(rest)]))
 
     def answer(f, cuts):
-        found = [p for a, b in zip(np.append(0, cuts[:-1]), cuts, strict=True) for p in compare(f.iloc[a:b])] if len(cuts) else []
-        if found:
-            pairs = np.concatenate(found, axis=1)
-            yield pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+        rows = [r for a, b in zip([0, *cuts[:-1]], cuts, strict=True) for r in compare(f.iloc[a:b])] if len(cuts) else []
+        if rows:
+            yield pd.DataFrame(rows, columns=["key", "low", "high", "a", "b"])
 
     dealt = own.select(*names).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return dealt.mapInPandas(run, "a long, b long").distinct()
+    return dealt.mapInPandas(run, "key long, low int, high int, a binary, b binary")
+
+
+def confirmed_in_blocks(blocks: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links that join what is apart in each block; every member's text comes once a block."""
+
+    def named(frames):
+        for f in frames:
+            ids = [np.unique(np.frombuffer(a + b, np.int64)) for a, b in zip(f["a"], f["b"], strict=True)]
+            sizes = [len(x) for x in ids]
+            yield pd.DataFrame({c: np.repeat(f[c].to_numpy(), sizes) for c in ("key", "low", "high")} | {"cid": np.concatenate(ids)})
+
+    needed = keep(blocks.mapInPandas(named, "key long, low int, high int, cid long"), "needed")
+    texts = needed.join(full_texts(needed.select("cid").distinct(), classes, docs), "cid")
+
+    def confirm(where: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(where) and len(held):
+            text, sets = dict(zip(held["cid"], held["text"], strict=True)), {}
+            parent: dict[int, int] = {}
+
+            def root(x):
+                while x in parent:
+                    x = parent[x]
+                return x
+
+            def own(x):
+                if x not in sets:
+                    sets[x] = sets_of([text[x]])[0]
+                return sets[x]
+
+            for row in where.itertuples(index=False):
+                for x, y in zip(np.frombuffer(row.a, np.int64).tolist(), np.frombuffer(row.b, np.int64).tolist(), strict=True):
+                    if root(x) != root(y) and enough(own(x), own(y)):
+                        parent[root(x)] = root(y)
+                        out.append((min(x, y), max(x, y)))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    place = ["key", "low", "high"]
+    return blocks.groupBy(*place).cogroup(texts.groupBy(*place)).applyInPandas(confirm, "a long, b long")
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -219,13 +276,13 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     shared = keep(shared.select("key", "hub"), "shared")
     members = keep(keyed.join(small_side(shared, "16"), "key"), "members")
     involved = members.select("cid").distinct()
-    classes = keep(classes.join(involved, "cid", "left_semi").drop("bands"), "involved")
+    classes = keep(classes.join(involved, "cid", "left_semi"), "involved")
     pairs = members.filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     links = keep(confirmed(keep(likely(pairs, classes), "likely"), classes, docs), "links")
     labels = components(links)
-    more = keep(unresolved(members, labels, classes), "more")
-    if more.limit(1).count():
-        links = keep(links.union(confirmed(more, classes, docs)), "links")
+    blocks = keep(open_blocks(members, labels, classes), "blocks")
+    if blocks.limit(1).count():
+        links = keep(links.union(confirmed_in_blocks(blocks, classes, docs)), "links")
         labels = components(links)
     return signed, chosen, labels
 
