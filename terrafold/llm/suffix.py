@@ -293,8 +293,8 @@ def spans_by_text(docs: DataFrame, hot: int = HOT) -> DataFrame:
     )
     wanted = keep(gathered.select("digest", "rep", F.col("cold.place").alias("places"), F.col("cold.hash").alias("hashes"), "hot"), "wanted")
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), text_digest().alias("md5"))
-    side = small_side(wanted, "40 + 12 * size(places) + 4 * size(hot)")
-    joined = own.join(side, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (F.col("md5") == F.col("digest")))
+    # Places grow with the texts, so this joins by a shuffle at every size.
+    joined = own.join(wanted, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (F.col("md5") == F.col("digest")))
     spans = bucket_spans(contexts(joined))
     if shared.filter("is_hot").limit(1).count():
         spans = spans.unionByName(window_spans(joined.filter("size(hot) > 0")))
@@ -321,8 +321,7 @@ def kept_bytes(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
 def with_spans(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
     """``docs`` with each text's spans, null where it has none."""
     own, md5 = unused(docs, "_digest", "_md5")
-    side = small_side(spans, "40 + 16 * size(spans)").toDF(md5, name)
-    return docs.withColumn(own, text_digest()).join(side, F.col(own) == F.col(md5), "left").drop(own, md5)
+    return docs.withColumn(own, text_digest()).join(spans.toDF(md5, name), F.col(own) == F.col(md5), "left").drop(own, md5)
 
 
 def removal(docs: DataFrame, hot: int = HOT) -> DataFrame:
