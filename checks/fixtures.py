@@ -70,7 +70,7 @@ ITEMS = {
 
 CAT_ID = (
     "'LC09_L2SP_' || lpad(CAST({k} % 1000000 AS string), 6, '0') || '_202407'"
-    " || lpad(CAST(1 + {k} % 28 AS string), 2, '0') || '_' || lpad(CAST({k} AS string), 10, '0') || '_02_T1'"
+    " || lpad(CAST(1 + {k} % 28 AS string), 2, '0') || '_' || lpad(CAST({k} AS string), CAST(greatest(10, length(CAST({k} AS string))) AS int), '0') || '_02_T1'"
 )
 SCENES = {"scene_id": CAT_ID.format(k="c_custkey"), "c_custkey": "c_custkey"}
 FILES = {
@@ -104,14 +104,8 @@ GRID_BOXES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table, with work for every core.
-
-    A table in fewer files than cores (here: one file with one row group) would be one
-    task from scan to shuffle. Tables in many files are read as they lie, unshuffled.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    """One given table as it lies."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def columns(spec: dict[str, str]) -> list[str]:

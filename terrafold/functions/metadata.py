@@ -43,9 +43,14 @@ METADATA_SCHEMA = f"LANDSAT_METADATA_FILE struct<{_SECTIONS}>, " + ", ".join(
 )
 
 
+# Spark's cast also takes type suffixes such as ``5d``, which are no numbers in metadata.
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:nan|inf|infinity)$"
+
+
 def as_float(text: Column) -> Column:
     """NULL where the text is not a number."""
-    return F.trim(text).try_cast("double")
+    trimmed = F.trim(text)
+    return F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double"))
 
 
 def as_int(text: Column) -> Column:

@@ -61,33 +61,30 @@ def band_label(band: Column | str, strict: bool = False) -> Column:
     return out
 
 
-def scene_prefix(scene_id: Column | str, collection_prefix: str = COLLECTION_PREFIX) -> Column:
-    """Directory key of a scene, ending in a slash."""
-    parts = scene_parts(scene_id)
-    pieces = (
-        F.lit(collection_prefix.rstrip("/")),
-        parts["year"].cast("string"),
-        parts["wrs_path"],
-        parts["wrs_row"],
-        _col(scene_id),
-    )
-    return F.when(valid_scene_id(scene_id), F.concat(F.concat_ws("/", *pieces), F.lit("/")))
+def scene_prefix(scene_id: Column | str, collection_prefix: str = COLLECTION_PREFIX, strict: bool = False) -> Column:
+    """Directory key of a scene, ending in a slash; NULL (or an error) for bad ids."""
+    parts = scene_parts(scene_id, strict)
+    pieces = (parts["year"].cast("string"), parts["wrs_path"], parts["wrs_row"], _col(scene_id))
+    slash = F.lit("/")
+    return F.concat(F.lit(collection_prefix.rstrip("/")), *[x for piece in pieces for x in (slash, piece)], slash)
 
 
-def band_file(scene_id: Column | str, band: Column | str) -> Column:
-    return F.concat(_col(scene_id), F.lit("_SR_"), band_label(band), F.lit(".TIF"))
+def band_file(scene_id: Column | str, band: Column | str, strict: bool = False) -> Column:
+    return F.concat(_col(scene_id), F.lit("_SR_"), band_label(band, strict), F.lit(".TIF"))
 
 
 def metadata_file(scene_id: Column | str) -> Column:
     return F.concat(_col(scene_id), F.lit("_MTL.json"))
 
 
-def band_key(scene_id: Column | str, band: Column | str, collection_prefix: str = COLLECTION_PREFIX) -> Column:
-    return F.concat(scene_prefix(scene_id, collection_prefix), band_file(scene_id, band))
+def band_key(
+    scene_id: Column | str, band: Column | str, collection_prefix: str = COLLECTION_PREFIX, strict: bool = False
+) -> Column:
+    return F.concat(scene_prefix(scene_id, collection_prefix, strict), band_file(scene_id, band, strict))
 
 
-def metadata_key(scene_id: Column | str, collection_prefix: str = COLLECTION_PREFIX) -> Column:
-    return F.concat(scene_prefix(scene_id, collection_prefix), metadata_file(scene_id))
+def metadata_key(scene_id: Column | str, collection_prefix: str = COLLECTION_PREFIX, strict: bool = False) -> Column:
+    return F.concat(scene_prefix(scene_id, collection_prefix, strict), metadata_file(scene_id))
 
 
 def bucket_href(bucket: str, key: Column) -> Column:
@@ -98,12 +95,13 @@ def local_scene_dir(root: str, scene_id: Column | str) -> Column:
     return F.concat(F.lit(root.rstrip("/") + "/"), _col(scene_id))
 
 
-def local_band_path(root: str, scene_id: Column | str, band: Column | str) -> Column:
-    return F.concat_ws("/", local_scene_dir(root, scene_id), band_file(scene_id, band))
+def local_band_path(root: str, scene_id: Column | str, band: Column | str, strict: bool = False) -> Column:
+    """File of a band; NULL (or an error) for a bad band or a missing scene."""
+    return F.concat(local_scene_dir(root, scene_id), F.lit("/"), band_file(scene_id, band, strict))
 
 
 def local_metadata_path(root: str, scene_id: Column | str) -> Column:
-    return F.concat_ws("/", local_scene_dir(root, scene_id), metadata_file(scene_id))
+    return F.concat(local_scene_dir(root, scene_id), F.lit("/"), metadata_file(scene_id))
 
 
 def strip_file_scheme(path: Column | str) -> Column:

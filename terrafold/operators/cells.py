@@ -7,19 +7,15 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import hexgrid
 from terrafold.functions.edges import EDGE_TYPE
-from terrafold.functions.projection import project_columns, unproject_columns
+from terrafold.functions.projection import central_meridian, project_vertices, unproject_columns
 from terrafold.functions.spectral import FILL_DN
-from terrafold.functions.staging import closed
+from terrafold.functions.staging import closed, computed_once
 
 FOOTPRINT_TARGET_M = 120.0
 
 # Scene boxes are sampled at this many steps per side.
 SIDE_STEPS = 22
 
-# A polyfill needs only a generous envelope: corners and middles, widened by this share.
-_COARSE_STEPS = 2
-_COARSE_MARGIN = 0.02
-
 
 def _bigint_sequence(first: Column, last: Column) -> Column:
     """Ascending whole numbers, empty (NULL, so exploded to nothing) when last < first."""
@@ -77,35 +73,40 @@ def box_boundary(
     return sampled.withColumn("__p", F.explode(sides)).select(*boxes.columns, "__p.bx", "__p.by")
 
 
-def grid_envelope(boxes: DataFrame, epsg: int, steps_per_side: int = SIDE_STEPS) -> DataFrame:
+def grid_envelope(boxes: DataFrame, epsg: int) -> DataFrame:
     """Add the grid envelope of each lon/lat box ``west, south, east, north``.
 
-    The other columns identify a box; equal rows collapse into one.
+    Exact: along a meridian the easting is furthest out where the box is nearest to the
+    equator, along a parallel the northing is extreme at the ends or where it is nearest to
+    the zone's central meridian, and both are monotone in between. So three longitudes and
+    three latitudes hold all extremes.
     """
-    sides = box_boundary(boxes, "west", "south", "east", "north", steps_per_side)
-    points = project_columns(sides, "bx", "by", epsg, "__x", "__y")
-    return points.groupBy(*boxes.columns).agg(
-        F.min("__x").alias("min_x"),
-        F.min("__y").alias("min_y"),
-        F.max("__x").alias("max_x"),
-        F.max("__y").alias("max_y"),
-    )
+    nearest = lambda low, high, to: F.greatest(low, F.least(high, F.lit(to)))
+    w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
+    lons = (w, nearest(w, e, central_meridian(epsg)), e)
+    lats = (s, nearest(s, n, 0.0), n)
+    points = F.array(*[F.array(x.cast("double"), y.cast("double")) for x in lons for y in lats])
+    placed = boxes.withColumn("__grid", project_vertices(points, epsg))
+    side = lambda i: F.transform("__grid", lambda p: p[i])
+    found = {
+        "min_x": F.array_min(side(0)), "min_y": F.array_min(side(1)),
+        "max_x": F.array_max(side(0)), "max_y": F.array_max(side(1)),
+    }
+    return computed_once(placed, found).drop("__grid")
 
 
 def polyfill_wgs84(boxes: DataFrame, epsg: int, resolution: int = hexgrid.DEFAULT_RESOLUTION) -> DataFrame:
-    """Cells whose centre lies in each lon/lat box.
+    """Cells whose centre lies in each lon/lat box; rows of equal boxes get cells each.
 
-    A side between two samples bulges by at most 1.4 % of the box's width anywhere in a
-    zone below 80 degrees latitude, so the envelope is widened by 2 %; every candidate is
-    then tested exactly in degrees.
+    Candidates are the cells of the box's grid envelope, a metre wider for rounding; every
+    one is then tested exactly in degrees.
     """
-    margin = hexgrid.edge_m(resolution) + (F.col("max_x") - F.col("min_x")) * _COARSE_MARGIN
-    wide = grid_envelope(boxes, epsg, _COARSE_STEPS).withColumns(
+    wide = grid_envelope(boxes, epsg).withColumns(
         {
-            "min_x": F.col("min_x") - margin,
-            "min_y": F.col("min_y") - margin,
-            "max_x": F.col("max_x") + margin,
-            "max_y": F.col("max_y") + margin,
+            "min_x": F.col("min_x") - 1.0,
+            "min_y": F.col("min_y") - 1.0,
+            "max_x": F.col("max_x") + 1.0,
+            "max_y": F.col("max_y") + 1.0,
         }
     )
     cells = unproject_columns(polyfill(wide, resolution), "cx", "cy", epsg, "center_lon", "center_lat")

@@ -18,7 +18,8 @@ def region_statistics_long(
     resolution: int | None = None,
     **join_options,
 ) -> DataFrame:
-    """Statistics per region, scene and index, in long form."""
+    """Statistics per region, scene and index, in long form; repeated region ids are an error."""
+    regions = R.require_unique_ids(regions)
     keys = _keys(regions, resolution)
     return Z.long_stats(R.pixel_region_join(indices, regions, **join_options), keys, stats=stats)
 
@@ -36,10 +37,11 @@ def build_region_features(
     All scenes and indices are one plan: tile join, exact test, aggregation that combines
     before its shuffle. Nothing is folded to long form only to be pivoted back.
     """
+    regions = R.require_unique_ids(regions)
     stats = list(stats) + ([] if "max" in stats else ["max"])
     joined = R.pixel_region_join(indices, regions, **join_options)
     wide = Z.wide_stats(joined, _keys(regions, resolution), stats=stats)
-    return Z.attach_geometry(wide, R.require_unique_ids(regions)) if geometry else wide
+    return Z.attach_geometry(wide, regions) if geometry else wide
 
 
 def _keys(regions: DataFrame, resolution: int | None) -> list[str]:
@@ -52,9 +54,10 @@ def _keys(regions: DataFrame, resolution: int | None) -> list[str]:
 
 
 def write_region_features(features: DataFrame, path: str, resolution: int | None = None) -> str:
-    """Write all scenes at once; a second run replaces its own scenes only.
+    """Write all scenes at once; a second run replaces its own scenes, and those wholly.
 
-    Cells are partitioned by scene and cell key, corridors by scene.
+    A directory is a scene. Cells are sorted inside it, so a filter on the cell key skips row
+    groups, and cells that a second run no longer has go with the scene's old files.
     """
-    keys = ["scene_id"] if resolution is None else ["scene_id", f"cell_res{resolution}"]
-    return replace_partitions(features, path, keys, spread=["region_id"] if resolution is None else [])
+    within = ["region_id"] if resolution is None else [f"cell_res{resolution}"]
+    return replace_partitions(features, path, ["scene_id"], spread=within, order=within)

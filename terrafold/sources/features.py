@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrafold.functions import hexgrid
+from terrafold.sources.shared import path_missing
 
 
 def with_coarse_key(features: DataFrame, coarse_resolution: int, name: str | None = None) -> DataFrame:
@@ -50,14 +51,17 @@ def write_features(
     return path
 
 
-def replace_partitions(features: DataFrame, path: str, keys: list[str], spread: list[str]) -> str:
+def replace_partitions(
+    features: DataFrame, path: str, keys: list[str], spread: list[str], order: list[str] | None = None
+) -> str:
     """Overwrite exactly the partitions present in ``features``, in one write.
 
-    Running it again with the same rows gives the same table.
+    Running it again with the same rows gives the same table. ``spread`` deals the rows of a
+    partition over several tasks, ``order`` sorts them inside its files.
     """
     (
         features.repartition(*keys, *spread)
-        .sortWithinPartitions(*keys)
+        .sortWithinPartitions(*keys, *(order or []))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -69,15 +73,17 @@ def replace_partitions(features: DataFrame, path: str, keys: list[str], spread:
 def read_features(spark: SparkSession, path: str, schema: T.StructType | str, key: str) -> DataFrame:
     """Read a feature table, its key restored from the directory names as text.
 
-    ``schema`` declares all columns including the key; a path without data gives an empty
-    table of that schema.
+    ``schema`` declares all columns including the key; a path that does not exist gives an
+    empty table of that schema. Any other error is the caller's.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     declared = T.StructType([T.StructField(f.name, T.StringType() if f.name == key else f.dataType) for f in schema])
     try:
         return spark.read.schema(declared).parquet(path).select(*declared.names)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
         return spark.createDataFrame([], declared)
 
 

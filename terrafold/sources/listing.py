@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions.scene_ids import path_parent_name, path_stem, strip_file_scheme
 from terrafold.operators.scenes import scenes_from_paths
+from terrafold.sources.shared import path_missing
 
 _LISTING_SCHEMA = "path string, length bigint, modificationTime timestamp"
 
@@ -38,6 +39,8 @@ def raster_manifest(spark: SparkSession, root: str) -> DataFrame:
         files = list_files(spark, root, "*.tif")
         empty = files.isEmpty()
     except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
         raise ValueError(f"Index raster directory not found: {root}") from exc
     if empty:
         raise ValueError(f"No index rasters found under {root}")
@@ -48,7 +51,9 @@ def scene_listing(spark: SparkSession, root: str) -> DataFrame:
     """Scene directories below ``root``, sorted; a missing root gives an empty table."""
     try:
         files = list_files(spark, root, "*_SR_B*.TIF")
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
         files = spark.createDataFrame([], _LISTING_SCHEMA)
     return scenes_from_paths(files)
 

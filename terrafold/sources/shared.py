@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -27,3 +28,8 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nobody else writes to."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def path_missing(error: AnalysisException) -> bool:
+    """Whether Spark found nothing at a path, as opposed to anything else being wrong."""
+    return error.getCondition() == "PATH_NOT_FOUND"
