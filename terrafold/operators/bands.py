@@ -42,14 +42,19 @@ def blocks_to_pixels(blocks: DataFrame, band: str | None = None) -> DataFrame:
     """One row per pixel of a block, with the pixel centre's grid coordinates.
 
     ``x0``/``y0`` is the outer corner of the block's first pixel and ``first_row`` /
-    ``first_col`` its address in the scene. Pixel order is row-major.
+    ``first_col`` its address in the scene. Pixel order is row-major. Where blocks have a
+    ``nodata`` value, pixels of that value (or not a number) are NULL.
     """
     if band is not None:
         blocks = blocks.filter(F.col("band") == band)
     i, w = F.col("pos"), F.col("width")
     row, col = F.expr("pos div width"), i % w
+    value, extra = F.col("dn"), []
+    if "nodata" in blocks.columns:
+        extra = ["nodata"]
+        value = F.when(F.col("nodata").isNull() | ((value != F.col("nodata")) & ~F.isnan(value.cast("double"))), value)
     return blocks.select(
-        "scene_id", "band", "first_row", "first_col", "x0", "y0", "pixel_size", "width",
+        "scene_id", "band", "first_row", "first_col", "x0", "y0", "pixel_size", "width", *extra,
         F.posexplode("data").alias("pos", "dn"),
     ).select(
         "scene_id",
@@ -58,10 +63,22 @@ def blocks_to_pixels(blocks: DataFrame, band: str | None = None) -> DataFrame:
         (F.col("first_col") + col).cast("bigint").alias("col_no"),
         (F.col("x0") + (col + 0.5) * F.col("pixel_size")).alias("x"),
         (F.col("y0") - (row + 0.5) * F.col("pixel_size")).alias("y"),
-        "dn",
+        value.alias("dn"),
     )
 
 
+def indices_from_blocks(blocks: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Index rasters to one row per pixel with a column per index.
+
+    ``blocks`` have the index in ``index_name``. Nodata is NULL; a pixel without any index is
+    no row. Indices of one pixel meet in one aggregation that combines before its shuffle.
+    """
+    pixels = blocks_to_pixels(blocks.withColumn("band", F.col("index_name")))
+    chosen = pixels.filter(F.col("band").isin(list(names)) & F.col("dn").isNotNull())
+    values = [F.max(F.when(F.col("band") == n, F.col("dn"))).alias(n) for n in names]
+    return chosen.groupBy("scene_id", "x", "y").agg(*values)
+
+
 def pixels_to_blocks(
     pixels: DataFrame, value: str, block: int, fill: float, value_type: str = "int",
     keys: Sequence[str] = ("scene_id", "band"),

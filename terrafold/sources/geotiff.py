@@ -34,7 +34,8 @@ TAG_STRIP_OFFSETS, TAG_SAMPLES, TAG_ROWS_PER_STRIP, TAG_STRIP_COUNTS = 273, 277,
 TAG_PLANAR, TAG_PREDICTOR, TAG_TILE_WIDTH, TAG_TILE_HEIGHT = 284, 317, 322, 323
 TAG_TILE_OFFSETS, TAG_TILE_COUNTS, TAG_SAMPLE_FORMAT = 324, 325, 339
 TAG_PIXEL_SCALE, TAG_TIEPOINT, TAG_GEO_KEYS, TAG_NODATA = 33550, 33922, 34735, 42113
-KEY_GEOGRAPHIC, KEY_PROJECTED = 2048, 3072
+KEY_RASTER_TYPE, KEY_GEOGRAPHIC, KEY_PROJECTED = 1025, 2048, 3072
+PIXEL_IS_POINT = 2
 COMPRESSION_NONE, COMPRESSION_DEFLATE, COMPRESSION_DEFLATE_OLD = 1, 8, 32946
 FIELD_FORMATS = {
     1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q",
@@ -63,10 +64,23 @@ def _tags(raw: bytes) -> tuple[str, dict[int, tuple]]:
     return order, tags
 
 
-def _epsg(tags: dict[int, tuple]) -> int | None:
+def _geo_keys(tags: dict[int, tuple]) -> dict[int, int]:
+    """Keys whose value stands in the directory itself."""
     keys = tags.get(TAG_GEO_KEYS, ())
-    found = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
-    return found.get(KEY_PROJECTED, found.get(KEY_GEOGRAPHIC))
+    return {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
+
+
+def _corner(tags: dict[int, tuple], geo: dict[int, int]) -> tuple[float, float, float]:
+    """Outer corner of the first pixel and the pixel size.
+
+    The tie point names a pixel's corner or, where pixels are points, its centre.
+    """
+    scale = tags.get(TAG_PIXEL_SCALE, (1.0, 1.0, 0.0))
+    if scale[0] != scale[1]:
+        raise ValueError(f"pixels of {scale[0]} by {scale[1]} are not square")
+    tie = tags.get(TAG_TIEPOINT, (0.0,) * 6)
+    back = 0.5 if geo.get(KEY_RASTER_TYPE) == PIXEL_IS_POINT else 0.0
+    return tie[3] - (tie[0] + back) * scale[0], tie[4] + (tie[1] + back) * scale[0], scale[0]
 
 
 def _samples(chunk: bytes, compression: int, dtype, rows: int, cols: int, depth: int, predictor: int):
@@ -107,9 +121,8 @@ def decode_blocks(raw: bytes, band: int = 1) -> Iterator[dict]:
         offsets, counts = tags[TAG_STRIP_OFFSETS], tags[TAG_STRIP_COUNTS]
     across, down = -(-width // bw), -(-height // bh)
 
-    scale = tags.get(TAG_PIXEL_SCALE, (1.0, 1.0, 0.0))
-    tie = tags.get(TAG_TIEPOINT, (0.0,) * 6)
-    left, top = tie[3] - tie[0] * scale[0], tie[4] + tie[1] * scale[1]
+    geo = _geo_keys(tags)
+    left, top, size = _corner(tags, geo)
     nodata = tags.get(TAG_NODATA)
     nodata = float(nodata[0].rstrip(b"\0 ").decode()) if nodata else None
 
@@ -117,16 +130,18 @@ def decode_blocks(raw: bytes, band: int = 1) -> Iterator[dict]:
     for k in range(across * down):
         r, c = divmod(k, across)
         rows, cols = min(bh, height - r * bh), min(bw, width - c * bw)
-        start = offsets[skip + k]
-        values = _samples(
-            raw[start : start + counts[skip + k]], compression, dtype,
-            bh if tiled else rows, bw, depth, predictor,
-        )[:rows, :cols, 0 if separate else band - 1]
+        start, stored = offsets[skip + k], counts[skip + k]
+        if stored:
+            values = _samples(
+                raw[start : start + stored], compression, dtype, bh if tiled else rows, bw, depth, predictor
+            )[:rows, :cols, 0 if separate else band - 1]
+        else:  # a sparse file leaves out tiles without data
+            values = np.full((rows, cols), 0.0 if nodata is None else nodata)
         yield {
             "block_row": r, "block_col": c, "first_row": r * bh, "first_col": c * bw,
-            "x0": left + c * bw * scale[0], "y0": top - r * bh * scale[1],
-            "pixel_size": scale[0], "width": cols, "height": rows,
-            "epsg": _epsg(tags), "nodata": nodata,
+            "x0": left + c * bw * size, "y0": top - r * bh * size,
+            "pixel_size": size, "width": cols, "height": rows,
+            "epsg": geo.get(KEY_PROJECTED, geo.get(KEY_GEOGRAPHIC)), "nodata": nodata,
             "data": values.astype(np.float64).ravel(),
         }
 
@@ -258,18 +273,17 @@ def read_geotiff_blocks(spark: SparkSession, root: str, glob: str = "*.tif", ban
     return decode_geotiffs(files, ["scene_id", "name", "path"], band)
 
 
-def read_manifest_blocks(spark: SparkSession, manifest: DataFrame, root: str, band: int = 1) -> DataFrame:
+def read_manifest_blocks(spark: SparkSession, manifest: DataFrame, band: int = 1) -> DataFrame:
     """Blocks of the files a manifest (``path`` and other columns) names.
 
-    Equi-join of contents and manifest; Spark broadcasts the manifest when it is small
-    enough to, and reads only matching rows' columns otherwise.
+    Only these files are opened. Their names pass the driver, whose file index holds the
+    names of all files of a read in any case.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(strip_file_scheme("path").alias("path"), "content")
-    )
+    names = [r["path"] for r in manifest.select("path").distinct().toLocalIterator()]
+    if not names:
+        nothing = manifest.withColumn("content", F.lit(None).cast("binary"))
+        return decode_geotiffs(nothing, manifest.columns, band)
+    files = spark.read.format("binaryFile").load(names).select(strip_file_scheme("path").alias("path"), "content")
     return decode_geotiffs(files.join(manifest, "path"), manifest.columns, band)
 
 

@@ -135,7 +135,7 @@ def test_manifest_join(spark, tmp_path):
     manifest = listing.raster_manifest(spark, str(root))
     assert [(r["scene_id"], r["index_name"]) for r in manifest.collect()] == [("s1", "nbr"), ("s1", "ndvi"), ("s2", "ndvi")]
     wanted = manifest.filter("scene_id = 's1'")
-    blocks = geotiff.read_manifest_blocks(spark, wanted, str(root)).collect()
+    blocks = geotiff.read_manifest_blocks(spark, wanted).collect()
     assert {(b["scene_id"], b["index_name"]) for b in blocks} == {("s1", "nbr"), ("s1", "ndvi")}
     assert all(b["data"] == [0.5] * 16 for b in blocks)
 
