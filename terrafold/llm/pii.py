@@ -36,6 +36,11 @@ LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ
 MONTH_STARTS = [0, 31, 59, 90, 120, 151, 181, 212, 243, 273, 304, 334]
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` mentions it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def prf(key: str, kind: str, *parts: Column) -> Column:
     """A number of 60 bits by SHA-256 of the key and the parts."""
     joined = F.concat_ws("|", F.lit(key), F.lit(kind), *[p.cast("string") for p in parts])
@@ -72,6 +77,10 @@ def shifted(text: Column, by: Column, r: Column, key: str, kind: str) -> Column:
 
 def permuted(text: Column, key: str, kind: str) -> Column:
     """A permutation of all strings with the same alphabets in the same places."""
+    return let(text, lambda t: _permuted(t, key, kind))
+
+
+def _permuted(text: Column, key: str, kind: str) -> Column:
     half = F.floor(F.length(text) / 2).cast("int")
 
     def step(acc: Column, r: Column) -> Column:
@@ -81,9 +90,9 @@ def permuted(text: Column, key: str, kind: str) -> Column:
         return F.struct(left.alias("left"), right.alias("right"))
 
     start = F.struct(F.substr(text, F.lit(1), half).alias("left"), F.substr(text, half + 1, F.length(text)).alias("right"))
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
     # A single character has an empty left half, which moves the right one all the same.
-    return F.concat(done["left"], done["right"])
+    end = lambda done: F.concat(done["left"], done["right"])
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, end)
 
 
 def digits_of(text: Column) -> Column:
@@ -114,26 +123,39 @@ def luhn_sum(digits: Column, shift: int) -> Column:
 
 
 def card(text: Column, key: str) -> Column:
-    digits = digits_of(text)
-    payload = permuted(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    check = F.pmod(10 - luhn_sum(payload, 1) % 10, F.lit(10)).cast("string")
-    return F.when(luhn_sum(digits, 0) % 10 == 0, refilled(text, F.concat(payload, check))).otherwise(text)
+    def checked(payload: Column) -> Column:
+        check = F.pmod(10 - luhn_sum(payload, 1) % 10, F.lit(10)).cast("string")
+        return let(F.concat(payload, check), lambda new: refilled(text, new))
+
+    def of_digits(digits: Column) -> Column:
+        payload = permuted(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
+        return F.when(luhn_sum(digits, 0) % 10 == 0, let(payload, checked)).otherwise(text)
+
+    return let(digits_of(text), of_digits)
 
 
 def address(text: Column, key: str) -> Column:
     octet = [F.split_part(text, F.lit("."), F.lit(i)).cast("long") for i in (1, 2, 3, 4)]
     new = feistel(octet[0] * 256 + octet[1], octet[2] * 256 + octet[3], 1 << 16, 1 << 16, key, "ipv4")
-    return F.concat_ws(".", *[x.cast("string") for x in (F.floor(new["a"] / 256), new["a"] % 256, F.floor(new["b"] / 256), new["b"] % 256)])
+
+    def spelled(new: Column) -> Column:
+        parts = (F.floor(new["a"] / 256), new["a"] % 256, F.floor(new["b"] / 256), new["b"] % 256)
+        return F.concat_ws(".", *[x.cast("string") for x in parts])
+
+    return let(new, spelled)
 
 
 def social(text: Column, key: str) -> Column:
     """Areas 1-899 but 666, groups 1-99, serials 1-9999; others are not valid numbers."""
     area, group, serial = (F.substring(text, a, n).cast("long") for a, n in ((1, 3), (5, 2), (8, 4)))
     index = area - F.when(area > 666, 2).otherwise(1)
-    new = feistel(index * 99 + group - 1, serial - 1, 898 * 99, 9999, key, "social")
-    at = F.floor(new["a"] / 99)
-    parts = [at + F.when(at >= 665, 2).otherwise(1), new["a"] % 99 + 1, new["b"] + 1]
-    out = F.concat_ws("-", *[F.lpad(p.cast("string"), n, "0") for p, n in zip(parts, (3, 2, 4), strict=True)])
+
+    def spelled(new: Column) -> Column:
+        at = F.floor(new["a"] / 99)
+        parts = [at + F.when(at >= 665, 2).otherwise(1), new["a"] % 99 + 1, new["b"] + 1]
+        return F.concat_ws("-", *[F.lpad(p.cast("string"), n, "0") for p, n in zip(parts, (3, 2, 4), strict=True)])
+
+    out = let(feistel(index * 99 + group - 1, serial - 1, 898 * 99, 9999, key, "social"), spelled)
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     return F.when(valid, out).otherwise(text)
 
@@ -150,26 +172,32 @@ def date(text: Column, key: str) -> Column:
     leap = (month == 2) & (day == 29)
     starts = F.array(*[F.lit(x) for x in MONTH_STARTS])
     new = feistel(year - 1900, F.element_at(starts, month.cast("int")) + day - 1, 200, 365, key, "date")
-    new_month = F.size(F.filter(starts, lambda x: x <= new["b"]))
-    new_day = new["b"] - F.element_at(starts, new_month) + 1
     rare = feistel(F.floor((year - 1904) / 28), F.floor((year - 1904) / 4) % 7, 7, 7, key, "leap day")
-    y = F.when(leap, 1904 + 28 * rare["a"] + 4 * rare["b"]).otherwise(1900 + new["a"]).cast("string")
-    m, d = (F.lpad(F.when(leap, F.lit(a)).otherwise(b).cast("string"), 2, "0") for a, b in ((2, new_month), (29, new_day)))
-    out = F.when(iso, F.concat(y, sign, m, sign, d)).when(slash, F.concat(m, sign, d, sign, y)).otherwise(F.concat(d, sign, m, sign, y))
+
+    def spelled(y: Column, m: Column, d: Column) -> Column:
+        y, m, d = y.cast("string"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0")
+        return F.when(iso, F.concat(y, sign, m, sign, d)).when(slash, F.concat(m, sign, d, sign, y)).otherwise(F.concat(d, sign, m, sign, y))
+
+    def usual(new: Column) -> Column:
+        month_of = F.size(F.filter(starts, lambda x: x <= new["b"]))
+        return let(month_of, lambda m: spelled(1900 + new["a"], m, new["b"] - F.element_at(starts, m) + 1))
+
+    leap_day = let(rare, lambda r: spelled(1904 + 28 * r["a"] + 4 * r["b"], F.lit(2), F.lit(29)))
+    out = F.when(leap, leap_day).otherwise(let(new, usual))
     exists = F.try_to_date(F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")))
     return F.when(exists.isNotNull(), out).otherwise(text)
 
 
 def email(text: Column, key: str) -> Column:
     """All but the top-level domain, within the places of letters and digits."""
-    name = F.regexp_replace(text, r"\.[A-Za-z]+$", "")
-    return F.concat(permuted(name, key, "email"), F.substr(text, F.length(name) + 1, F.length(text)))
+    whole = lambda name: F.concat(permuted(name, key, "email"), F.substr(text, F.length(name) + 1, F.length(text)))
+    return let(F.regexp_replace(text, r"\.[A-Za-z]+$", ""), whole)
 
 
 def phone(text: Column, key: str) -> Column:
     """All digits but the country code that a plus sign marks."""
-    code = F.regexp_extract(text, r"^\+\d{1,3}(?=[ .\-(])", 0)
-    return F.concat(code, permuted(F.substr(text, F.length(code) + 1, F.length(text)), key, "phone"))
+    whole = lambda code: F.concat(code, permuted(F.substr(text, F.length(code) + 1, F.length(text)), key, "phone"))
+    return let(F.regexp_extract(text, r"^\+\d{1,3}(?=[ .\-(])", 0), whole)
 
 
 def pseudonym(text: Column, key: str = KEY) -> Column:
