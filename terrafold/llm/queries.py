@@ -12,9 +12,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str, oracle: str | None = None):
+    """Register a query and, where SQL can say it, its oracle."""
+
     def add(fn):
         QUERIES[name] = fn
+        if oracle is not None:
+            ORACLES[name] = oracle.strip()
         return fn
 
     return add
@@ -42,7 +46,32 @@ def language(spark, sf_dir):
     return langid.predictions(documents(spark, sf_dir))
 
 
-@query("op4_near_duplicates")
+_NEAR_DUPLICATES = """
+WITH RECURSIVE split AS (
+    SELECT doc_id, [w FOR w IN regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'
+    ) IF w <> ''] AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM split
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.r
+), least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@query("op4_near_duplicates", _NEAR_DUPLICATES)
 def near_duplicates(spark, sf_dir):
     """The group of every document."""
     return minhash.groups(documents(spark, sf_dir))
@@ -72,7 +101,21 @@ def unrepeated(spark, sf_dir):
     return suffix.removal(documents(spark, sf_dir))
 
 
-@query("op5_top_products")
+_TOP_PRODUCTS = """
+WITH whole AS (
+    SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op5_top_products", _TOP_PRODUCTS)
 def top_products(spark, sf_dir):
     """The 20 best candidates of every twentieth vector."""
     return topk.top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 20 = 0")
