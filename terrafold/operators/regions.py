@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from terrafold.functions import edges as E
 from terrafold.functions.projection import project_vertices
 from terrafold.functions.staging import closed, computed_once
-from terrafold.operators.sizing import BROADCAST_MAX_BYTES, ROWS_PER_TASK, tile_join
+from terrafold.operators.sizing import BROADCAST_MAX_BYTES, tile_join
 
 DEFAULT_TILE_M = 240.0
 
@@ -134,14 +134,12 @@ def tile_regions(regions: DataFrame, half_pixel: float, tile_m: float = DEFAULT_
 
     Pixels of a tile are decided by (a) edges near the tile, for distance, and (b) for
     areal shapes, edges to the right in the tile's row band, for ray crossings. All other
-    edges are dropped, so a long line costs each pixel a few edges rather than all. A
-    region's edges in a tile become one row each:
-
-    - ``edge`` is the row's own edge and ``earlier`` the region's edges before it in the
-      tile, so that a pixel near several can be counted for the first only;
-    - an areal shape adds one row without an edge, where ``earlier`` holds all near edges
-      and ``ray_edges`` those to cross. Where no edge is near, the tile is wholly inside
-      (``full``, no edges kept) or wholly outside (dropped).
+    edges are dropped. A region has one row in a tile and keeps each edge once there, so
+    rows grow with the edges and a pixel meets a region once:
+
+    - ``edge`` is the near edge where there is just one, ``edges`` holds several;
+    - ``ray_edges`` are those to cross for an areal shape with near edges. Where no edge is
+      near, the tile is wholly inside (``full``) or wholly outside (dropped).
     """
     pad = F.col("buffer_m") + 2.0 * half_pixel
     rows = regions.withColumn("__pad", pad).withColumn(
@@ -196,36 +194,21 @@ def tile_regions(regions: DataFrame, half_pixel: float, tile_m: float = DEFAULT_
         },
     )
     middle = E.contains_point(F.col("__ray"), (F.col("tile_x") + 0.5) * tile_m, (F.col("tile_y") + 0.5) * tile_m)
-    split = F.col("areal") & (F.size("__near") > 0)
-    full = computed_once(
-        local, {"__full": F.when(F.col("areal") & (F.size("__near") == 0), middle).otherwise(False)}
-    )
-    member = lambda e, earlier, ray, is_full: F.struct(
-        e.alias("edge"), earlier.alias("earlier"), ray.alias("ray_edges"), is_full.alias("full")
-    )
-    own = F.transform(
-        "__near", lambda e, i: member(e, F.slice("__near", 1, i), none, F.lit(False))
-    )
-    inner = F.when(
-        split | F.col("__full"),
-        F.array(
-            member(
-                F.lit(None).cast(E.EDGE_TYPE),
-                F.col("__near"),
-                F.when(F.col("__full"), none).otherwise(F.col("__ray")),
-                F.col("__full"),
-            )
-        ),
-    )
-    listed = F.concat(own, F.coalesce(inner, F.slice(own, 1, 0)))
-    return full.select(*keep, "tile_x", "tile_y", F.inline(listed))
+    n = F.size("__near")
+    found = computed_once(local, {"full": F.when(F.col("areal") & (n == 0), middle).otherwise(False)})
+    return found.filter((n > 0) | F.col("full")).select(
+        *keep, "tile_x", "tile_y", "full",
+        F.when(n == 1, F.col("__near")[0]).alias("edge"),
+        F.when(n > 1, F.col("__near")).otherwise(none).alias("edges"),
+        F.when(F.col("areal") & (n > 0), F.col("__ray")).otherwise(none).alias("ray_edges"),
+    )
 
 
 def tile_bound(regions: DataFrame, half_pixel: float, tile_m: float) -> tuple[int, int]:
     """Upper bound of (rows, bytes) that :func:`tile_regions` can produce.
 
     Read off the regions alone: every edge reaches at most the tiles of its grown
-    envelope, and every tile row holds at most all edges of its region twice.
+    envelope, and every row holds at most all edges of its region twice.
     """
     pad = (F.col("buffer_m") + 2.0 * half_pixel) * 2.0
     tiles = lambda width, height: ((width + pad) / tile_m + 2.0) * ((height + pad) / tile_m + 2.0)
@@ -251,15 +234,13 @@ def pixel_region_join(
     half_pixel: float = 15.0,
     tile_m: float = DEFAULT_TILE_M,
     touch: str = "all",
-    rows_per_task: int = ROWS_PER_TASK,
     max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Pixels with every region they belong to, by an equi-join on square tiles.
 
-    A pixel lies in exactly one tile and is counted for the first edge it is near to, so
-    no pair is found twice and nothing needs a distinct. The test of a pixel against one
-    edge is compiled arithmetic; arrays are searched only for pixels that pass it and have
-    earlier edges to rule out.
+    A pixel lies in exactly one tile and a region has one row there, so no pair is found
+    twice and nothing needs a distinct. The test of a pixel against a single edge is
+    compiled arithmetic; arrays are searched only where a region has more of them near.
     """
     tiled = pixels.withColumns(
         {"tile_x": _tile(F.col("x"), tile_m), "tile_y": _tile(F.col("y"), tile_m)}
@@ -272,23 +253,19 @@ def pixel_region_join(
         near = lambda e: (buffer_m > 0) & E.edge_near_point(e, x, y, buffer_m)
     else:
         raise ValueError(f"touch must be 'all' or 'center', got {touch!r}")
-    edge, earlier = F.col("edge"), F.col("earlier")
-    hit = F.when(edge.isNotNull(), near(edge)).otherwise(
-        F.col("full") | E.contains_point(F.col("ray_edges"), x, y)
-    )
-    first = (F.size(earlier) == 0) | ~F.exists(earlier, near)
+    single = F.when(F.col("edge").isNotNull(), near(F.col("edge"))).otherwise(False)
+    several = (F.size("edges") > 0) & F.exists("edges", near)
+    inside = (F.size("ray_edges") > 0) & E.contains_point(F.col("ray_edges"), x, y)
     bound = tile_bound(regions, half_pixel, tile_m)
-    joined = tile_join(
-        tiled, areas, ["tile_x", "tile_y"], closed(hit & first), rows_per_task, max_bytes, bound
-    )
-    return joined.drop("tile_x", "tile_y", "edge", "earlier", "ray_edges", "full")
+    test = closed(F.col("full") | single | several | inside)
+    joined = tile_join(tiled, areas, ["tile_x", "tile_y"], test, max_bytes, bound)
+    return joined.drop("tile_x", "tile_y", "edge", "edges", "ray_edges", "full")
 
 
 def block_region_join(
     blocks: DataFrame,
     regions: DataFrame,
     tile_m: float,
-    rows_per_task: int = ROWS_PER_TASK,
     max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Blocks and regions whose envelopes meet (regions grown by their buffer).
@@ -321,6 +298,6 @@ def block_region_join(
         & (F.col("tile_y") == _tile(corner_y, tile_m))
     )
     joined = tile_join(
-        tiles(blocks, ""), tiles(grown, "region_"), ["tile_x", "tile_y"], meets, rows_per_task, max_bytes
+        tiles(blocks, ""), tiles(grown, "region_"), ["tile_x", "tile_y"], meets, max_bytes
     )
     return joined.drop("tile_x", "tile_y")

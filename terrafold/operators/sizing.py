@@ -1,8 +1,8 @@
-"""Measured decisions: which side may be broadcast, and which keys need splitting.
+"""Measured decisions: which side of a join may be broadcast.
 
 Nothing here guesses from file statistics. A side is broadcast only after its rows and
-bytes were counted, and a join that must shuffle splits exactly the keys that were counted
-to be heavy.
+bytes were counted. Other joins shuffle both sides once, and Spark splits partitions that
+turn out skewed (``spark.sql.adaptive.skewJoin``).
 """
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from pyspark.sql import types as T
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 BROADCAST_MAX_ROWS = 1_000_000
 
-# A key with more rows, or more pairs to test, than this is split over several tasks.
-ROWS_PER_TASK = 2_000_000
-PAIRS_PER_TASK = 200_000_000
-
 _FIXED_WIDTH = 16
 
 
@@ -53,72 +49,20 @@ def broadcast_if_bounded(
     return df, False
 
 
-def split_join(
-    big: DataFrame,
-    other: DataFrame,
-    keys: list[str],
-    condition: Column | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-    pairs_per_task: int = PAIRS_PER_TASK,
-) -> DataFrame:
-    """Inner equi-join that spreads heavy keys of ``big`` over several tasks.
-
-    Rows and pairs per key are counted first; without a heavy key, the join is an ordinary
-    one. A heavy key gets as many shares as it needs. Its rows choose a share
-    by hashing all their columns, and copies of one row, which would all hash alike, are
-    counted, dealt out over the shares with a weight each, and unfolded after the join.
-    Everything is a function of the rows alone, so a task that is run again after losing
-    an executor makes the same shares. Rows of ``other`` with a heavy key are repeated once
-    per share.
-    """
-    n, m = F.col("__n"), F.col("__m")
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    matches = other.groupBy(*keys).agg(F.count(F.lit(1)).alias("__m"))
-    shares = F.least(n, F.greatest(F.ceil(n / rows_per_task), F.ceil(n * m.cast("double") / pairs_per_task)))
-    heavy = (
-        counts.join(matches, keys, "inner")
-        .select(*keys, shares.cast("int").alias("__shares"))
-        .filter(F.col("__shares") > 1)
-    )
-    n_heavy, size = measure(heavy)
-    if n_heavy == 0:
-        joined = big.join(other, keys, "inner")
-        return joined if condition is None else joined.filter(condition)
-    if n_heavy <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES:
-        heavy = F.broadcast(heavy)
-
-    light = big.join(heavy.drop("__shares"), keys, "left_anti").withColumns(
-        {"__share": F.lit(0).cast("bigint"), "__weight": F.lit(1).cast("bigint")}
-    )
-    copies = big.join(heavy, keys, "inner").groupBy(*big.columns, "__shares").agg(F.count(F.lit(1)).alias("__copies"))
-    parts = F.least(F.col("__copies"), F.col("__shares").cast("bigint"))
-    dealt = copies.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
-    extra = F.when(F.col("__part") < F.col("__copies") % parts, 1).otherwise(0)
-    weight = F.floor(F.col("__copies") / parts) + extra
-    share = F.pmod(F.pmod(F.xxhash64(*big.columns), F.col("__shares")) + F.col("__part"), F.col("__shares"))
-    hot = dealt.withColumns({"__share": share.cast("bigint"), "__weight": weight.cast("bigint")})
-    left = light.unionByName(hot.select(*light.columns))
-
-    repeat = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__shares"), F.lit(1)).cast("bigint") - 1)
-    right = other.join(heavy, keys, "left").withColumn("__share", F.explode(repeat)).drop("__shares")
-    joined = left.join(right, [*keys, "__share"], "inner")
-    if condition is not None:
-        joined = joined.filter(condition)
-    unfolded = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__weight"))))
-    return unfolded.drop("__share", "__weight", "__copy")
-
-
 def tile_join(
     big: DataFrame,
     other: DataFrame,
     keys: list[str],
     condition: Column,
-    rows_per_task: int = ROWS_PER_TASK,
     max_bytes: int = BROADCAST_MAX_BYTES,
     bound: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Inner join of a large table with tiled regions: broadcast when the tiles are known
-    to be small, a split shuffle join otherwise.
+    to be small, one shuffle of either side otherwise.
+
+    Each side is evaluated once, whatever the keys, and its columns may be of any type. A
+    tile with a large share of all pixels is split by Spark, as both inputs are shuffled for
+    this join alone.
 
     ``bound`` is an upper bound of the tiles' (rows, bytes) when the caller has one that is
     cheaper than counting; only where it is too large are the tiles counted themselves.
@@ -127,6 +71,4 @@ def tile_join(
         side, small = F.broadcast(other), True
     else:
         side, small = broadcast_if_bounded(other, max_bytes=max_bytes)
-    if small:
-        return big.join(side, keys, "inner").filter(condition)
-    return split_join(big, other, keys, condition, rows_per_task)
+    return big.join(side if small else other.hint("merge"), keys, "inner").filter(condition)

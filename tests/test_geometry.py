@@ -112,31 +112,52 @@ def test_tile_join_equals_every_pair(world, touch, tile_m):
     assert pairs(joined) == brute(pixels, rows, 15.0, touch)
 
 
-def test_shuffled_and_split_join_gives_the_same(world):
+def test_shuffled_join_gives_the_same(world):
+    """Both sides shuffle once, and columns that cannot be grouped pass through."""
     pixels, rows, px, regs = world
-    joined = regions.pixel_region_join(px, regs, 15.0, rows_per_task=100, max_bytes=0)
-    assert "BroadcastNestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+    tagged = px.withColumn("tags", F.create_map(F.lit("a"), F.col("pid")))
+    joined = regions.pixel_region_join(tagged, regs, 15.0, max_bytes=0)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoop" not in plan and plan.count("Exchange hashpartitioning") == 2
     assert pairs(joined) == brute(pixels, rows, 15.0, "all")
-
-
-def test_split_join_spreads_a_heavy_key(spark):
-    # A third of all rows share key 0, and half of those are copies of one row.
-    row = F.when(F.col("id") % 6 == 0, -1).otherwise(F.col("id"))
-    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
-    big = spark.range(10_000).select(key.alias("k"), row.alias("v"))
-    other = spark.range(10_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    other = other.unionByName(other.filter("k = 0").withColumn("w", F.lit(-5)))
-    out = sizing.split_join(big, other, ["k"], rows_per_task=500)
-    plain = big.join(other, "k").select(*out.columns)
-    assert out.count() == plain.count()
-    assert out.exceptAll(plain).count() == 0
-    # Few rows but many pairs are split as well.
-    paired = sizing.split_join(big, other, ["k"], pairs_per_task=700)
-    assert "__share" in paired._jdf.queryExecution().executedPlan().toString()
-    assert paired.count() == plain.count() and paired.select(*out.columns).exceptAll(plain).count() == 0
-    shares = sizing.split_join(big, other, ["k"], rows_per_task=100_000)
-    assert "__share" not in shares._jdf.queryExecution().executedPlan().toString()
-    assert shares.select(*out.columns).exceptAll(plain).count() == 0
+    assert joined.filter("tags['a'] <> pid").count() == 0
+
+
+def test_a_heavy_tile_is_split(spark):
+    """A third of all rows in one tile: Spark reads its partition in several tasks."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+        big = spark.range(0, 300_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        other = spark.range(300_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        out = sizing.tile_join(big, other, ["k"], F.lit(True), max_bytes=0)
+        assert out.count() == 300_000
+        total = out.agg(F.max("v"), F.sum("w"))
+        total.collect()
+        assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_stored_edges_grow_linearly(spark):
+    """A line of many edges in one tile keeps each once, in one row."""
+    sizes = []
+    for k in (50, 400):
+        points = [(100 + 50 * math.cos(i), 100 + 50 * math.sin(i * 1.7)) for i in range(k + 1)]
+        df = spark.createDataFrame([region("coast", [points], False, 5.0, False)], REGION_DDL)
+        tiles = regions.tile_regions(df, 15.0, 240.0)
+        sizes.append(tiles.agg(F.sum(F.size("edges") + F.col("edge").isNotNull().cast("int"))).first()[0])
+        assert tiles.groupBy("tile_x", "tile_y").count().filter("count > 1").count() == 0
+    assert sizes[1] <= 9 * sizes[0]
 
 
 def test_measured_broadcast(spark):
