@@ -84,7 +84,7 @@ def incremental_scenes(spark, sf_dir):
         return rounded_stats(H.cell_statistics(indices, X.RES), Z.DEFAULT_STATS)
 
     def ingest(checkpoint):
-        ingest_scenes(spark, source, pixels.drop("drop_no").schema, build, target, checkpoint, spread=("q", "r"))
+        ingest_scenes(spark, source, pixels.drop("drop_no").schema, build, target, checkpoint)
 
     # Every scene arrives in two pieces; then a new checkpoint replays all of it.
     first = fresh_path(spark, "progress")

@@ -169,6 +169,36 @@ def build_items(
     )
 
 
+def rejected_scenes(
+    scenes: DataFrame, metadata: DataFrame, bands: DataFrame, required: Sequence[str] = REQUIRED_ITEM_BANDS
+) -> DataFrame:
+    """Scenes that :func:`catalog_items` leaves out, and why.
+
+    ``reason`` is ``invalid id``, ``no metadata`` or ``missing bands``, ``missing`` names the
+    bands; the first reason that holds is given.
+    """
+    owned = bands.groupBy("scene_id").agg(F.collect_set("band").alias("__bands"))
+    known = metadata.select("scene_id", F.lit(True).alias("__known")).distinct()
+    joined = scenes.select("scene_id").distinct().join(known, "scene_id", "left").join(owned, "scene_id", "left")
+    wanted = F.array(*[F.lit(b) for b in required])
+    missing = F.array_sort(F.array_except(wanted, F.coalesce("__bands", F.array().cast("array<string>"))))
+    reason = (
+        F.when(~F.coalesce(S.valid_scene_id("scene_id"), F.lit(False)), "invalid id")
+        .when(F.col("__known").isNull(), "no metadata")
+        .when(F.size(missing) > 0, "missing bands")
+    )
+    found = joined.select("scene_id", reason.alias("reason"), missing.alias("missing"))
+    return found.filter("reason IS NOT NULL")
+
+
+def require_complete(scenes: DataFrame, metadata: DataFrame, bands: DataFrame, required: Sequence[str] = REQUIRED_ITEM_BANDS) -> DataFrame:
+    """The scenes, or an error that names some that could not become items."""
+    bad = rejected_scenes(scenes, metadata, bands, required).limit(5).collect()
+    if bad:
+        raise ValueError("Scenes without an item: " + ", ".join(f"{r['scene_id']} ({r['reason']})" for r in bad))
+    return scenes
+
+
 def items_with_missing_bands(items: DataFrame, required: Sequence[str] = REQUIRED_ITEM_BANDS) -> DataFrame:
     """Items (built with ``keep_incomplete``) that lack a required band."""
     lacking = F.array_except(F.array(*[F.lit(b) for b in required]), F.col("bands"))

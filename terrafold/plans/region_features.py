@@ -60,4 +60,4 @@ def write_region_features(features: DataFrame, path: str, resolution: int | None
     groups, and cells that a second run no longer has go with the scene's old files.
     """
     within = ["region_id"] if resolution is None else [f"cell_res{resolution}"]
-    return replace_partitions(features, path, ["scene_id"], spread=within, order=within)
+    return replace_partitions(features, path, "scene_id", within)

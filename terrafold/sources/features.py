@@ -30,18 +30,15 @@ def with_coarse_key(features: DataFrame, coarse_resolution: int, name: str | Non
     ).drop("__x", "__y", "__cq", "__cr")
 
 
-def write_features(
-    features: DataFrame, path: str, key: str, split: str | None = "scene_id", max_records_per_file: int = 5_000_000
-) -> str:
+def write_features(features: DataFrame, path: str, key: str, max_records_per_file: int = 5_000_000) -> str:
     """Write one directory per ``key`` value, replacing what was there.
 
-    Rows are brought together by key so that a directory gets few files; ``split`` adds a
-    second column to the shuffle key so that one popular key does not become one task. An
-    empty table leaves an empty directory.
+    Rows are brought together by key, so a directory gets few files; Spark splits a popular
+    key's rows over several tasks by their measured size. An empty table leaves an empty
+    directory.
     """
-    by = [key] if split is None else [key, split]
     (
-        features.repartition(*by)
+        features.hint("rebalance", key)
         .sortWithinPartitions(key)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
@@ -51,20 +48,18 @@ def write_features(
     return path
 
 
-def replace_partitions(
-    features: DataFrame, path: str, keys: list[str], spread: list[str], order: list[str] | None = None
-) -> str:
+def replace_partitions(features: DataFrame, path: str, key: str, order: list[str] | None = None) -> str:
     """Overwrite exactly the partitions present in ``features``, in one write.
 
-    Running it again with the same rows gives the same table. ``spread`` deals the rows of a
-    partition over several tasks, ``order`` sorts them inside its files.
+    Running it again with the same rows gives the same table. A large partition is split
+    over several tasks by its measured size; ``order`` sorts rows inside its files.
     """
     (
-        features.repartition(*keys, *spread)
-        .sortWithinPartitions(*keys, *(order or []))
+        features.hint("rebalance", key)
+        .sortWithinPartitions(key, *(order or []))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
+        .partitionBy(key)
         .parquet(path)
     )
     return path

@@ -25,7 +25,6 @@ def ingest_scenes(
     checkpoint: str,
     max_files_per_trigger: int | None = None,
     key: str = "scene_id",
-    spread: tuple[str, ...] = (),
 ) -> None:
     """Process every file not seen yet, then stop.
 
@@ -38,7 +37,7 @@ def ingest_scenes(
     def refresh(batch: DataFrame, _: int) -> None:
         touched = batch.select(key).distinct()
         whole = batch.sparkSession.read.schema(schema).parquet(source)
-        replace_partitions(build(whole.join(touched, key, "left_semi")), target, [key], list(spread))
+        replace_partitions(build(whole.join(touched, key, "left_semi")), target, key)
 
     query = (
         stream.parquet(source)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from terrafold.functions import hexgrid, metadata, projection, scene_ids
-from terrafold.operators import cells
+from terrafold.operators import catalog, cells
 from terrafold.plans import region_features as RF
 from terrafold.sources import features, listing
 
@@ -58,7 +60,7 @@ def test_equal_boxes_stay_apart(spark):
 
 def test_only_a_missing_path_reads_as_empty(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.0)], "cell string, v double")
-    path = features.write_features(df, str(tmp_path / "out"), "cell", split=None)
+    path = features.write_features(df, str(tmp_path / "out"), "cell")
     with pytest.raises(AnalysisException):
         features.read_features(spark, path, "cell string, id long, ID long", "cell").collect()
     assert features.read_features(spark, str(tmp_path / "none"), df.schema, "cell").count() == 0
@@ -104,3 +106,26 @@ def test_type_suffixes_are_no_numbers(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(metadata.as_float(F.col("t"))).collect()]
     assert got[:9] == [None, None, 5.5, 1000.0, -0.5, 5.0, None, None, None] and got[9] != got[9]
+
+
+def test_few_files_for_each_key(spark, tmp_path):
+    df = spark.range(2000).selectExpr("concat('c', id % 20) AS cell", "concat('s', id % 7) AS scene_id", "id AS v").repartition(40)
+    path = features.write_features(df, str(tmp_path / "out"), "cell")
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * 20 and spark.read.parquet(path).count() == 2000
+    again = features.replace_partitions(df, str(tmp_path / "scenes"), "scene_id", ["cell"])
+    files = [f for _, _, names in os.walk(again) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * 7 and spark.read.parquet(again).count() == 2000
+
+
+def test_scenes_left_out_are_named(spark):
+    good = ["LC09_L2SP_044032_20240715_20240717_02_T1", "LC09_L2SP_044031_20240715_20240717_02_T1", "LC09_L2SP_044033_20240715_20240717_02_T1"]
+    scenes = spark.createDataFrame([(s,) for s in [*good, "nonsense", None]], "scene_id string")
+    metadata = spark.createDataFrame([(good[0],), (good[2],)], "scene_id string")
+    required = list(catalog.REQUIRED_ITEM_BANDS)
+    bands = spark.createDataFrame([(s, b) for s in good for b in required if (s, b) != (good[2], required[0])], "scene_id string, band string")
+    got = {r["scene_id"]: (r["reason"], r["missing"]) for r in catalog.rejected_scenes(scenes, metadata, bands).collect()}
+    assert got[good[1]] == ("no metadata", []) and got[good[2]] == ("missing bands", [required[0]])
+    assert got["nonsense"][0] == got[None][0] == "invalid id" and good[0] not in got
+    with pytest.raises(ValueError, match="Scenes without an item"):
+        catalog.require_complete(scenes, metadata, bands)
