@@ -15,6 +15,7 @@ from terrafold.operators import scenes as S
 from terrafold.operators import zonal as Z
 from terrafold.plans import region_features as RF
 from terrafold.sources import geojson
+from terrafold.sources.shared import fresh_path
 
 LONG = ("mean", "std", "max")
 
@@ -62,9 +63,11 @@ def corridor_stats_long(spark, sf_dir):
 
 @query("union_index_stats", X.with_("px lines", _LONG, **_PAIRS))
 def union_index_stats(spark, sf_dir):
-    joined = R.pixel_region_join(indexed_px(spark, sf_dir), X.line_regions(spark, sf_dir), X.HALF)
-    keys = ["region_id", "region_kind", "scene_id"]
-    return _round_long(Z.union_indices([Z.long_stats(joined, keys, [i], ("mean", "std")) for i in IDX]))
+    # One join and one aggregation for all indices; the parts are read from what it wrote.
+    path = fresh_path(spark, "index-stats")
+    _long(spark, sf_dir).write.partitionBy("index_name").parquet(path)
+    parts = [spark.read.parquet(path).filter(F.col("index_name") == i) for i in IDX]
+    return _round_long(Z.union_indices(parts))
 
 
 _WIDE = (
