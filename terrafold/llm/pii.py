@@ -18,7 +18,8 @@ ROUNDS = 8
 #: A key for tests and samples; pass a secret one.
 KEY = "terrafold"
 
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}+"
+# The part before the sign has 64 characters at most, so no start reads far.
+EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}+"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 ISO_DATE = r"(?:19|20)\d\d([\-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])(?![\d])"
 DAY_DATE = r"(?:0[1-9]|[12]\d|3[01])([\-.])(?:0[1-9]|1[0-2])\2(?:19|20)\d\d(?!\d)"
@@ -29,7 +30,7 @@ PLAIN_PHONE = r"\+\d{8,15}(?!\d)"
 SOCIAL = r"\d{3}-\d{2}-\d{4}(?!\d)"
 CARD = r"\d(?:[ \-]?\d){12,18}(?!\d)"
 #: Tried in this order at every place that does not stand inside a number.
-PATTERN = rf"{EMAIL}|(?<![\w.+\-])(?=[+(\d])(?:{ISO_DATE}|{DAY_DATE}|{MONTH_DATE}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{PLAIN_PHONE})"
+PATTERN = rf"{EMAIL}|(?<![\w+])(?<!\d[.\-])(?=[+(\d])(?:{ISO_DATE}|{DAY_DATE}|{MONTH_DATE}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{PLAIN_PHONE})"
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Days before each month of a year without 29 February.

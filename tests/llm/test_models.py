@@ -162,6 +162,16 @@ def test_texts_keep_everything_else(spark):
     assert (got[3]["text"], got[4]["text"], got[3]["n"]) == (None, "", 0)
 
 
+def test_values_next_to_marks_are_found(spark):
+    marks = ["...", "###", "-", "(", "é", "=", "\n", ".", "..."]
+    values = ["anna@mail.example.com", "227.5.221.1", "4111111111111111", "+1 (743) 555-3824"]
+    df = spark.createDataFrame([(i, f"end{m} {m}{v}{m} {v}") for i, (m, v) in enumerate((m, v) for m in marks for v in values)], "doc_id long, text string")
+    got = [r["text"] for r in pii.protect(df).collect()]
+    assert not [t for t in got if any(v in t for v in values)]
+    chain = spark.createDataFrame([(1, "a." * 200_000)], "doc_id long, text string")
+    assert pii.protect(chain).first()["text"] == "a." * 200_000
+
+
 def test_pseudonym_edges(spark):
     df = X.edge(spark)
     out = pii.protect(df)
