@@ -24,8 +24,8 @@ K, SCALE = 20, 64
 BLOCK, GROUP, WAVE = 4096, 256, 1 << 16
 #: Rows that pivots are chosen from, vectors for each pivot, most pivots.
 SAMPLE, PER_PIVOT, PIVOTS = 2048, 2048, 256
-#: Points of a leaf and children of a node.
-LEAF, FANOUT = 64, 16
+#: Points of a leaf of data and of queries, and children of a node.
+LEAF, QUERY_LEAF, FANOUT = 512, 64, 8
 NOTHING = np.iinfo(np.int64).min
 
 
@@ -42,7 +42,8 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Tree:
     """A cover tree built from the top: children are far apart and cover their parent."""
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self, points: np.ndarray, leaf: int):
+        self.leaf = leaf
         self.points = points.astype(np.float64)
         self.square = (self.points**2).sum(1)
         #: Per node: centre (a point), covering radius, norm of the centre, members, children.
@@ -64,7 +65,7 @@ class Tree:
         self.radius.append(radius)
         self.members.append(members)
         self.children.append([])
-        if len(members) <= LEAF or radius == 0:
+        if len(members) <= self.leaf or radius == 0:
             return number
         centers, near = [center], np.zeros(len(members), np.int64)
         while len(centers) < FANOUT and far.max() > radius / 2:
@@ -142,11 +143,11 @@ def search_block(key, queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.D
     out = []
     if len(queries) and len(data):
         points, ids = whole(data["v"]), data["vec_id"].to_numpy(np.int64)
-        tree = Tree(points)
+        tree = Tree(points, LEAF)
         for _, group in queries.groupby("qg", sort=True):
             own = whole(group["v"])
             search = Search(own, group["vec_id"].to_numpy(np.int64), group["floor"].to_numpy(np.int64), k)
-            search.walk(Tree(own), tree, ids, points)
+            search.walk(Tree(own, QUERY_LEAF), tree, ids, points)
             row, at = np.nonzero(search.score != NOTHING)
             out.append(pd.DataFrame({"query_id": search.ids[row], "vec_id": search.found[row, at], "score": search.score[row, at]}))
     return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})
