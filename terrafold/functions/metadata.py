@@ -24,6 +24,7 @@ PROJECTION_FIELDS = (
     "CORNER_UL_PROJECTION_X_PRODUCT",
     "CORNER_UL_PROJECTION_Y_PRODUCT",
 )
+# Fixed values that stand in where metadata has none.
 DEFAULT_EPSG = 32610
 DEFAULT_SHAPE = (8031, 8001)
 

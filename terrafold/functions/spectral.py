@@ -19,6 +19,7 @@ INDEX_BANDS = {
     "nbr": ("B5", "B7"),
     "ndwi": ("B3", "B5"),
 }
+# Fixed value: the bands that the three indices are made of.
 REQUIRED_INDEX_BANDS = ("B3", "B4", "B5", "B7")
 
 
