@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from terrafold.sources.shared import fresh_path
 
 #: Bytes of text that one NumPy step works on; a longer document is a step of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Bytes up to which a measured table is sent to all executors rather than shuffled.
 BROADCAST_BYTES = 32 << 20
 

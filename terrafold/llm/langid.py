@@ -40,8 +40,8 @@ def counts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     rows = len(offsets) - 1
     out = np.zeros((rows, DIMENSIONS), np.int64)
     start, end = int(offsets[0]), int(offsets[-1])
-    for low in range(start, end, CHUNK_BYTES):
-        high = min(low + CHUNK_BYTES, end)
+    for low in range(start, end, CHUNK_BYTES // 2):
+        high = min(low + CHUNK_BYTES // 2, end)
         b = FOLD[raw[low : min(high + 2, end)]].astype(np.uint32)
         n = high - low
         row = (np.searchsorted(offsets, np.arange(low, high), "right") - 1) if rows > 1 else np.zeros(n, np.int64)
@@ -145,7 +145,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, clusters: int = CLUSTERS) -> M
     def sparse(batches):
         for batch in batches:
             raw, offsets = as_bytes(batch.column(1))
-            for lo, hi in chunks(offsets, most=256):
+            for lo, hi in chunks(offsets, CHUNK_BYTES // 2, 128):
                 count = counts(raw, offsets[lo : hi + 1])
                 at = [np.flatnonzero(c) for c in count]
                 yield pa.RecordBatch.from_arrays(
@@ -198,7 +198,7 @@ def classify(docs: DataFrame, model: Model, new: tuple[str, ...] = ("lang_pred",
     def run(batches):
         for batch in batches:
             raw, offsets = as_bytes(batch.column("text"))
-            for lo, hi in chunks(offsets, most=512):
+            for lo, hi in chunks(offsets, CHUNK_BYTES // 2, 128):
                 language, score, rejected = model.classify(raw, offsets[lo : hi + 1])
                 own = [batch.column(c).slice(lo, hi - lo) for c in rest]
                 yield pa.RecordBatch.from_arrays(

@@ -50,8 +50,8 @@ def minima(values: np.ndarray) -> np.ndarray:
     """The least value of a set under each hash function."""
     low = (values >> np.uint64(32)).astype(np.uint32)
     out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for a in range(0, len(low), 512):
-        np.minimum(out, ((low[a : a + 512, None] ^ XORS) * FACTORS).min(0), out=out)
+    for a in range(0, len(low), 256):
+        np.minimum(out, ((low[a : a + 256, None] ^ XORS) * FACTORS).min(0), out=out)
     return out
 
 
