@@ -30,6 +30,16 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> None:
+    """Send whole texts to Python workers in batches of at most ``rows`` rows.
+
+    Texts are long; ten thousand of them in a batch are held several times at once.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, rows)
+
+
 def small_side(df: DataFrame, row_bytes: str) -> DataFrame:
     """Mark a kept table for broadcast if its measured size is within ``BROADCAST_BYTES``.
 

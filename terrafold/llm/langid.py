@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import CHUNK_BYTES, as_bytes, chunks, unused
+from terrafold.llm.common import CHUNK_BYTES, as_bytes, chunks, small_batches, unused
 from terrafold.llm.pretokens import LETTER, classes
 
 #: Labelled rows that the classifier is fitted on, all languages together.
@@ -189,6 +189,7 @@ def classify(docs: DataFrame, model: Model, new: tuple[str, ...] = ("lang_pred",
     texts get equal results. Columns of these three names are replaced, others are kept; an
     empty table stays empty.
     """
+    small_batches(docs)
     rest = [c for c in docs.columns if c not in new]
     columns = [f"`{c}`" for c in rest]
     schema = type(docs.schema)([docs.schema[c] for c in rest])

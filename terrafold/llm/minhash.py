@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import as_bytes, chunks, keep, mixed, part_ids, small_side, unused
+from terrafold.llm.common import as_bytes, chunks, keep, mixed, part_ids, small_batches, small_side, unused
 from terrafold.llm.components import components
 from terrafold.llm.shingles import sets_of, shingle_sets
 
@@ -263,6 +263,7 @@ def confirmed_in_blocks(blocks: DataFrame, classes: DataFrame, docs: DataFrame)
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signatures of rows, classes of equal sets, and the component of linked classes."""
+    small_batches(docs)
     signed = keep(signatures(docs), "signatures")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "text_md5"))
     grouped = signed.filter("digest is not null").groupBy("digest").agg(least.alias("rep"))

@@ -27,7 +27,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from terrafold.llm.common import as_bytes, chunks, gapless_ranks, keep, part_ids, small_side
+from terrafold.llm.common import as_bytes, chunks, gapless_ranks, keep, part_ids, small_batches, small_side
 from terrafold.llm.pretokens import Pieces, flat_ids
 
 #: Ranks of the vocabulary that ``byte_bpe_50k.json`` holds too.
@@ -43,7 +43,7 @@ OUTPUT = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long,
 class Encoder:
     """Ids of pre-tokens, remembered up to a bound."""
 
-    def __init__(self, path: str, max_pieces: int = 400_000):
+    def __init__(self, path: str, max_pieces: int = 200_000):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         # Pre-tokens are cut already; only the merges of the encoding are wanted.
@@ -243,6 +243,7 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFram
     """
     path = path or public_tokenizers.path(VOCABULARY)
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    small_batches(docs)
     cut = keep(cut_documents(docs, path, size), "cut")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     chosen = plan(histogram, size)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import POWERS, as_bytes, chunks, keep, mixed, small_side, unused
+from terrafold.llm.common import POWERS, as_bytes, chunks, keep, mixed, small_batches, small_side, unused
 
 #: Bytes of a string that may not repeat, bytes of an anchor, and anchors in a string.
 LENGTH, GRAM = 400, 100
@@ -277,6 +277,7 @@ def window_spans(texts: DataFrame) -> DataFrame:
 
 def spans_by_text(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """Spans to remove of each text that has any, by the text's digest."""
+    small_batches(docs)
     signed = keep(anchored(docs).filter(F.col("n_bytes") >= LENGTH), "anchors")
     texts = keep(signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes")), "texts")
     one = small_side(texts.select("digest", "rep"), "40")
