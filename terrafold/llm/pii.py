@@ -25,12 +25,24 @@ ISO_DATE = r"(?:19|20)\d\d([\-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])(?![
 DAY_DATE = r"(?:0[1-9]|[12]\d|3[01])([\-.])(?:0[1-9]|1[0-2])\2(?:19|20)\d\d(?!\d)"
 MONTH_DATE = r"(?:0[1-9]|1[0-2])/(?:0[1-9]|[12]\d|3[01])/(?:19|20)\d\d(?!\d)"
 ADDRESS = rf"{OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)"
-PHONE = r"(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3}[ .\-]\d{4}(?!\d)"
+#: Stands in the templates for the cards of a text, which no pattern can tell by their check digit.
+CARDS, OTHERS = "<cards>", "<others>"
+PHONE = rf"(?:\+\d{{1,3}}[ .\-]?)?(?:\(\d{{2,4}}\)[ .\-]?|\d{{2,4}}[ .\-])\d{{3}}[ .\-](?!{CARDS})\d{{4}}(?!\d)"
 PLAIN_PHONE = r"\+\d{8,15}(?!\d)"
 SOCIAL = r"\d{3}-\d{2}-\d{4}(?!\d)"
 CARD = r"\d(?:[ \-]?\d){12,18}(?!\d)"
+#: Lengths of the groups that issuers print; unbroken digits are a layout too.
+LAYOUTS = ["4-4-4-4-3", "6-13", "4-4-4-4", "4-6-5", "4-5-6", "4-6-4", "4-4-5", "4-3-3-3"]
+LAYOUT = [r"\d{13,19}", *[r"[ \-]".join(rf"\d{{{n}}}" for n in layout.split("-")) for layout in LAYOUTS]]
+#: The longest possible card from each group of digits on, whatever stands before.
+WINDOW = rf"(?<![\w+])(?<!\d\.)(?=({CARD}))\d+"
+#: The same where no other group of digits stands before, or none after.
+FIRST_WINDOW = rf"(?<![\w+])(?<!\d[ .\-])(?=({CARD}))\d+"
+LAST_WINDOW = rf"(?<![\w+])(?<!\d[.\-])(?=({CARD}(?![ \-]\d)))\d+"
 #: Tried in this order at every place that does not stand inside a number.
-PATTERN = rf"{EMAIL}|(?<![\w+])(?<!\d[.\-])(?=[+(\d])(?:{ISO_DATE}|{DAY_DATE}|{MONTH_DATE}|{ADDRESS}|{SOCIAL}|{CARD}|{PHONE}|{PLAIN_PHONE})"
+TEMPLATE = rf"{EMAIL}|(?<![\w+])(?<!\d\.){CARDS}|(?<![\w+])(?<!\d[.\-])(?=[+(\d])(?:{ISO_DATE}|{DAY_DATE}|{MONTH_DATE}|{ADDRESS}|{SOCIAL}|{PHONE}|{PLAIN_PHONE}|{OTHERS})"
+#: The pattern of a text without cards.
+PATTERN = TEMPLATE.replace(CARDS, "(?!)").replace(OTHERS, "(?!)")
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Days before each month of a year without 29 February.
@@ -123,6 +135,33 @@ def luhn_sum(digits: Column, shift: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
 
 
+def is_card(text: Column) -> Column:
+    return let(digits_of(text), lambda digits: luhn_sum(digits, 0) % 10 == 0)
+
+
+def one_of(cards: Column) -> Column:
+    """A pattern for exactly these strings of digits, blanks and hyphens; longer ones first."""
+    ordered = F.sort_array(F.transform(F.array_distinct(cards), lambda c: F.struct(F.length(c).alias("n"), c.alias("c"))), asc=False)
+    listed = F.array_join(F.transform(ordered, lambda x: x["c"]), "|")
+    return F.when(F.size(cards) > 0, F.concat(F.lit("(?:"), listed, F.lit(r")(?!\d)"))).otherwise("(?!)")
+
+
+def pattern_of(text: Column) -> Column:
+    """``TEMPLATE`` with the strings of ``text`` that pass the check of a card.
+
+    Cards in a usual layout count wherever they stand, so that other numbers beside them
+    neither hide them nor are swallowed. Digits in other groups count if nothing stands
+    before them or, in groups of three and more, nothing after them.
+    """
+    windows = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    heads = lambda w: F.array(*[F.regexp_extract(w, rf"^(?:{layout})(?!\d)", 0) for layout in LAYOUT])
+    usual = F.filter(F.flatten(F.transform(windows(WINDOW), heads)), lambda c: (F.length(c) > 0) & is_card(c))
+    last = F.filter(windows(LAST_WINDOW), lambda c: ~c.rlike(r"(?<!\d)\d{1,2}(?!\d)"))
+    other = F.filter(F.concat(windows(FIRST_WINDOW), last), is_card)
+    whole = F.replace(F.replace(F.lit(TEMPLATE), F.lit(CARDS), one_of(usual)), F.lit(OTHERS), one_of(other))
+    return F.when(text.rlike(r"\d(?:[ \-]?\d){12}"), whole).otherwise(PATTERN)
+
+
 def card(text: Column, key: str) -> Column:
     def checked(payload: Column) -> Column:
         check = F.pmod(10 - luhn_sum(payload, 1) % 10, F.lit(10)).cast("string")
@@ -221,13 +260,14 @@ def protect(docs: DataFrame, key: str = KEY, text: str = "text", count: str | No
     empty table stays empty. ``count`` names a column for the number of values replaced; a
     column of that name is overwritten.
     """
-    hits = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
-    # Only texts with an at sign or two digits in a row can hold any.
-    some = F.col(text).rlike(r"@|[0-9][0-9]")
-    old, new = unused(docs, "_hits", "_new")
-    found = docs.withColumn(old, F.when(some, hits).otherwise(F.array().cast("array<string>")))
+    # Only texts with an at sign or two digits in a row, or a card of single ones, can hold any.
+    some = F.col(text).rlike(r"@|[0-9][0-9]|[0-9](?:[ \-][0-9]){12}")
+    pattern, old, new = unused(docs, "_pattern", "_hits", "_new")
+    found = docs.withColumn(pattern, F.when(some, pattern_of(F.col(text))).otherwise(PATTERN))
+    hits = F.regexp_extract_all(F.col(text), F.col(pattern), F.lit(0))
+    found = found.withColumn(old, F.when(some, hits).otherwise(F.array().cast("array<string>")))
     found = found.withColumn(new, F.transform(old, lambda h: pseudonym(h, key)))
-    parts = F.split(F.col(text), PATTERN, -1)
+    parts = F.split(F.col(text), F.col(pattern), -1)
     joined = F.array_join(F.flatten(F.zip_with(parts, new, lambda p, h: F.array(p, F.coalesce(h, F.lit(""))))), "")
     out = F.when(F.size(old) > 0, joined).otherwise(F.col(text))
     columns = [out.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != count]

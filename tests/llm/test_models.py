@@ -172,6 +172,31 @@ def test_values_next_to_marks_are_found(spark):
     assert pii.protect(chain).first()["text"] == "a." * 200_000
 
 
+def hidden(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n"]) for r in pii.protect(df, count="n").collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_cards_and_telephones_next_to_other_numbers(spark):
+    card, tel, other_tel, dinner = "4111 1111 1111 1111", "555-123-4567", "555-987-6543", "3056 930902 5904"
+    cases = {
+        f"{card} 123": [card], f"{card} 12/26": [card], f"1 {card}": [card], f"2024-{card.replace(' ', '-')}-1": [card.replace(" ", "-")],
+        f"{tel} {other_tel}": [tel, other_tel], f"{tel} 1234": [tel], f"{tel} {card} {tel}": [tel, card], f"{card} {card} 10.1.2.3": [card, "10.1.2.3"],
+        f"12 {dinner} 2020-02-03": [dinner, "2020-02-03"], "12345 67890 12345 555-123-4567": [tel], "41111111 11111111": ["41111111 11111111"],
+        f"{tel} 41111111 11111111": [tel, "41111111"], "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1": ["4 1 1 1 1"], f"555 123 {card}": [card], "7 4222 222 222 222": ["4222 222"],
+    }
+    for (text, values), (new, n) in zip(cases.items(), hidden(spark, cases), strict=True):
+        assert not [v for v in values if v in new] and n >= len(values), (text, new, n)
+        assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text) or "." in text
+    alone, beside = (t for t, _ in hidden(spark, [card, f"1 {card} 12/26"]))
+    assert beside == f"1 {alone} 12/26"
+    numbers = ["7 4111 1111 1111 1112 123", "12345 67890 12345", "1 2 3 4 5 6 7", "9" * 50]
+    assert [t for t, _ in hidden(spark, numbers)] == numbers
+    long = " ".join(["7"] * 50_000)
+    assert re.sub(r"\d", "7", hidden(spark, [long])[0][0]) == long
+
+
 def test_pseudonym_edges(spark):
     df = X.edge(spark)
     out = pii.protect(df)
