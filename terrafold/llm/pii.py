@@ -24,11 +24,19 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 ISO_DATE = r"(?:19|20)\d\d([\-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])(?![\d])"
 DAY_DATE = r"(?:0[1-9]|[12]\d|3[01])([\-.])(?:0[1-9]|1[0-2])\2(?:19|20)\d\d(?!\d)"
 MONTH_DATE = r"(?:0[1-9]|1[0-2])/(?:0[1-9]|[12]\d|3[01])/(?:19|20)\d\d(?!\d)"
+#: Day first where the month cannot be: both readings are possible up to 12, and then it is the month.
+SLASH_DATE = r"(?:1[3-9]|2\d|3[01])/(?:0[1-9]|1[0-2])/(?:19|20)\d\d(?!\d)"
 ADDRESS = rf"{OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)"
 #: Stands in the templates for the cards of a text, which no pattern can tell by their check digit.
 CARDS, OTHERS = "<cards>", "<others>"
 PHONE = rf"(?:\+\d{{1,3}}[ .\-]?)?(?:\(\d{{2,4}}\)[ .\-]?|\d{{2,4}}[ .\-])\d{{3}}[ .\-](?!{CARDS})\d{{4}}(?!\d)"
 PLAIN_PHONE = r"\+\d{8,15}(?!\d)"
+#: Country code and groups of any length, 8 to 15 digits in all, as many groups as fit.
+GROUPED_PHONE = (
+    rf"\+[1-9]\d{{0,2}}(?:[ .\-]?\(\d{{1,5}}\)[ .\-]?|[ .\-])(?!{CARDS})\d{{1,12}}(?:[ .\-](?!{CARDS})\d{{2,12}}){{0,6}}(?!\d)"
+    # Written out, as Java looks back over no repeated group.
+    + r"(?<=\+" + r"[ .()\-]{0,3}\d" * 8 + r"(?:[ .()\-]{0,3}\d)?" * 7 + ")"
+)
 SOCIAL = r"\d{3}-\d{2}-\d{4}(?!\d)"
 CARD = r"\d(?:[ \-]?\d){12,18}(?!\d)"
 #: Lengths of the groups that issuers print; unbroken digits are a layout too.
@@ -40,7 +48,7 @@ WINDOW = rf"(?<![\w+])(?<!\d\.)(?=({CARD}))\d+"
 FIRST_WINDOW = rf"(?<![\w+])(?<!\d[ .\-])(?=({CARD}))\d+"
 LAST_WINDOW = rf"(?<![\w+])(?<!\d[.\-])(?=({CARD}(?![ \-]\d)))\d+"
 #: Tried in this order at every place that does not stand inside a number.
-TEMPLATE = rf"{EMAIL}|(?<![\w+])(?<!\d\.){CARDS}|(?<![\w+])(?<!\d[.\-])(?=[+(\d])(?:{ISO_DATE}|{DAY_DATE}|{MONTH_DATE}|{ADDRESS}|{SOCIAL}|{PHONE}|{PLAIN_PHONE}|{OTHERS})"
+TEMPLATE = rf"{EMAIL}|(?<![\w+])(?<!\d\.){CARDS}|(?<![\w+])(?<!\d[.\-])(?=[+(\d])(?:{ISO_DATE}|{DAY_DATE}|{MONTH_DATE}|{SLASH_DATE}|{ADDRESS}|{SOCIAL}|{PHONE}|{PLAIN_PHONE}|{GROUPED_PHONE}|{OTHERS})"
 #: The pattern of a text without cards.
 PATTERN = TEMPLATE.replace(CARDS, "(?!)").replace(OTHERS, "(?!)")
 
@@ -228,6 +236,26 @@ def date(text: Column, key: str) -> Column:
     return F.when(exists.isNotNull(), out).otherwise(text)
 
 
+def slash_date(text: Column, key: str) -> Column:
+    """Dates of ``SLASH_DATE``, from day 13 on; they stay such, so none becomes a month-first date."""
+    day, month, year = (F.substring(text, a, n).cast("long") for a, n in ((1, 2), (4, 2), (7, 4)))
+    leap = (month == 2) & (day == 29)
+    starts = F.array(*[F.lit(x - 12 * i) for i, x in enumerate(MONTH_STARTS)])
+    new = feistel(year - 1900, F.element_at(starts, month.cast("int")) + day - 13, 200, 365 - 144, key, "day-first date")
+    rare = feistel(F.floor((year - 1904) / 28), F.floor((year - 1904) / 4) % 7, 7, 7, key, "leap day")
+
+    def spelled(d: Column, m: Column, y: Column) -> Column:
+        return F.concat_ws("/", F.lpad(d.cast("string"), 2, "0"), F.lpad(m.cast("string"), 2, "0"), y.cast("string"))
+
+    def usual(new: Column) -> Column:
+        month_of = F.size(F.filter(starts, lambda x: x <= new["b"]))
+        return let(month_of, lambda m: spelled(new["b"] - F.element_at(starts, m) + 13, m, 1900 + new["a"]))
+
+    out = F.when(leap, let(rare, lambda r: spelled(F.lit(29), F.lit(2), 1904 + 28 * r["a"] + 4 * r["b"]))).otherwise(let(new, usual))
+    exists = F.try_to_date(F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)))
+    return F.when(exists.isNotNull(), out).otherwise(text)
+
+
 def email(text: Column, key: str) -> Column:
     """All but the top-level domain, within the places of letters and digits."""
     whole = lambda name: F.concat(permuted(name, key, "email"), F.substr(text, F.length(name) + 1, F.length(text)))
@@ -245,6 +273,7 @@ def pseudonym(text: Column, key: str = KEY) -> Column:
     return (
         F.when(F.contains(text, F.lit("@")), email(text, key))
         .when(text.rlike(rf"^(?:{ISO_DATE}|{DAY_DATE}|{MONTH_DATE})$"), date(text, key))
+        .when(text.rlike(rf"^{SLASH_DATE}$"), slash_date(text, key))
         .when(text.rlike(rf"^{ADDRESS}$"), address(text, key))
         .when(text.rlike(rf"^{SOCIAL}$"), social(text, key))
         .when(text.rlike(rf"^{CARD}$"), card(text, key))

@@ -197,6 +197,21 @@ def test_cards_and_telephones_next_to_other_numbers(spark):
     assert re.sub(r"\d", "7", hidden(spark, [long])[0][0]) == long
 
 
+def test_day_first_dates_and_grouped_telephones(spark):
+    values = ["31/12/2024", "29/02/2024", "12/31/2024", "05/06/2024", "+44 20 7946 0958", "+33 1 23 45 67 89", "+34 612 345 678",
+              "+49 151 23456789", "+1 5551234567", "+44 (0)20 7946 0958", "+39-06-1234-5678"]
+    got = hidden(spark, [f"on {v}, or {v}." for v in values])
+    for v, (new, n) in zip(values, got, strict=True):
+        assert v not in new and n == 2 and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", f"on {v}, or {v}."), (v, new, n)
+        assert not v.startswith("+") or new.startswith("on " + re.match(r"\+\d+", v)[0])
+    kept = ["31/13/2024", "31/02/2023", "29/02/2023", "00/12/2024", "+12 34", "2 +2024 5"]
+    assert [t for t, _ in hidden(spark, kept)] == kept
+    days = [d for i in range(73049) if (d := datetime.date(1900, 1, 1) + datetime.timedelta(i)).day > 12]
+    new = [datetime.datetime.strptime(v, "%d/%m/%Y").date() for v in pseudonyms(spark, [d.strftime("%d/%m/%Y") for d in days])]
+    assert set(new) == set(days)
+    assert hidden(spark, ["+44 20 7946 0958 4111 1111 1111 1111"])[0][0].endswith(hidden(spark, ["4111 1111 1111 1111"])[0][0])
+
+
 def test_pseudonym_edges(spark):
     df = X.edge(spark)
     out = pii.protect(df)
