@@ -12,13 +12,20 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import keep
+from terrafold.llm.common import keep, small_side
+from terrafold.llm.pii import let
 
 BITS = 128
 #: Letters of a word that count for its weight, the square of that number.
 LONGEST = 8
 #: Two counters in one number: a bit and the bit 32 places above.
 LANES = 0x0000000100000001
+#: Documents with an id divisible by this are searched for neighbours.
+QUERY_EVERY = 100
+#: Bits in which a neighbour's fingerprint may differ.
+RADIUS = 3
+#: Rows over which the fingerprints of a bucket are dealt.
+SLICES = 32
 #: Sorts null ids behind all others in descending order.
 LEAST = -(1 << 63)
 
@@ -55,8 +62,7 @@ def spelled(f1: Column, f2: Column) -> Column:
 
 def likeness(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
     """Share of equal bits."""
-    flips = F.bit_count(a[0].bitwiseXOR(b[0])) + F.bit_count(a[1].bitwiseXOR(b[1]))
-    return 1 - flips / float(BITS)
+    return 1 - flips(a, b) / float(BITS)
 
 
 def in_ranges(docs: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
@@ -105,6 +111,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     share a ``doc_id`` follow each other in order of text, a null ``doc_id`` comes last; a
     single row is its own next document; an empty table gives none. Counters hold texts of
     up to 67 million long words.
+
+    Where ``doc_id`` is divisible by ``QUERY_EVERY``, ``n_neighbours`` counts all other
+    documents whose fingerprint differs in at most ``RADIUS`` bits, and ``nearest_doc_id`` is
+    the nearest: of a tie the least id, or, if the document itself has the least of its
+    copies, the greatest of them. Elsewhere both are null.
     """
     placed, heads = edited(docs)
     place = ["b", "seq"]
@@ -130,6 +141,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     joined = rows.join(F.broadcast(firsts), "b", "left")
     followed = joined.withColumn("n1", F.coalesce(F.lead("f1").over(order), "h1")).withColumn("n2", F.coalesce(F.lead("f2").over(order), "h2"))
     own, new, after_ = ((F.col(a), F.col(b)) for a, b in (("f1", "f2"), ("e1", "e2"), ("n1", "n2")))
+    around = keep(neighbours(rows), "neighbours")
+    followed = followed.join(small_side(around, "64"), ["f1", "f2"], "left")
+    asked, copies = F.col("doc_id") % QUERY_EVERY == 0, F.col("own.n") > 1
+    copy = F.when(F.col("own.low") < F.col("doc_id"), F.col("own.low")).otherwise(F.col("own.high"))
     return followed.select(
         "doc_id",
         "n_chars",
@@ -138,6 +153,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         spelled(*new).alias("edited_fingerprint"),
         likeness(own, new).alias("near_edited"),
         likeness(own, after_).alias("near_next"),
+        F.when(asked, F.col("total") - 1).alias("n_neighbours"),
+        F.when(asked, F.when(copies, copy).otherwise(F.col("nearest.low"))).alias("nearest_doc_id"),
     )
 
 
@@ -153,6 +170,78 @@ def block_tables(radius: int) -> list[tuple[tuple[int, int], ...]]:
     return list(combinations(blocks, 2))
 
 
+def block_masks(radius: int) -> list[tuple[int, int]]:
+    """The bits of each block in the two halves of a fingerprint."""
+    blocks = sorted({block for table in block_tables(radius) for block in table})
+    masks = []
+    for start, length in blocks:
+        bits = sum(0xF << 4 * (BITS // 4 - start - i) for i in range(length))
+        halves = (bits >> 64, bits & (1 << 64) - 1)
+        masks.append(tuple(h - (1 << 64) if h >> 63 else h for h in halves))
+    return masks
+
+
+def flips(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    return F.bit_count(a[0].bitwiseXOR(b[0])) + F.bit_count(a[1].bitwiseXOR(b[1]))
+
+
+def matches(queries: DataFrame, table: DataFrame, radius: int, others: tuple[str, ...] = ()) -> DataFrame:
+    """Rows ``q1``, ``q2``, ``found``: parts of what lies within ``radius`` bits of a query.
+
+    ``queries`` has distinct ``q1``, ``q2``; ``table`` has distinct ``f1``, ``f2`` and
+    ``others``. ``found`` is an array of these with ``distance``; each pair comes once over
+    all rows, from the table of the first two equal blocks. The fingerprints of a bucket are
+    dealt over ``SLICES`` rows and compared there, so that no pair is a row and none is
+    compared in one task because its bucket is large.
+    """
+    masks = block_masks(radius)
+    tables = list(combinations(range(len(masks)), 2))
+
+    def keys(a: str, b: str) -> Column:
+        def key(i: int, j: int) -> Column:
+            parts = [F.col(c).bitwiseAND(F.lit(masks[i][h] | masks[j][h])) for h, c in enumerate((a, b))]
+            return F.struct(F.lit(1 << i | 1 << j).alias("t"), F.xxhash64(*parts).alias("key"))
+
+        return F.explode(F.array(*[key(i, j) for i, j in tables])).alias("k")
+
+    slice_of = F.pmod(F.xxhash64("f1", "f2", F.lit("slice")), F.lit(SLICES)).cast("int").alias("slice")
+    entry = F.struct("f1", "f2", *others).alias("entry")
+    buckets = table.select(entry, slice_of, keys("f1", "f2")).groupBy("k.t", "k.key", "slice").agg(F.collect_list("entry").alias("entries"))
+    asked = queries.select("q1", "q2", keys("q1", "q2")).select("q1", "q2", "k.t", "k.key", F.explode(F.array(*[F.lit(i) for i in range(SLICES)])).alias("slice"))
+    joined = asked.hint("merge").join(buckets, ["t", "key", "slice"])
+    query = (F.col("q1"), F.col("q2"))
+
+    def first_two(x: Column) -> Column:
+        """The two first equal blocks of a query and an entry, as bits."""
+        equal = F.lit(0)
+        for i, (m1, m2) in enumerate(masks):
+            same = (query[0].bitwiseXOR(x["f1"]).bitwiseAND(F.lit(m1)) == 0) & (query[1].bitwiseXOR(x["f2"]).bitwiseAND(F.lit(m2)) == 0)
+            equal = equal + F.when(same, 1 << i).otherwise(0)
+        return let(equal, lambda e: let(e.bitwiseAND(e - 1), lambda rest: e - rest + rest.bitwiseAND(-rest)))
+
+    measured = F.transform("entries", lambda x: F.struct(flips(query, (x["f1"], x["f2"])).alias("distance"), *[x[c].alias(c) for c in ("f1", "f2", *others)]))
+    near = F.filter(F.filter(measured, lambda x: x["distance"] <= radius), lambda x: first_two(x) == F.col("t"))
+    return joined.select("q1", "q2", near.alias("found")).filter(F.size("found") > 0)
+
+
+def neighbours(rows: DataFrame, every: int = QUERY_EVERY, radius: int = RADIUS) -> DataFrame:
+    """For each fingerprint of a query: its documents, those around it, and the nearest.
+
+    ``rows`` has ``doc_id``, ``f1``, ``f2``. Copies are one entry with their number and their
+    least and greatest id.
+    """
+    ids = [F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
+    table = keep(rows.groupBy("f1", "f2").agg(F.count("*").alias("n"), *ids), "fingerprint_table")
+    queries = rows.filter(F.col("doc_id") % every == 0).select(F.col("f1").alias("q1"), F.col("f2").alias("q2")).distinct()
+    found = matches(queries, table, radius, ("n", "low", "high"))
+    total = F.aggregate("found", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    own = F.filter("found", lambda x: x["distance"] == 0)
+    own = F.get(own, F.lit(0))
+    nearest = F.array_min(F.transform(F.filter("found", lambda x: x["distance"] > 0), lambda x: F.struct(x["distance"], x["low"])))
+    parts = found.select("q1", "q2", total.alias("total"), own.alias("own"), nearest.alias("nearest"))
+    return parts.groupBy(F.col("q1").alias("f1"), F.col("q2").alias("f2")).agg(F.sum("total").alias("total"), F.max("own").alias("own"), F.min("nearest").alias("nearest"))
+
+
 def within(queries: DataFrame, fingerprint_table: DataFrame, radius: int) -> DataFrame:
     """Distinct fingerprints of ``fingerprint_table`` within ``radius`` bits of each query.
 
@@ -160,17 +249,12 @@ def within(queries: DataFrame, fingerprint_table: DataFrame, radius: int) -> Dat
     equal fingerprints are one row each, so copies do not multiply. Null fingerprints match
     nothing; empty tables give none.
     """
+    part = lambda at: f"CAST(conv(substring(fingerprint, {at}, 8), 16, 10) AS bigint)"
+    numbers = [F.expr(f"shiftleft({part(at)}, 32) | {part(at + 8)}") for at in (1, 17)]
 
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        distinct = df.select(F.col("fingerprint").alias(name)).filter(F.col(name).isNotNull()).distinct()
-        keys = [
-            F.concat(F.lit(f"{i}:"), *[F.substring(name, start, length) for start, length in table]) for i, table in enumerate(block_tables(radius))
-        ]
-        return distinct.select(name, F.explode(F.array(*keys)).alias("key"))
+    def halves(df: DataFrame, names: str) -> DataFrame:
+        return df.filter("fingerprint is not null").select(numbers[0].alias(names + "1"), numbers[1].alias(names + "2")).distinct()
 
-    distance = " + ".join(
-        f"bit_count(CAST(conv(substring(query, {a}, 8), 16, 10) AS bigint) ^ CAST(conv(substring(found, {a}, 8), 16, 10) AS bigint))"
-        for a in range(1, BITS // 4, 8)
-    )
-    pairs = keyed(queries, "query").join(keyed(fingerprint_table, "found"), "key").select("query", "found")
-    return pairs.withColumn("distance", F.expr(distance)).filter(F.col("distance") <= radius).distinct()
+    found = matches(halves(queries, "q"), halves(fingerprint_table, "f"), radius)
+    pairs = found.select("q1", "q2", F.explode("found").alias("x"))
+    return pairs.select(spelled(F.col("q1"), F.col("q2")).alias("query"), spelled(F.col("x.f1"), F.col("x.f2")).alias("found"), F.col("x.distance").alias("distance"))

@@ -103,6 +103,22 @@ def test_neighbours_within_a_radius(spark):
     assert got == {(a, b, d) for a in names for b in names if (d := bin(int(a, 16) ^ int(b, 16)).count("1")) <= 3}
 
 
+def test_neighbours_of_documents(spark):
+    base = [f"word{i * 7 % 101} and{i}" for i in range(200)]
+    texts = {i: " ".join(base[: 199 - i % 5]) for i in range(0, 400, 37)} | {i: f"other text {i % 3}" for i in range(0, 500, 50)} | {700: "alone here", 701: None, 800: ""}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    rows = {r["doc_id"]: r for r in simhash.fingerprints(df).collect()}
+    number = {i: int(r["fingerprint"], 16) for i, r in rows.items()}
+    some = 0
+    for i, r in rows.items():
+        near = sorted((d, j) for j in rows if j != i and (d := (number[i] ^ number[j]).bit_count()) <= simhash.RADIUS)
+        copies = [j for d, j in near if d == 0]
+        nearest = (max(copies) if copies and min(copies) > i else near[0][1]) if near else None
+        assert (r["n_neighbours"], r["nearest_doc_id"]) == ((len(near), nearest) if i % 100 == 0 else (None, None)), i
+        some += bool(near) and i % 100 == 0
+    assert some > 3 and rows[700]["n_neighbours"] == 0 and rows[800]["nearest_doc_id"] == 701
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):
