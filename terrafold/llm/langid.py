@@ -25,6 +25,10 @@ CLUSTERS = 4
 #: Dimensions: single bytes, hashed pairs, hashed triples.
 ONE, TWO, THREE = 256, 2048, 4096
 DIMENSIONS = ONE + TWO + THREE
+#: Labelled rows of each power of two of bytes that are looked at for the least cosines.
+CLASS_ROWS = 40
+#: Labelled texts of about a length from which its least cosine is taken.
+ENOUGH = 20
 #: A text is rejected below this share of the least cosine of labelled texts of its length.
 MARGIN = 0.55
 
@@ -96,7 +100,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
-    #: Least cosine that is not rejected, by :func:`size_class`; 0 where nothing was learned.
+    #: Least cosine that is not rejected, by :func:`size_class`.
     least: np.ndarray
 
     def classify(self, raw: np.ndarray, offsets: np.ndarray):
@@ -133,32 +137,51 @@ def held_out(doc_id="doc_id"):
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, clusters: int = CLUSTERS) -> Model:
-    """Fit on about ``rows`` labelled rows that are not held out, as many of each language."""
+    """Fit on about ``rows`` labelled rows that are not held out, as many of each language.
+
+    Lengths that are rare among these get up to ``CLASS_ROWS`` rows more, which count for
+    the least cosines only.
+    """
+    length = F.floor(F.log2(F.greatest(F.coalesce(F.octet_length("text"), F.lit(0)), F.lit(1)))).cast("int")
     labelled = docs.filter(~held_out() & F.col("lang").isNotNull())
-    per = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    numbers = labelled.groupBy("lang", length.alias("length")).count().collect()
+    per: dict = {}
+    for r in numbers:
+        per[r["lang"]] = per.get(r["lang"], 0) + r["count"]
     if not per:
         return Model(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], np.zeros(1))
     quota = max(1, rows // len(per))
     share = F.create_map(*[x for k, n in per.items() for x in (F.lit(k), F.lit(min(1.0, quota / n)))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 40)) / float(1 << 40)
+    of_length: dict[int, list[float]] = {}
+    for r in numbers:
+        both = of_length.setdefault(r["length"], [0, 0.0])
+        both[0] += r["count"]
+        both[1] += r["count"] * min(1.0, quota / per[r["lang"]])
+    more = {k: min(1.0, CLASS_ROWS / n) for k, (n, expected) in of_length.items() if expected < CLASS_ROWS} or {-1: 0.0}
+    extra = F.coalesce(F.create_map(*[x for k, v in more.items() for x in (F.lit(k), F.lit(v))])[length], F.lit(0.0))
+    uniform = lambda name: F.pmod(F.xxhash64("doc_id", F.lit(name)), F.lit(1 << 40)) / float(1 << 40)
+    in_fit = uniform("fit") < share[F.col("lang")]
 
     def sparse(batches):
         for batch in batches:
-            raw, offsets = as_bytes(batch.column(1))
+            raw, offsets = as_bytes(batch.column(2))
             for lo, hi in chunks(offsets, CHUNK_BYTES // 2, 128):
                 count = counts(raw, offsets[lo : hi + 1])
                 at = [np.flatnonzero(c) for c in count]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
+                        batch.column(1).slice(lo, hi - lo),
                         pa.array([a.astype("<u2").tobytes() for a in at], pa.binary()),
                         pa.array([c[a].astype("<u4").tobytes() for a, c in zip(at, count, strict=True)], pa.binary()),
                     ],
-                    ["lang", "bins", "counts"],
+                    ["lang", "in_fit", "bins", "counts"],
                 )
 
-    drawn = labelled.filter(draw < share[F.col("lang")]).select("lang", "text").mapInArrow(sparse, "lang string, bins binary, counts binary")
-    got = sorted((r["lang"], bytes(r["bins"]), bytes(r["counts"])) for r in drawn.collect() if r["bins"])
+    drawn = labelled.filter(in_fit | (uniform("length") < extra)).select("lang", in_fit.alias("in_fit"), "text")
+    drawn = drawn.mapInArrow(sparse, "lang string, in_fit boolean, bins binary, counts binary")
+    rows_ = sorted((r["lang"], bytes(r["bins"]), bytes(r["counts"]), r["in_fit"]) for r in drawn.collect() if r["bins"])
+    got, rare = ([g[:3] for g in rows_ if g[3] == which] for which in (True, False))
     count = np.zeros((len(got), DIMENSIONS), np.int64)
     for i, (_, bins, numbers) in enumerate(got):
         count[i, np.frombuffer(bins, "<u2")] = np.frombuffer(numbers, "<u4")
@@ -172,13 +195,27 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, clusters: int = CLUSTERS) -> M
     if not names:
         return Model(idf, np.zeros((0, DIMENSIONS), np.float32), [], np.zeros(1))
     centers = np.concatenate(centroids).astype(np.float32)
-    nearest, size = (v @ centers.T).max(1), size_class(count)
-    least = np.zeros(size.max() + 2)
-    for k in range(len(least)):
-        around = nearest[abs(size - k) <= 1]
-        # With few labelled texts of a length nothing of that length is rejected.
-        least[k] = MARGIN * around.min() if len(around) >= 20 else 0.0
-    return Model(idf, centers, names, least)
+    nearest, size = [(v @ centers.T).max(1)], [size_class(count)]
+    for _, bins, numbers_ in rare:
+        one = np.zeros((1, DIMENSIONS), np.int64)
+        one[0, np.frombuffer(bins, "<u2")] = np.frombuffer(numbers_, "<u4")
+        nearest.append((vectors(one, idf) @ centers.T).max(1))
+        size.append(size_class(one))
+    return Model(idf, centers, names, least_cosines(np.concatenate(nearest), np.concatenate(size)))
+
+
+def least_cosines(nearest: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The least cosine that is not rejected for each class of length.
+
+    A class takes the least of labelled texts of its own and the neighbouring classes, if
+    these are ``ENOUGH``, or else that of the nearest class that has enough (of two, the
+    lower). If no class has, nothing is known and nothing rejected.
+    """
+    classes_ = range(size.max() + 2)
+    own = {k: MARGIN * around.min() for k in classes_ if len(around := nearest[abs(size - k) <= 1]) >= ENOUGH}
+    if not own:
+        return np.zeros(len(classes_))
+    return np.array([min((abs(k - j), least) for j, least in own.items())[1] for k in classes_])
 
 
 def classify(docs: DataFrame, model: Model, new: tuple[str, ...] = ("lang_pred", "score", "rejected")) -> DataFrame:

@@ -24,6 +24,19 @@ def test_language_of_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_rare_lengths_are_rejected_too(spark):
+    docs = spark.read.parquet(f"{X.SF}/documents.parquet")
+    model = langid.fit(docs)
+    assert (model.least > 0).all()
+    draw = np.random.default_rng(7)
+    thai = ["".join(map(chr, draw.integers(0x0E01, 0x0E2E, n))) for n in (1, 2, 60_000)]
+    got = langid.classify(spark.createDataFrame(list(enumerate(thai)), "doc_id long, text string"), model).collect()
+    assert all(r["rejected"] for r in got)
+    nearest, size = np.array([0.5] * 20 + [0.3] * 20 + [0.1]), np.array([8] * 20 + [12] * 20 + [20])
+    least = langid.least_cosines(nearest, size) / langid.MARGIN
+    assert np.allclose(least[[0, 8, 10, 12, 20]], [0.5, 0.5, 0.3, 0.3, 0.3]) and not langid.least_cosines(nearest[:5], size[:5]).any()
+
+
 def test_language_rejects_what_is_far_from_all(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(docs)
