@@ -15,6 +15,8 @@ from __future__ import annotations
 import base64
 import functools
 import gc
+import json
+import re
 import struct
 import zlib
 from dataclasses import dataclass, field
@@ -30,8 +32,8 @@ from pyspark.sql.types import StructType
 from terrafold.llm.common import as_bytes, chunks, gapless_ranks, keep, part_ids, small_batches, small_side
 from terrafold.llm.pretokens import Pieces, flat_ids
 
-#: Ranks of the vocabulary that ``byte_bpe_50k.json`` holds too.
-VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Ranks of the vocabulary, and the file that holds it too and names its added tokens.
+VOCABULARY, ADDED = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 SIZE = 1024
 #: The id that ends a document.
 END = 0
@@ -41,20 +43,24 @@ OUTPUT = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class Encoder:
-    """Ids of pre-tokens, remembered up to a bound."""
+    """Ids of pre-tokens, remembered up to a bound, and of the tokens added to the vocabulary."""
 
-    def __init__(self, path: str, max_pieces: int = 200_000):
+    def __init__(self, path: str, added: dict[bytes, int], max_pieces: int = 200_000):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        # Pre-tokens are cut already; only the merges of the encoding are wanted.
-        self.core = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.added = added
+        # The longest of two that start at one place counts.
+        names = sorted(added, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.known: dict[bytes, bytes] = {}
         self.max_pieces = max_pieces
 
     def encode(self, piece: bytes) -> bytes:
         found = self.known.get(piece)
         if found is None:
-            ids = self.core.encode_single_piece(piece)
+            # A pre-token is one pre-token by itself too, so this cuts it no further.
+            ids = self.library.encode_ordinary(piece.decode("utf-8"))
             found = struct.pack(f"<{len(ids)}I", *ids)
             if len(piece) <= 64:
                 if len(self.known) >= self.max_pieces:
@@ -62,11 +68,49 @@ class Encoder:
                 self.known[piece] = found
         return found
 
+    def occurrences(self, raw: bytes, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+        """Added tokens within documents, left to right without overlaps: start, end, id."""
+        if self.pattern is None or not self.pattern.search(raw):
+            return []
+        bounds = offsets.tolist()
+        return [
+            (m.start(), m.end(), self.added[m.group()])
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True)
+            for m in self.pattern.finditer(raw, a, b)
+        ]
+
+    def ids(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all documents of a chunk, and where each document's start and the last end."""
+        cuts = self.occurrences(raw.tobytes(), offsets)
+        if not cuts:
+            return flat_ids(Pieces(raw, offsets), self.encode)
+        bounds = np.unique(np.concatenate([offsets, [c[0] for c in cuts], [c[1] for c in cuts]]))
+        ids, at = flat_ids(Pieces(raw, bounds), self.encode)
+        size, token = np.diff(at), np.full(len(bounds) - 1, -1, np.int64)
+        for start, _, number in cuts:
+            token[np.searchsorted(bounds, start)] = number
+        size = np.where(token >= 0, 1, size)
+        starts = np.append(0, np.cumsum(size))
+        out = np.empty(starts[-1], np.uint32)
+        for i, number in enumerate(token):
+            out[starts[i] : starts[i + 1]] = number if number >= 0 else ids[at[i] : at[i + 1]]
+        return out, starts[np.searchsorted(bounds, offsets)]
+
+
+def added_tokens(path: str) -> dict[bytes, int]:
+    """Added tokens of a tokenizers file and their ids; plain ones only."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    for t in found:
+        if t["lstrip"] or t["rstrip"] or t["single_word"]:
+            raise ValueError(f"{path}: added token {t['content']!r} strips or wants word borders")
+    return {t["content"].encode("utf-8"): t["id"] for t in found}
+
 
 @functools.cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: str) -> Encoder:
     """One per worker process."""
-    made = Encoder(path)
+    made = Encoder(path, added_tokens(added))
     gc.freeze()
     return made
 
@@ -75,17 +119,17 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def cut_documents(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
+def cut_documents(docs: DataFrame, path: str, added: str, size: int = SIZE) -> DataFrame:
     """Pieces of at most ``size`` ids of every document, with the ids of the last one."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        encode, used = encoder(path).encode, 0
+        library, used = encoder(path, added), 0
         for batch in batches:
             raw, offsets = as_bytes(batch.column(1))
             for lo, hi in chunks(offsets):
                 own = offsets[lo : hi + 1]
-                ids, at = flat_ids(Pieces(raw[own[0] : own[-1]], own - own[0]), encode)
+                ids, at = library.ids(raw[own[0] : own[-1]], own - own[0])
                 row, start, length, check, total, tail = [], [], [], [], [], []
                 for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
                     document = np.append(ids[a:b], np.uint32(END))
@@ -233,18 +277,21 @@ def cut_string(pieces: DataFrame, chosen: Plan, id_type: str) -> DataFrame:
     return pieces.select("doc_id", "start", "doc_tokens", "position", "tail").mapInPandas(run, OUTPUT.format(id=id_type))
 
 
-def pack(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, added: str | None = None) -> DataFrame:
     """Pieces of all documents in sequences of at most ``size`` ids.
 
+    ``path`` is a rank file, ``added`` a tokenizers file of the same vocabulary that names the
+    tokens added to it; one that stands in a text is its id, as the tokenizers library gives it.
+
     Takes ``doc_id`` and ``text``; other columns are left out. A row is a document: null or
     empty text is the end id alone, repeated rows are packed each, a text of any length is
     cut whole. An empty table packs to none. Full sequences hold ``size`` ids; at most
     ``log2(size)`` shorter ones exist, each of a power of two. Every id lies in one piece.
     """
-    path = path or public_tokenizers.path(VOCABULARY)
+    path, added = path or public_tokenizers.path(VOCABULARY), added or public_tokenizers.path(ADDED)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     small_batches(docs)
-    cut = keep(cut_documents(docs, path, size), "cut")
+    cut = keep(cut_documents(docs, path, added, size), "cut")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     chosen = plan(histogram, size)
     narrow = cut.select("piece_id", "doc_id", "start", "length", "ids_crc32", "doc_tokens")

@@ -146,7 +146,6 @@ def check_packing(rows, ids_of, size):
 
 def test_packing_documents(spark):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     texts = X.texts(spark)
     ids = {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t in texts.items()}
     rows = packing.pack(spark.read.parquet(f"{X.SF}/documents.parquet")).collect()
@@ -154,6 +153,15 @@ def test_packing_documents(spark):
     check_packing(rows, ids, 1024)
 
 
+def test_packing_added_tokens(spark):
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end} x\n{end}", f"x{end}", "<|endof", "text|>", f"é{end}  {end[:-1]}", "", f"\n{end}\n"]
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    check_packing(packing.pack(df, size=16).collect(), ids, 16)
+
+
 def test_packing_equal_lengths_are_strung(spark):
     df = spark.createDataFrame([(i, "one two three four") for i in range(50)], "doc_id long, text string")
     rows = packing.pack(df, size=16).collect()
