@@ -1,7 +1,8 @@
-"""Removal of repeated 400-byte strings by blockwise suffix sorting with cover-sample ranks.
+"""Removal of repeated strings by blockwise suffix sorting with cover-sample ranks.
 
-A suffix takes part only if something like it is elsewhere. Of every 400-byte string one
-anchor is chosen by its content, the least hash among its 100-byte substrings; equal strings
+A suffix takes part only if something like it is elsewhere. Of every string of the asked
+length one anchor is chosen by its content, the least hash among its substrings of a quarter
+of that length; equal strings
 have equal anchors at equal distances. So all suffixes that can be equal meet in the bucket of
 their anchor, and anchors that occur once drop out before any text moves. A bucket holds the
 bytes around its anchor's occurrences; a task sorts one block of buckets at a time, in bounded
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections import defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,15 +29,51 @@ from pyspark.sql import functions as F
 
 from terrafold.llm.common import POWERS, as_bytes, chunks, keep, mixed, small_batches, small_side, unused
 
-#: Bytes of a string that may not repeat, bytes of an anchor, and anchors in a string.
-LENGTH, GRAM = 400, 100
-PLACES = LENGTH - GRAM + 1
-LEFT = PLACES - 1
-WIDTH = LEFT + LENGTH
 #: Contexts that a sorted block holds; a bucket above the other bound goes by window digests.
 BLOCK, HOT = 8192, 50_000
-#: Columns between cover samples, and the length of the ranks that order suffixes.
-STEP, RANKED = 8, 256
+#: Columns between cover samples.
+STEP = 8
+
+
+@dataclass(frozen=True)
+class Repeats:
+    """What counts as repeated: strings of ``length`` bytes, found by anchors of ``gram`` bytes.
+
+    ``length`` is a multiple of 8. Of the maximal repeated runs of a text those with fewer
+    than ``words`` whole words stay unless they have ``always`` bytes.
+    """
+
+    length: int = 400
+    gram: int = 100
+    words: int = 0
+    always: int = 0
+
+    def __post_init__(self):
+        if self.length % STEP or not STEP <= self.gram <= self.length - STEP:
+            raise ValueError(f"length must be a multiple of {STEP} and gram within it: {self}")
+
+    @property
+    def places(self) -> int:
+        """Places of an anchor in a string."""
+        return self.length - self.gram + 1
+
+    @property
+    def left(self) -> int:
+        """Bytes before an anchor that strings with it can reach."""
+        return self.places - 1
+
+    @property
+    def width(self) -> int:
+        return self.left + self.length
+
+    @property
+    def ranked(self) -> int:
+        """Length of the ranks that order suffixes; two of them cover a string."""
+        return STEP << ((self.length - STEP) // STEP).bit_length() - 1
+
+
+#: Of the query, and of the pipeline: passages of over 50 words, one of them cut by an edge.
+LONG, PASSAGES = Repeats(), Repeats(length=200, gram=50, words=50, always=400)
 
 
 def sliding(values: np.ndarray, width: int, ufunc) -> np.ndarray:
@@ -50,24 +88,24 @@ def sliding(values: np.ndarray, width: int, ufunc) -> np.ndarray:
     return ufunc(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def anchors(raw: np.ndarray, offsets: np.ndarray, kind: Repeats = LONG) -> tuple[np.ndarray, np.ndarray]:
     """Places in ``raw`` of the anchors of all strings that lie within a document; hashes."""
-    n = len(raw) - GRAM + 1
-    if n < PLACES:
+    n = len(raw) - kind.gram + 1
+    if n < kind.places:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.arange(n)
     sums = POWERS.prefix(raw)
-    hashes = mixed((sums[GRAM:] - sums[:n]) * POWERS.down[:n])
+    hashes = mixed((sums[kind.gram :] - sums[:n]) * POWERS.down[:n])
     value = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    least = sliding(value, PLACES, np.minimum)
+    least = sliding(value, kind.places, np.minimum)
     end = offsets[np.minimum(np.searchsorted(offsets, at, "right"), len(offsets) - 1)]
-    least[at + LENGTH > end] = 0  # the string would leave its document
-    back = np.concatenate([np.zeros(LEFT, np.uint32), least])
-    chosen = np.flatnonzero((sliding(back, PLACES, np.maximum)[:n] == value))
+    least[at + kind.length > end] = 0  # the string would leave its document
+    back = np.concatenate([np.zeros(kind.left, np.uint32), least])
+    chosen = np.flatnonzero((sliding(back, kind.places, np.maximum)[:n] == value))
     return chosen, hashes[chosen]
 
 
-def anchored(docs: DataFrame) -> DataFrame:
+def anchored(docs: DataFrame, kind: Repeats = LONG) -> DataFrame:
     """Text digest, length and anchors of every row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -77,14 +115,14 @@ def anchored(docs: DataFrame) -> DataFrame:
             for lo, hi in chunks(offsets):
                 own = offsets[lo : hi + 1]
                 part, base = raw[own[0] : own[-1]], own - own[0]
-                chosen, hashes = anchors(part, base)
+                chosen, hashes = anchors(part, base, kind)
                 first = np.searchsorted(chosen, base)
                 document = np.searchsorted(base, chosen, "right") - 1
                 lists = pa.array(first.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
-                        pa.array([hashlib.md5(part[a:b]).digest() for a, b in zip(base[:-1], base[1:], strict=True)], pa.binary()),
+                        pa.array([hashlib.sha256(part[a:b]).digest() for a, b in zip(base[:-1], base[1:], strict=True)], pa.binary()),
                         pa.array(np.diff(base)),
                         pa.ListArray.from_arrays(lists, pa.array(hashes.view(np.int64))),
                         pa.ListArray.from_arrays(lists, pa.array((chosen - base[document]).astype(np.int32))),
@@ -98,13 +136,13 @@ def anchored(docs: DataFrame) -> DataFrame:
 
 
 def text_digest():
-    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
 
 
-def context(text: bytes, place: int) -> tuple[bytes, int]:
+def context(text: bytes, place: int, kind: Repeats = LONG) -> tuple[bytes, int]:
     """The bytes that strings with this anchor can reach, and how many stand before it."""
-    low = max(0, place - LEFT)
-    return text[low : place + LENGTH], place - low
+    low = max(0, place - kind.left)
+    return text[low : place + kind.length], place - low
 
 
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -113,47 +151,47 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist(), strict=True))
 
 
-def windows(left: int, size: int) -> tuple[int, int]:
+def windows(left: int, size: int, kind: Repeats = LONG) -> tuple[int, int]:
     """Distances from an anchor back to the starts of strings that a context holds: first, last."""
-    return max(0, LENGTH - (size - left)), left
+    return max(0, kind.length - (size - left)), left
 
 
-def contexts(texts: DataFrame) -> DataFrame:
+def contexts(texts: DataFrame, kind: Repeats = LONG) -> DataFrame:
     """One row for each distinct context of a text's repeated anchors."""
 
     def run(batches):
         for batch in batches:
             rows = []
             columns = [batch.column(i).to_pylist() for i in range(4)]
-            for digest, text, places, hashes in zip(*columns, strict=True):
+            for text_id, text, places, hashes in zip(*columns, strict=True):
                 seen = defaultdict(list)
                 for place, h in zip(places, hashes, strict=True):
-                    seen[h, *context(text, place)].append(place)
-                rows += [(h, digest, own, left, ctx) for (h, ctx, left), own in seen.items()]
+                    seen[h, *context(text, place, kind)].append(place)
+                rows += [(h, text_id, own, left, ctx) for (h, ctx, left), own in seen.items()]
             for a in range(0, len(rows), BLOCK) if rows else ():
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(x, t)
                         for x, t in zip(
                             zip(*rows[a : a + BLOCK], strict=True),
-                            (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int32(), pa.binary()),
+                            (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary()),
                             strict=True,
                         )
                     ],
-                    ["hash", "digest", "places", "left", "ctx"],
+                    ["hash", "text_id", "places", "left", "ctx"],
                 )
 
-    chosen = texts.select("digest", "text", "places", "hashes")
-    return chosen.mapInArrow(run, "hash long, digest binary, places array<int>, left int, ctx binary")
+    chosen = texts.select("text_id", "text", "places", "hashes")
+    return chosen.mapInArrow(run, "hash long, text_id long, places array<int>, left int, ctx binary")
 
 
-def cover_ranks(table: np.ndarray) -> dict[int, np.ndarray]:
-    """For every sample column, the rank of each row's next ``RANKED`` bytes."""
+def cover_ranks(table: np.ndarray, length: int) -> dict[int, np.ndarray]:
+    """For every sample column, the rank of each row's next ``length`` bytes."""
     rows, width = table.shape
     words = np.ascontiguousarray(table).view(">u8").astype(np.uint64)
     ranks = {c: words[:, c // STEP] for c in range(0, width - STEP + 1, STEP)}
     size = STEP
-    while size < RANKED:
+    while size < length:
         longer = {}
         for c in ranks:
             if c + size in ranks:
@@ -166,27 +204,27 @@ def cover_ranks(table: np.ndarray) -> dict[int, np.ndarray]:
     return ranks
 
 
-def sort_block(bucket: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Which suffixes of distinct contexts are equal to another one over ``LENGTH`` bytes.
+def sort_block(bucket: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.ndarray, kind: Repeats = LONG) -> np.ndarray:
+    """Which suffixes of distinct contexts are equal to another one over ``kind.length`` bytes.
 
-    ``table`` has the contexts with their anchors in column ``LEFT``; a row's suffixes start
+    ``table`` has the contexts with their anchors in column ``kind.left``; a row's suffixes start
     from ``low`` to ``high`` columns before it. Returns a flag for each row and distance.
     """
     rows = len(table)
-    out = np.zeros((rows, PLACES), bool)
+    out = np.zeros((rows, kind.places), bool)
     if rows < 2:
         return out
-    width = -(-(WIDTH + STEP) // STEP) * STEP
+    width = -(-(kind.width + STEP) // STEP) * STEP
     padded = np.zeros((rows, width), np.uint8)
-    padded[:, :WIDTH] = table
-    ranks = cover_ranks(padded)
-    for d in range(PLACES):
+    padded[:, : kind.width] = table
+    ranks = cover_ranks(padded, kind.ranked)
+    for d in range(kind.places):
         live = np.flatnonzero((low <= d) & (d <= high))
         if len(live) < 2:
             continue
-        start, end = LEFT - d, LEFT - d + LENGTH
+        start, end = kind.left - d, kind.left - d + kind.length
         first = -(-start // STEP) * STEP
-        last = end // STEP * STEP - RANKED
+        last = end // STEP * STEP - kind.ranked
         head = np.ascontiguousarray(padded[live, start : start + 8]).view(">u8")[:, 0]
         tail = np.ascontiguousarray(padded[live, end - 8 : end]).view(">u8")[:, 0]
         middle = ranks[first][live].astype(np.uint64) * np.uint64(rows) + ranks[last][live].astype(np.uint64)
@@ -202,38 +240,41 @@ def sort_block(bucket: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.
     return out
 
 
-def repeated_spans(hashes: np.ndarray, rows: list[tuple]) -> list[tuple[bytes, int, int]]:
-    """Spans (text digest, start, end) that whole buckets prove repeated.
+def repeated_spans(hashes: np.ndarray, rows: list[tuple], kind: Repeats = LONG) -> list[tuple[int, int, int]]:
+    """Spans (text id, start, end) that whole buckets prove repeated.
 
-    ``rows``: (digest, places, left, context) of each row, ``hashes`` its bucket.
+    ``rows``: (text id, places, left, context) of each row, ``hashes`` its bucket.
     """
-    kinds: dict[tuple, int] = {}
-    kind = np.array([kinds.setdefault((h, r[2], r[3]), len(kinds)) for h, r in zip(hashes.tolist(), rows, strict=True)])
-    times = np.bincount(kind, weights=[len(r[1]) for r in rows]).astype(np.int64)
-    table = np.zeros((len(kinds), WIDTH), np.uint8)
-    bucket, low, high = (np.zeros(len(kinds), np.int64) for _ in range(3))
-    for (h, left, ctx), i in kinds.items():
+    known: dict[tuple, int] = {}
+    own = np.array([known.setdefault((h, r[2], r[3]), len(known)) for h, r in zip(hashes.tolist(), rows, strict=True)])
+    times = np.bincount(own, weights=[len(r[1]) for r in rows]).astype(np.int64)
+    table = np.zeros((len(known), kind.width), np.uint8)
+    bucket, low, high = (np.zeros(len(known), np.int64) for _ in range(3))
+    for (h, left, ctx), i in known.items():
         bucket[i] = h
-        low[i], high[i] = windows(left, len(ctx))
-        table[i, LEFT - left : LEFT - left + len(ctx)] = np.frombuffer(ctx, np.uint8)
-    flags = sort_block(np.unique(bucket, return_inverse=True)[1], table, low, high)
+        low[i], high[i] = windows(left, len(ctx), kind)
+        table[i, kind.left - left : kind.left - left + len(ctx)] = np.frombuffer(ctx, np.uint8)
+    flags = sort_block(np.unique(bucket, return_inverse=True)[1], table, low, high, kind)
     for i in np.flatnonzero(times > 1):
         flags[i, low[i] : high[i] + 1] = True
     found = [runs(f) for f in flags]
     return [
-        (digest, place - b, place - a + LENGTH) for k, (digest, places, _, _) in zip(kind.tolist(), rows, strict=True) for a, b in found[k] for place in places
+        (text_id, place - b, place - a + kind.length)
+        for k, (text_id, places, _, _) in zip(own.tolist(), rows, strict=True)
+        for a, b in found[k]
+        for place in places
     ]
 
 
-def bucket_spans(rows: DataFrame) -> DataFrame:
+def bucket_spans(rows: DataFrame, kind: Repeats = LONG) -> DataFrame:
     """Sort the buckets, block by block, and say which spans of which texts repeat."""
 
     def answer(hashes, rows):
-        spans = repeated_spans(hashes, rows)
+        spans = repeated_spans(hashes, rows, kind)
         for a in range(0, len(spans), 1 << 16):
             columns = list(zip(*spans[a : a + (1 << 16)], strict=True))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())], ["digest", "start", "end"]
+                [pa.array(c, pa.int64()) for c in columns], ["text_id", "start", "end"]
             )
 
     def run(batches):
@@ -253,58 +294,78 @@ def bucket_spans(rows: DataFrame) -> DataFrame:
         if held:
             yield from answer(held_hashes, held)
 
-    dealt = rows.select("hash", "digest", "places", "left", "ctx").repartition("hash").sortWithinPartitions("hash")
-    return dealt.mapInArrow(run, "digest binary, start long, end long")
+    dealt = rows.select("hash", "text_id", "places", "left", "ctx").repartition("hash").sortWithinPartitions("hash")
+    return dealt.mapInArrow(run, "text_id long, start long, end long")
+
 
+def window_spans(texts: DataFrame, kind: Repeats = LONG) -> DataFrame:
+    """The same for hot anchors, whose buckets are too large to sort: digests of all windows.
 
-def window_spans(texts: DataFrame) -> DataFrame:
-    """The same for hot anchors, whose buckets are too large to sort: digests of all windows."""
+    Windows are counted before they shuffle, so a passage that is everywhere weighs on no
+    task; the digests that repeat come back by broadcast or by a join that Spark may split.
+    """
 
     def run(batches):
         for batch in batches:
-            for digest, text, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                starts = sorted({p - d for p in places for d in range(PLACES) if p - d >= 0 and p - d + LENGTH <= len(text)})
+            for text_id, text, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                starts = sorted({p - d for p in places for d in range(kind.places) if p - d >= 0 and p - d + kind.length <= len(text)})
                 for a in range(0, len(starts), 1 << 14):
                     part = starts[a : a + (1 << 14)]
-                    marks = [hashlib.blake2b(text[s : s + LENGTH], digest_size=16).digest() for s in part]
-                    yield pa.RecordBatch.from_arrays([pa.array([digest] * len(part), pa.binary()), pa.array(part, pa.int64()), pa.array(marks, pa.binary())], ["digest", "start", "mark"])
+                    marks = [hashlib.sha256(text[s : s + kind.length]).digest() for s in part]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([text_id] * len(part), pa.int64()), pa.array(part, pa.int64()), pa.array(marks, pa.binary())],
+                        ["text_id", "start", "mark"],
+                    )
 
-    found = keep(texts.select("digest", "text", F.col("hot").alias("places")).mapInArrow(run, "digest binary, start long, mark binary"), "windows")
-    identity = F.xxhash64("digest", "start")
-    twice = found.groupBy("mark").agg(F.min(identity).alias("x"), F.max(identity).alias("y")).filter("x <> y").select("mark")
-    return found.join(twice, "mark", "left_semi").select("digest", "start", (F.col("start") + LENGTH).alias("end"))
+    found = texts.select("text_id", "text", F.col("hot").alias("places")).mapInArrow(run, "text_id long, start long, mark binary")
+    found = keep(found, "windows")
+    twice = keep(found.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"), "marks")
+    again = found.join(small_side(twice, "48"), "mark", "left_semi")
+    return again.select("text_id", "start", (F.col("start") + kind.length).alias("end"))
 
 
-def spans_by_text(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def spans_by_text(docs: DataFrame, hot: int = HOT, kind: Repeats = LONG) -> DataFrame:
     """Spans to remove of each text that has any, by the text's digest."""
     small_batches(docs)
-    signed = keep(anchored(docs).filter(F.col("n_bytes") >= LENGTH), "anchors")
-    texts = keep(signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes")), "texts")
-    one = small_side(texts.select("digest", "rep"), "40")
+    signed = keep(anchored(docs, kind).filter(F.col("n_bytes") >= kind.length), "anchors")
+    texts = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes"))
+    texts = keep(texts.withColumn("text_id", F.monotonically_increasing_id()), "texts")
+    one = small_side(texts.select("digest", "rep", "text_id"), "64")
     single = signed.join(one, "digest").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
-    zipped = single.select("digest", "rep", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
-    occurrences = zipped.select("digest", "rep", F.col("x.hashes").alias("hash"), F.col("x.places").alias("place"))
-    identity = F.xxhash64("digest", "place")
-    shared = occurrences.groupBy("hash").agg(F.min(identity).alias("x"), F.max(identity).alias("y"), F.count("*").alias("m")).filter("x <> y")
+    zipped = single.select("text_id", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
+    occurrences = zipped.select("text_id", F.col("x.hashes").alias("hash"), F.col("x.places").alias("place"))
+    shared = occurrences.groupBy("hash").agg(F.count("*").alias("m")).filter("m > 1")
     shared = keep(shared.select("hash", (F.col("m") > hot).alias("is_hot")), "shared")
     met = occurrences.join(small_side(shared, "12"), "hash")
     pair = F.struct("place", "hash")
-    gathered = met.groupBy("digest", "rep").agg(
+    gathered = met.groupBy("text_id").agg(
         F.collect_set(F.when(~F.col("is_hot"), pair)).alias("cold"), F.collect_set(F.when(F.col("is_hot"), F.col("place"))).alias("hot")
     )
-    wanted = keep(gathered.select("digest", "rep", F.col("cold.place").alias("places"), F.col("cold.hash").alias("hashes"), "hot"), "wanted")
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), text_digest().alias("md5"))
+    wanted = gathered.join(texts.select("text_id", "digest", "rep"), "text_id")
+    wanted = keep(wanted.select("digest", "rep", "text_id", F.col("cold.place").alias("places"), F.col("cold.hash").alias("hashes"), "hot"), "wanted")
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), text_digest().alias("own"))
     # Places grow with the texts, so this joins by a shuffle at every size.
-    joined = own.join(wanted, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (F.col("md5") == F.col("digest")))
-    spans = bucket_spans(contexts(joined))
+    joined = own.join(wanted, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (F.col("own") == F.col("digest")))
+    spans = bucket_spans(contexts(joined, kind), kind)
     if shared.filter("is_hot").limit(1).count():
-        spans = spans.unionByName(window_spans(joined.filter("size(hot) > 0")))
-    copied = texts.filter("copies > 1").select("digest", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
-    everything = spans.unionByName(copied)
-    return keep(everything.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
+        spans = spans.unionByName(window_spans(joined.filter("size(hot) > 0"), kind))
+    copied = texts.filter("copies > 1").select("text_id", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
+    everything = spans.unionByName(copied).groupBy("text_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return keep(everything.join(texts.select("text_id", "digest"), "text_id").select("digest", "spans"), "spans")
 
 
-def kept_bytes(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
+def whole_words(text: bytes, start: int, end: int) -> int:
+    """Words that lie within ``text[start:end]`` from their first to their last byte."""
+    part = text[start:end]
+    n = len(part.split())
+    if n and start and not part[:1].isspace() and not text[start - 1 : start].isspace():
+        n -= 1
+    if n and end < len(text) and not part[-1:].isspace() and not text[end : end + 1].isspace():
+        n -= 1
+    return n
+
+
+def kept_bytes(text: bytes, spans: list[dict] | None, kind: Repeats = LONG) -> tuple[bytes, int, int]:
     """What stays of a text, how many bytes go, and in how many maximal runs."""
     merged: list[list[int]] = []
     for a, b in sorted((s["start"], s["end"]) for s in spans or ()):
@@ -312,6 +373,8 @@ def kept_bytes(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
             merged[-1][1] = max(merged[-1][1], b)
         else:
             merged.append([a, b])
+    if kind.words:
+        merged = [m for m in merged if m[1] - m[0] >= kind.always or whole_words(text, *m) >= kind.words]
     if not merged:
         return text, 0, 0
     bounds = [0, *[x for span in merged for x in span], len(text)]
@@ -321,8 +384,8 @@ def kept_bytes(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
 
 def with_spans(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
     """``docs`` with each text's spans, null where it has none."""
-    own, md5 = unused(docs, "_digest", "_md5")
-    return docs.withColumn(own, text_digest()).join(spans.toDF(md5, name), F.col(own) == F.col(md5), "left").drop(own, md5)
+    own, digest = unused(docs, "_digest", "_md5")
+    return docs.withColumn(own, text_digest()).join(spans.toDF(digest, name), F.col(own) == F.col(digest), "left").drop(own, digest)
 
 
 def removal(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -351,23 +414,25 @@ def removal(docs: DataFrame, hot: int = HOT) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = HOT, kind: Repeats = PASSAGES) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text``; the other columns as they are.
 
     A character that a cut parts goes as a whole. ``n_chars``, if there, is counted anew.
-    Null text stays null; every row stays, if with an empty text.
+    Null text stays null; every row stays, if with an empty text. Repeated rows both lose
+    all that ``kind`` takes; an empty table stays empty.
     """
     (name,) = unused(docs, "_spans")
-    joined = with_spans(docs, spans_by_text(docs.select("doc_id", "text"), hot), name)
-    text = F.when(F.col(name).isNull(), F.col("text")).otherwise(F.pandas_udf(_cut, "string")(F.when(F.col(name).isNotNull(), F.col("text")), F.to_json(name)))
+    joined = with_spans(docs, spans_by_text(docs.select("doc_id", "text"), hot, kind), name)
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        def one(text, s):
+            return None if text is None or s is None else kept_bytes(text.encode("utf-8"), json.loads(s), kind)[0].decode("utf-8", "ignore")
+
+        return pd.Series([one(t, s) for t, s in zip(texts, spans, strict=True)], dtype="object")
+
+    text = F.when(F.col(name).isNull(), F.col("text")).otherwise(cut(F.when(F.col(name).isNotNull(), F.col("text")), F.to_json(name)))
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[f"`{c}`" for c in docs.columns])
-
-
-def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    def one(text, s):
-        return None if text is None or s is None else kept_bytes(text.encode("utf-8"), json.loads(s))[0].decode("utf-8", "ignore")
-
-    return pd.Series([one(t, s) for t, s in zip(texts, spans, strict=True)], dtype="object")

@@ -89,3 +89,22 @@ def removed(values: list[bytes]) -> list[tuple]:
         kept = bytes(x for x, g in zip(v, gone, strict=True) if not g)
         out.append((len(v), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def without_passages(texts: list[str], length: int, words: int, always: int) -> list[str]:
+    """What stays when runs that repeat over ``length`` bytes and have so many whole words go."""
+    values = [t.encode() for t in texts]
+    seen = Counter(v[i : i + length] for v in values for i in range(len(v) - length + 1))
+    out = []
+    for v in values:
+        gone = bytearray(len(v))
+        for i in range(len(v) - length + 1):
+            if seen[v[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        kept, at = b"", 0
+        for m in re.finditer(b"\1+", bytes(gone)):
+            inside = [w for w in re.finditer(rb"[^\x20\x09-\x0D]+", v) if m.start() <= w.start() and w.end() <= m.end()]
+            if m.end() - m.start() >= always or len(inside) >= words:
+                kept, at = kept + v[at : m.start()], m.end()
+        out.append((kept + v[at:]).decode("utf-8", "ignore"))
+    return out
