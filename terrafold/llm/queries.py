@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import bpe, langid, minhash, packing, pii, sharding, simhash, suffix, topk, unigram
+from terrafold.llm import bpe, fim, langid, lexical, licenses, minhash, packing, pii, sharding, simhash, suffix, topk, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,75 @@ def top_products(spark, sf_dir):
 def counted(spark, sf_dir):
     """Tokens of every text under a unigram vocabulary."""
     return unigram.token_counts(documents(spark, sf_dir))
+
+
+_LEXICAL = r"""
+WITH doc_terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), item_terms AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), lengths AS (SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM lengths),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY doc_id, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM tf, totals GROUP BY term, n_docs
+), asked AS (SELECT item_id, term, count(*) AS times FROM item_terms GROUP BY item_id, term),
+scored AS (
+    SELECT item_id, doc_id,
+        CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // total))))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (doc_id), totals GROUP BY item_id, doc_id
+), placed AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+
+@query("op11_ranked_search", _LEXICAL)
+def ranked_documents(spark, sf_dir):
+    """The ten best documents for every benchmark item."""
+    return lexical.top_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op12_license_scan")
+def licensed(spark, sf_dir):
+    """Licence notices and expressions of every text."""
+    return licenses.labelled(documents(spark, sf_dir))
+
+
+_INFILLED = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+        sha256('7:' || doc_id) AS h FROM documents
+), numbers AS (
+    SELECT doc_id, text, lines, CAST(len(lines) AS BIGINT) AS n,
+        [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS h,
+    FROM drawn
+), placed AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+            WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), parts AS (
+    SELECT *, array_to_string(lines[1:a], '') AS prefix, array_to_string(lines[a + 1:b], '') AS middle, array_to_string(lines[b + 1:], '') AS suffix
+    FROM placed
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op13_fill_in_middle", _INFILLED)
+def infilled(spark, sf_dir):
+    """Every text cut, arranged for filling in its middle, and rebuilt."""
+    return fim.digests(documents(spark, sf_dir))
