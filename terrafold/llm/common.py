@@ -50,6 +50,22 @@ def small_side(df: DataFrame, row_bytes: str) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def split_by_bits(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose ``key`` may be among those of ``keys``, and rows whose key is not.
+
+    The keys set bits of a map of 2**25 bits in 2**19 words; that map is what is broadcast, so
+    it has at most 8 MB at any size. The more keys, the more rows of the first kind have none.
+    """
+    word, bit, bits = unused(df, "_word", "_bit", "_bits")
+    held = keys.select(F.xxhash64(key).alias("h")).select(
+        F.shiftrightunsigned("h", 45).alias(word), F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("b")
+    )
+    held = F.broadcast(held.groupBy(word).agg(F.bit_or("b").alias(bits)))
+    marked = df.withColumn(bit, F.xxhash64(key)).withColumn(word, F.shiftrightunsigned(bit, 45)).join(held, word, "left")
+    hit = F.expr(f"coalesce({bits}, 0L) & shiftleft(1L, cast({bit} & 63 AS int))") != 0
+    return marked.filter(hit).drop(word, bit, bits), marked.filter(~hit).drop(word, bit, bits)
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Column names like the given ones that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

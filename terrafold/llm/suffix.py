@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import POWERS, as_bytes, chunks, keep, mixed, small_batches, small_side, unused
+from terrafold.llm.common import POWERS, as_bytes, chunks, keep, mixed, small_batches, small_side, split_by_bits, unused
 
 #: Contexts that a sorted block holds; a bucket above the other bound goes by window digests.
 BLOCK, HOT = 8192, 50_000
@@ -73,7 +73,7 @@ class Repeats:
 
 
 #: Of the query, and of the pipeline: passages of over 50 words, one of them cut by an edge.
-LONG, PASSAGES = Repeats(), Repeats(length=200, gram=50, words=50, always=400)
+LONG, PASSAGES = Repeats(), Repeats(length=240, gram=48, words=50, always=400)
 
 
 def sliding(values: np.ndarray, width: int, ufunc) -> np.ndarray:
@@ -344,7 +344,8 @@ def spans_by_text(docs: DataFrame, hot: int = HOT, kind: Repeats = LONG) -> Data
     wanted = gathered.join(texts.select("text_id", "digest", "rep"), "text_id")
     wanted = keep(wanted.select("digest", "rep", "text_id", F.col("cold.place").alias("places"), F.col("cold.hash").alias("hashes"), "hot"), "wanted")
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), text_digest().alias("own"))
-    # Places grow with the texts, so this joins by a shuffle at every size.
+    # Places grow with the texts, so this joins by a shuffle; texts without any do not move.
+    own, _ = split_by_bits(own, "own", wanted.select(F.col("digest").alias("own")))
     joined = own.join(wanted, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (F.col("own") == F.col("digest")))
     spans = bucket_spans(contexts(joined, kind), kind)
     if shared.filter("is_hot").limit(1).count():
@@ -383,9 +384,11 @@ def kept_bytes(text: bytes, spans: list[dict] | None, kind: Repeats = LONG) -> t
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
-    """``docs`` with each text's spans, null where it has none."""
+    """``docs`` with each text's spans, null where it has none; texts without any do not move."""
     own, digest = unused(docs, "_digest", "_md5")
-    return docs.withColumn(own, text_digest()).join(spans.toDF(digest, name), F.col(own) == F.col(digest), "left").drop(own, digest)
+    some, rest = split_by_bits(docs.withColumn(own, text_digest()), own, spans.select(F.col("digest").alias(own)))
+    found = some.join(spans.toDF(digest, name), F.col(own) == F.col(digest), "left").drop(own, digest)
+    return found.unionByName(rest.drop(own).withColumn(name, F.lit(None).cast(spans.schema["spans"].dataType)))
 
 
 def removal(docs: DataFrame, hot: int = HOT) -> DataFrame:
