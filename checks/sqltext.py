@@ -69,10 +69,10 @@ def cells_centred(source: str, res: int = 8) -> str:
     )
 
 
-def project(source: str, lon: str = "lon", lat: str = "lat", x: str = "x", y: str = "y") -> str:
-    """Grid coordinates of zone 10 north beside all columns of the source."""
+def project(source: str, lon: str = "lon", lat: str = "lat", x: str = "x", y: str = "y", meridian: str = "-123e0") -> str:
+    """Grid coordinates of a northern zone, of zone 10 by default, beside all columns of the source."""
     e = P._E
-    lam = f"radians({lon} - ({P.central_meridian(32610)!r}))"
+    lam = f"radians({lon} - ({meridian}))"
     t = f"SELECT *, sinh(atanh(sin(radians({lat}))) - {e!r}*atanh({e!r}*sin(radians({lat})))) AS t_, {lam} AS l_ FROM {source}"
     xe = f"SELECT *, atan2(t_, cos(l_)) AS xi_, atanh(sin(l_)/sqrt(1 + t_*t_)) AS eta_ FROM ({t})"
     k = repr(P.SCALE_K0 * P.RADIUS)
@@ -83,7 +83,7 @@ def project(source: str, lon: str = "lon", lat: str = "lat", x: str = "x", y: st
     )
 
 
-def unproject(source: str, x: str = "x", y: str = "y", lon: str = "lon", lat: str = "lat") -> str:
+def unproject(source: str, x: str = "x", y: str = "y", lon: str = "lon", lat: str = "lat", meridian: str = "-123e0") -> str:
     """Longitude and latitude beside all columns of the source."""
     k = repr(P.SCALE_K0 * P.RADIUS)
     a = f"SELECT *, {y}/{k} AS xi_, ({x} - 5e5)/{k} AS eta_ FROM {source}"
@@ -93,7 +93,7 @@ def unproject(source: str, x: str = "x", y: str = "y", lon: str = "lon", lat: st
     c = f"SELECT *, asin(sin(x1_)/cosh(e1_)) AS chi_, atan2(sinh(e1_), cos(x1_)) AS lam_ FROM ({b})"
     ds = "".join(f" + {d!r}*sin({2 * j}*chi_)" for j, d in enumerate(P._DELTA, 1))
     return (
-        f"SELECT * EXCLUDE (xi_, eta_, x1_, e1_, chi_, lam_), degrees(lam_) - 123e0 AS {lon},"
+        f"SELECT * EXCLUDE (xi_, eta_, x1_, e1_, chi_, lam_), degrees(lam_) + ({meridian}) AS {lon},"
         f" degrees(chi_{ds}) AS {lat} FROM ({c})"
     )
 

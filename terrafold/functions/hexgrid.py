@@ -1,6 +1,6 @@
 """A planar grid of pointy-top hexagons with axial addresses.
 
-Cells live in a metric coordinate system. Resolution 8 has the edge length of the widely
+Cells live in a metric coordinate system, one grid in each UTM zone. Resolution 8 has the edge length of the widely
 used resolution-8 hexagons (461 m) and each step changes the area by a factor of seven.
 """
 
@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrafold.functions.projection import label_code, zone_label
+
 SQRT3 = math.sqrt(3.0)
 DEFAULT_RESOLUTION = 8
 
@@ -64,21 +66,31 @@ def center_y(r: Column, resolution: int) -> Column:
     return r * (1.5 * edge_m(resolution))
 
 
-def cell_id(q: Column, r: Column, resolution: int) -> Column:
-    """Text id, built once per result row rather than once per pixel."""
-    return F.concat_ws("_", F.lit(f"hx{resolution}"), q.cast("string"), r.cast("string"))
+def cell_id(q: Column, r: Column, resolution: int, epsg: Column | None = None) -> Column:
+    """Text id, built once per result row rather than once per pixel.
+
+    With ``epsg`` the zone stands in the id, ``hx8_10n_{q}_{r}``; a NULL code leaves it out.
+    """
+    zone = [] if epsg is None else [zone_label(epsg)]
+    return F.concat_ws("_", F.lit(f"hx{resolution}"), *zone, q.cast("string"), r.cast("string"))
 
 
 def parse_cell_id(cell: Column) -> tuple[Column, Column, Column]:
-    """(resolution, q, r) of a text id."""
+    """(resolution, q, r) of a text id, with or without a zone."""
     part = F.split(cell, "_")
     return (
         F.substring(part[0], 3, 4).cast("int"),
-        part[1].cast("bigint"),
-        part[2].cast("bigint"),
+        F.element_at(part, -2).cast("bigint"),
+        F.element_at(part, -1).cast("bigint"),
     )
 
 
+def cell_epsg(cell: Column) -> Column:
+    """Code of the zone in a text id, NULL if it has none."""
+    part = F.split(cell, "_")
+    return F.when(F.size(part) == 4, label_code(part[1]))
+
+
 def vertices(cx: Column, cy: Column, resolution: int) -> Column:
     """The six corners ``[x, y]``, counter-clockwise from the lower right."""
     s, a = edge_m(resolution), apothem_m(resolution)

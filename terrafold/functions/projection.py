@@ -4,6 +4,9 @@ The series is Krueger's, to the fourth order in the third flattening n; for poin
 inside a zone the truncation error is far below a millimetre. Every formula takes a
 small namespace of functions, so the same text yields Spark columns over a table and
 Python floats for literal boxes that are projected once on the driver.
+
+``epsg`` is one code for all rows or a column with the code of each row; a code that is no
+UTM zone stops the query.
 """
 
 from __future__ import annotations
@@ -66,11 +69,42 @@ def utm_zone(epsg: int) -> tuple[int, bool]:
     return zone, epsg // 100 == 327
 
 
-def central_meridian(epsg: int) -> float:
+def utm_code(epsg: Column) -> Column:
+    """The codes of a column, each checked."""
+    known = F.floor(epsg / 100).isin(326, 327) & (epsg % 100).between(1, 60)
+    wrong = F.concat(F.lit("EPSG:"), F.coalesce(epsg.cast("string"), F.lit("none")), F.lit(" is not a WGS84 / UTM code (326xx or 327xx)"))
+    return F.when(known, epsg.cast("int")).otherwise(F.raise_error(wrong).cast("int"))
+
+
+def zone_label(epsg: Column) -> Column:
+    """Zone and hemisphere as text, such as ``10n``; NULL of NULL."""
+    return F.concat((epsg % 100).cast("string"), F.when(epsg >= 32700, "s").otherwise("n"))
+
+
+def label_code(label: Column) -> Column:
+    """The code of a zone and hemisphere."""
+    return F.when(label.endswith("s"), 32700).otherwise(32600) + F.regexp_extract(label, "^[0-9]+", 0).cast("int")
+
+
+def zones_near(west: float, east: float, beyond: float = 9.0) -> list[int]:
+    """Codes of both hemispheres whose central meridian is within ``beyond`` degrees of a box.
+
+    A zone is three degrees wide on either side and scenes reach over its border by two or
+    three, so nothing of a box is missed in a scene of any other zone.
+    """
+    near = [z for z in range(1, 61) if west - beyond <= 6.0 * z - 183.0 <= east + beyond]
+    return [base + z for base in (32600, 32700) for z in near]
+
+
+def central_meridian(epsg):
+    if isinstance(epsg, Column):
+        return (utm_code(epsg) % 100) * 6.0 - 183.0
     return 6.0 * utm_zone(epsg)[0] - 183.0
 
 
-def _false_northing(epsg: int) -> float:
+def _false_northing(epsg):
+    if isinstance(epsg, Column):
+        return F.when(epsg >= 32700, FALSE_NORTHING_SOUTH).otherwise(0.0)
     return FALSE_NORTHING_SOUTH if utm_zone(epsg)[1] else 0.0
 
 
@@ -133,7 +167,7 @@ def project_bbox(bbox: tuple[float, float, float, float], epsg: int):
     return min(xs), min(ys), max(xs), max(ys)
 
 
-def project_columns(df: DataFrame, lon: str, lat: str, epsg: int, x: str = "x", y: str = "y") -> DataFrame:
+def project_columns(df: DataFrame, lon: str, lat: str, epsg: int | Column, x: str = "x", y: str = "y") -> DataFrame:
     """Add grid coordinates of ``lon``/``lat``.
 
     The intermediate pair is a projection of its own, so that each series term refers to
@@ -145,7 +179,7 @@ def project_columns(df: DataFrame, lon: str, lat: str, epsg: int, x: str = "x",
     return computed_once(staged, {x: gx, y: gy}).drop("__xi", "__eta")
 
 
-def unproject_columns(df: DataFrame, x: str, y: str, epsg: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
+def unproject_columns(df: DataFrame, x: str, y: str, epsg: int | Column, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Add longitude and latitude of grid coordinates."""
     xi, eta = _ungrid(_SPARK, F.col(x), F.col(y), epsg)
     staged = df.withColumns({"__xi": xi, "__eta": eta})
@@ -155,7 +189,7 @@ def unproject_columns(df: DataFrame, x: str, y: str, epsg: int, lon: str = "lon"
     return computed_once(staged, {lon: glon, lat: glat}).drop("__xi", "__eta", "__chi", "__lam")
 
 
-def project_vertices(points: Column, epsg: int) -> Column:
+def project_vertices(points: Column, epsg: int | Column) -> Column:
     """Project every ``[lon, lat]`` of an array of vertices (region side only)."""
 
     def to_sphere(p: Column) -> Column:
@@ -169,7 +203,7 @@ def project_vertices(points: Column, epsg: int) -> Column:
     return F.transform(F.transform(points, to_sphere), to_grid)
 
 
-def unproject_vertices(points: Column, epsg: int) -> Column:
+def unproject_vertices(points: Column, epsg: int | Column) -> Column:
     """Unproject every ``[x, y]`` of an array of vertices (region side only)."""
 
     def to_sphere(p: Column) -> Column:

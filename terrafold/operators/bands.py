@@ -38,9 +38,11 @@ def block_size(blocks: DataFrame) -> DataFrame:
     )
 
 
-def blocks_to_pixels(blocks: DataFrame, band: str | None = None) -> DataFrame:
+def blocks_to_pixels(blocks: DataFrame, band: str | None = None, extra: Sequence[str] = ()) -> DataFrame:
     """One row per pixel of a block, with the pixel centre's grid coordinates.
 
+    ``extra`` names block columns, such as ``epsg``, that go with every pixel.
+
     ``x0``/``y0`` is the outer corner of the block's first pixel and ``first_row`` /
     ``first_col`` its address in the scene. Pixel order is row-major. Where blocks have a
     ``nodata`` value, pixels of that value (or not a number) are NULL.
@@ -49,12 +51,12 @@ def blocks_to_pixels(blocks: DataFrame, band: str | None = None) -> DataFrame:
         blocks = blocks.filter(F.col("band") == band)
     i, w = F.col("pos"), F.col("width")
     row, col = F.expr("pos div width"), i % w
-    value, extra = F.col("dn"), []
+    value, nodata = F.col("dn"), []
     if "nodata" in blocks.columns:
-        extra = ["nodata"]
+        nodata = ["nodata"]
         value = F.when(F.col("nodata").isNull() | ((value != F.col("nodata")) & ~F.isnan(value.cast("double"))), value)
     return blocks.select(
-        "scene_id", "band", "first_row", "first_col", "x0", "y0", "pixel_size", "width", *extra,
+        "scene_id", "band", "first_row", "first_col", "x0", "y0", "pixel_size", "width", *nodata, *extra,
         F.posexplode("data").alias("pos", "dn"),
     ).select(
         "scene_id",
@@ -64,6 +66,7 @@ def blocks_to_pixels(blocks: DataFrame, band: str | None = None) -> DataFrame:
         (F.col("x0") + (col + 0.5) * F.col("pixel_size")).alias("x"),
         (F.col("y0") - (row + 0.5) * F.col("pixel_size")).alias("y"),
         value.alias("dn"),
+        *extra,
     )
 
 
@@ -72,11 +75,12 @@ def indices_from_blocks(blocks: DataFrame, names: Sequence[str]) -> DataFrame:
 
     ``blocks`` have the index in ``index_name``. Nodata is NULL; a pixel without any index is
     no row. Indices of one pixel meet in one aggregation that combines before its shuffle.
+    The code of the blocks' system goes along as ``epsg``.
     """
-    pixels = blocks_to_pixels(blocks.withColumn("band", F.col("index_name")))
+    pixels = blocks_to_pixels(blocks.withColumn("band", F.col("index_name")), extra=["epsg"])
     chosen = pixels.filter(F.col("band").isin(list(names)) & F.col("dn").isNotNull())
     values = [F.max(F.when(F.col("band") == n, F.col("dn"))).alias(n) for n in names]
-    return chosen.groupBy("scene_id", "x", "y").agg(*values)
+    return chosen.groupBy("scene_id", "x", "y", "epsg").agg(*values)
 
 
 def pixels_to_blocks(
@@ -138,41 +142,143 @@ def align_bands(
     return wide.dropna(subset=[b.lower() for b in bands])
 
 
-def align_block_bands(blocks: DataFrame, bands: Sequence[str] = REQUIRED_INDEX_BANDS) -> DataFrame:
-    """Align bands block by block, then unpack pixels.
+#: Sides, in pixels, of the common tiles that unlike blocks are cut into.
+TILE = 256
+
+
+def align_block_bands(blocks: DataFrame, bands: Sequence[str] = REQUIRED_INDEX_BANDS, tile: int = TILE) -> DataFrame:
+    """Align bands block by block, then unpack pixels; ``epsg`` goes along.
 
-    The shuffle moves one row per block instead of one per pixel, so keys and row headers
-    are paid once per 65,536 values. Blocks lacking a band are dropped, as in
-    :func:`align_bands`.
+    Where all bands have the same block, the shuffle moves one row per block instead of one
+    per pixel. Blocks that not all bands have, be they tiles of another size, strips or the
+    edge of a band, are cut into common tiles and aligned there. Pixels lacking any band are
+    dropped, as in :func:`align_bands`. Bands may start a whole number of pixels apart; rows
+    and columns are then counted from the first band's corner. Bands of one scene that have
+    another pixel size, system or a grid shifted by part of a pixel are an error.
     """
-    keys = [
-        "scene_id", "block_row", "block_col", "first_row", "first_col", "x0", "y0",
-        "pixel_size", "width", "height", "epsg",
-    ]
+    keys = ["scene_id", "first_row", "first_col", "x0", "y0", "pixel_size", "width", "height", "epsg"]
+    names = [b.lower() for b in bands]
     wide = (
         blocks.filter(F.col("band").isin(list(bands)))
         .groupBy(*keys)
-        .agg(
-            *[
-                F.first(F.when(F.col("band") == b, F.col("data")), ignorenulls=True).alias(b.lower())
-                for b in bands
-            ]
-        )
-        .dropna(subset=[b.lower() for b in bands])
+        .agg(*[F.first(F.when(F.col("band") == b, F.col("data")), ignorenulls=True).alias(b.lower()) for b in bands])
     )
-    names = [b.lower() for b in bands]
+    whole = F.lit(True)
+    for n in names:
+        whole = whole & F.col(n).isNotNull()
     row, col = F.expr("pos div width"), F.col("pos") % F.col("width")
-    return wide.select(
-        "scene_id", "first_row", "first_col", "x0", "y0", "pixel_size", "width", "epsg",
-        F.posexplode(F.arrays_zip(*names)).alias("pos", "dn"),
+    alike = wide.filter(whole).select(
+        *keys, F.posexplode(F.arrays_zip(*names)).alias("pos", "dn")
     ).select(
         "scene_id",
         (F.col("first_row") + row).cast("bigint").alias("row_no"),
         (F.col("first_col") + col).cast("bigint").alias("col_no"),
         (F.col("x0") + (col + 0.5) * F.col("pixel_size")).alias("x"),
         (F.col("y0") - (row + 0.5) * F.col("pixel_size")).alias("y"),
+        "epsg",
         *[F.col(f"dn.{n}").alias(n) for n in names],
     )
+    each = F.array(*[F.struct(F.lit(b).alias("band"), F.col(b.lower()).alias("data")) for b in bands])
+    unlike = wide.filter(~whole).select(*keys, F.inline(each)).filter(F.col("data").isNotNull())
+    return alike.unionByName(align_unlike_blocks(unlike, bands, tile))
+
+
+def _part(pixels: Column) -> Column:
+    """How far a number of pixels is past a whole one, to a thousandth."""
+    return F.pmod(F.round(pixels, 3), F.lit(1.0))
+
+
+def one_grid_per_scene(blocks: DataFrame) -> DataFrame:
+    """The blocks; an error where those of a scene do not lie on one grid of pixels."""
+    part = lambda c: _part(F.col(c) / F.col("pixel_size"))
+    grid = F.struct(F.col("pixel_size"), F.col("epsg"), part("x0").alias("x_part"), part("y0").alias("y_part"))
+    told = blocks.withColumn("__grid", F.to_json(grid))
+    grids = told.groupBy("scene_id").agg(F.min("__grid").alias("__least"), F.max("__grid").alias("__most"))
+    wrong = F.concat(F.lit("bands of "), F.col("scene_id"), F.lit(" lie on different grids: "), F.col("__least"), F.lit(" and "), F.col("__most"))
+    same = F.when(F.col("__least") == F.col("__most"), True).otherwise(F.raise_error(wrong).cast("boolean"))
+    return blocks.join(grids.withColumn("__same", same), "scene_id").filter("__same").drop("__least", "__most", "__same")
+
+
+def cut_blocks(blocks: DataFrame, tile: int = TILE) -> DataFrame:
+    """Blocks cut where the common tiles of their grid meet; a piece has its place in its tile.
+
+    Tiles are counted from the origin of the coordinate system, so they do not depend on how
+    any band is stored. Values are sliced by expressions, each once.
+    """
+    whole = lambda pixels: F.round(pixels - _part(pixels)).cast("bigint")
+    size = F.col("pixel_size")
+    placed = blocks.withColumns({"__top": whole(-F.col("y0") / size), "__left": whole(F.col("x0") / size)})
+    span = lambda first, n: F.sequence(F.floor(F.col(first) / tile), F.floor((F.col(first) + F.col(n) - 1) / tile))
+    tiles = placed.withColumn("tile_row", F.explode(span("__top", "height"))).withColumn("tile_col", F.explode(span("__left", "width")))
+    low = lambda t, first: F.greatest(F.col(t) * tile - F.col(first), F.lit(0)).cast("int")
+    high = lambda t, first, n: F.least((F.col(t) + 1) * tile - F.col(first), F.col(n)).cast("int")
+    tiles = tiles.withColumns(
+        {
+            "__r0": low("tile_row", "__top"), "__r1": high("tile_row", "__top", "height"),
+            "__c0": low("tile_col", "__left"), "__c1": high("tile_col", "__left", "width"), "__w": F.col("width"),
+        }
+    )
+    row = lambda r: F.slice("data", r * F.col("__w") + F.col("__c0") + 1, F.col("__c1") - F.col("__c0"))
+    return tiles.select(
+        "scene_id", "band", "tile_row", "tile_col", "pixel_size", "epsg",
+        (F.col("__top") - F.col("first_row")).alias("top"),
+        (F.col("__left") - F.col("first_col")).alias("left"),
+        (F.col("x0") - F.col("first_col") * size).alias("corner_x"),
+        (F.col("y0") + F.col("first_row") * size).alias("corner_y"),
+        (F.col("__top") + F.col("__r0") - F.col("tile_row") * tile).cast("int").alias("row"),
+        (F.col("__left") + F.col("__c0") - F.col("tile_col") * tile).cast("int").alias("col"),
+        (F.col("__r1") - F.col("__r0")).alias("height"),
+        (F.col("__c1") - F.col("__c0")).alias("width"),
+        F.flatten(F.transform(F.sequence(F.col("__r0"), F.col("__r1") - 1), row)).alias("data"),
+    )
+
+
+def align_unlike_blocks(blocks: DataFrame, bands: Sequence[str], tile: int = TILE) -> DataFrame:
+    """Pixels of bands whose blocks differ, brought together in common tiles.
+
+    A group is the pieces of one tile of one scene: as many values as bands and pixels of a
+    tile, however the bands are stored.
+    """
+    pieces = cut_blocks(one_grid_per_scene(blocks), tile)
+    names, element = [b.lower() for b in bands], pieces.schema["data"].dataType.elementType
+    dtype = {"double": np.float64, "float": np.float32, "int": np.int32, "smallint": np.int16, "bigint": np.int64}[element.simpleString()]
+
+    def assemble(f: pd.DataFrame) -> pd.DataFrame:
+        values, there = np.zeros((len(bands), tile, tile), dtype), np.zeros((len(bands), tile, tile), bool)
+        place = {b: i for i, b in enumerate(bands)}
+        for p in f.itertuples(index=False):
+            data = pd.array(p.data)
+            at = place[p.band], slice(p.row, p.row + p.height), slice(p.col, p.col + p.width)
+            known = ~np.asarray(pd.isna(data))
+            values[at] = np.where(known, np.asarray(data.fillna(0) if not known.all() else data, dtype), 0).reshape(p.height, p.width)
+            there[at] = known.reshape(p.height, p.width)
+        row, col = np.nonzero(there.all(0))
+        if not len(row):
+            return pd.DataFrame(columns=[*single, "row", "col", *names])
+        # Rows, columns and coordinates are counted from the first band's own corner.
+        head = f[f["band"] == bands[0]].iloc[0]
+        found = {n: [values[i, row, col]] for i, n in enumerate(names)}
+        return pd.DataFrame({c: [head[c]] for c in single} | {"row": [row.astype(np.int32)], "col": [col.astype(np.int32)]} | found)
+
+    single = ["scene_id", "tile_row", "tile_col", "pixel_size", "epsg", "top", "left", "corner_x", "corner_y"]
+    schema = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in single) + ", row array<int>, col array<int>, "
+    schema += ", ".join(f"{n} array<{element.simpleString()}>" for n in names)
+    together = pieces.groupBy("scene_id", "tile_row", "tile_col").applyInPandas(assemble, schema)
+    spread = together.select(*single, F.explode(F.arrays_zip("row", "col", *names)).alias("p")).withColumns(
+        {
+            "row_no": (F.col("tile_row") * tile + F.col("p.row") - F.col("top")).cast("bigint"),
+            "col_no": (F.col("tile_col") * tile + F.col("p.col") - F.col("left")).cast("bigint"),
+        }
+    )
+    return spread.select(
+        "scene_id",
+        "row_no",
+        "col_no",
+        (F.col("corner_x") + (F.col("col_no") + 0.5) * F.col("pixel_size")).alias("x"),
+        (F.col("corner_y") - (F.col("row_no") + 0.5) * F.col("pixel_size")).alias("y"),
+        "epsg",
+        *[F.col(f"p.{n}").alias(n) for n in names],
+    )
 
 
 def with_indices(

@@ -73,15 +73,17 @@ def box_boundary(
     return sampled.withColumn("__p", F.explode(sides)).select(*boxes.columns, "__p.bx", "__p.by")
 
 
-def grid_envelope(boxes: DataFrame, epsg: int) -> DataFrame:
+def grid_envelope(boxes: DataFrame, epsg: int | Column) -> DataFrame:
     """Add the grid envelope of each lon/lat box ``west, south, east, north``.
 
+    ``epsg`` is one code or a column with each box's own.
+
     Exact: along a meridian the easting is furthest out where the box is nearest to the
     equator, along a parallel the northing is extreme at the ends or where it is nearest to
     the zone's central meridian, and both are monotone in between. So three longitudes and
     three latitudes hold all extremes.
     """
-    nearest = lambda low, high, to: F.greatest(low, F.least(high, F.lit(to)))
+    nearest = lambda low, high, to: F.greatest(low, F.least(high, to if isinstance(to, Column) else F.lit(to)))
     w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
     lons = (w, nearest(w, e, central_meridian(epsg)), e)
     lats = (s, nearest(s, n, 0.0), n)
@@ -95,7 +97,7 @@ def grid_envelope(boxes: DataFrame, epsg: int) -> DataFrame:
     return computed_once(placed, found).drop("__grid")
 
 
-def polyfill_wgs84(boxes: DataFrame, epsg: int, resolution: int = hexgrid.DEFAULT_RESOLUTION) -> DataFrame:
+def polyfill_wgs84(boxes: DataFrame, epsg: int | Column, resolution: int = hexgrid.DEFAULT_RESOLUTION) -> DataFrame:
     """Cells whose centre lies in each lon/lat box; rows of equal boxes get cells each.
 
     Candidates are the cells of the box's grid envelope, a metre wider for rounding; every
@@ -116,10 +118,10 @@ def polyfill_wgs84(boxes: DataFrame, epsg: int, resolution: int = hexgrid.DEFAUL
     ).drop("min_x", "min_y", "max_x", "max_y")
 
 
-def with_cell_id(cells: DataFrame, resolution: int) -> DataFrame:
+def with_cell_id(cells: DataFrame, resolution: int, epsg: Column | None = None) -> DataFrame:
     return cells.withColumns(
         {
-            "cell": hexgrid.cell_id(F.col("q"), F.col("r"), resolution),
+            "cell": hexgrid.cell_id(F.col("q"), F.col("r"), resolution, epsg),
             "cell_res": F.lit(resolution),
         }
     )
@@ -234,7 +236,7 @@ def valid_footprint(
 def footprint_squares(
     footprint: DataFrame, x0: float, y0: float, pixel_size: float, target_m: float = FOOTPRINT_TARGET_M
 ) -> DataFrame:
-    """Footprint addresses as squares: centre ``x, y`` in the grid."""
+    """Footprint addresses as squares: centre ``x, y`` in the grid of one origin."""
     side = max(1, round(target_m / pixel_size)) * pixel_size
     return footprint.withColumns(
         {

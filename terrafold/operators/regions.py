@@ -3,15 +3,20 @@
 A region row is ``region_id, region_kind, areal, buffer_m, edges, epsg, min_x, min_y,
 max_x, max_y`` (plus a partition column for cells). The buffer is never drawn: a pixel
 belongs to a corridor when its distance to an edge is at most ``buffer_m``.
+
+A region that scenes of several UTM zones may cover has a row for each zone, in that zone's
+metres. Joins compare the systems of both sides.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.functions import edges as E
-from terrafold.functions.projection import project_vertices
+from terrafold.functions.projection import central_meridian, project_vertices
 from terrafold.functions.staging import closed, computed_once
 from terrafold.operators.sizing import BROADCAST_MAX_BYTES, tile_join
 
@@ -55,23 +60,48 @@ def _finish(regions: DataFrame, extra: list[str]) -> DataFrame:
     return regions.select(*_REGION_COLUMNS, *extra).withColumns(E.envelope(F.col("edges")))
 
 
-def _regions(features: DataFrame, id_properties: list[str], epsg: int | None):
+#: Degrees from a zone's central meridian beyond which a region is not placed in that zone.
+ZONE_REACH = 9.0
+
+
+def _in_zones(shaped: DataFrame, codes: Sequence[int]) -> DataFrame:
+    """A row of every feature for each zone near it, paths in that zone's metres."""
+    lons = F.flatten(F.transform("paths", lambda p: F.transform(p, lambda v: v[0])))
+    zoned = shaped.withColumns({"__west": F.array_min(lons), "__east": F.array_max(lons)})
+    zoned = zoned.withColumn("epsg", F.explode(F.array(*[F.lit(int(c)) for c in codes])))
+    meridian = central_meridian(F.col("epsg"))
+    near = (F.col("__west") <= meridian + ZONE_REACH) & (F.col("__east") >= meridian - ZONE_REACH)
+    placed = F.transform("paths", lambda p: project_vertices(p, F.col("epsg")))
+    return zoned.filter(near).withColumn("paths", placed).drop("__west", "__east")
+
+
+def _regions(features: DataFrame, id_properties: list[str], epsg: int | Sequence[int] | None):
     """Paths in the metric grid, edges, and a stable id."""
-    paths = F.col("paths")
-    if epsg is not None:
-        paths = F.transform(paths, lambda p: project_vertices(p, epsg))
-    shaped = drop_empty(with_paths(features)).withColumn("edges", E.paths_edges(paths))
-    named = [F.col("properties")[p] for p in id_properties]
+    shaped = drop_empty(with_paths(features))
     # Features without a declared id get one from their shape: equal on every run.
-    return shaped.withColumn(
-        "region_id", F.coalesce(*named, F.xxhash64("edges").cast("string"))
-    ).withColumn("epsg", F.lit(4326 if epsg is None else epsg))
+    named = [F.col("properties")[p] for p in id_properties]
+    if epsg is None or isinstance(epsg, int):
+        paths = F.col("paths")
+        if epsg is not None:
+            paths = F.transform(paths, lambda p: project_vertices(p, epsg))
+        shaped = shaped.withColumn("edges", E.paths_edges(paths)).withColumn("epsg", F.lit(4326 if epsg is None else epsg))
+        shape = F.xxhash64("edges")
+    else:
+        # One id in all zones, so from the shape in degrees.
+        told = shaped.withColumn("__shape", F.xxhash64("paths"))
+        shaped, shape = _in_zones(told, epsg), F.col("__shape")
+        shaped = shaped.withColumn("edges", E.paths_edges(F.col("paths")))
+    return shaped.withColumn("region_id", F.coalesce(*named, shape.cast("string")))
 
 
 def corridor_regions(
-    features: DataFrame, buffer_m: float, epsg: int | None, bbox_wgs84=None, id_property: str = "OBJECTID"
+    features: DataFrame, buffer_m: float, epsg: int | Sequence[int] | None, bbox_wgs84=None, id_property: str = "OBJECTID"
 ) -> DataFrame:
-    """Lines as buffered corridors; optionally only those that meet a lon/lat box."""
+    """Lines as buffered corridors; optionally only those that meet a lon/lat box.
+
+    ``epsg`` is the code of the scenes' system, or the codes of all their systems: then a line
+    has a row for each zone near it.
+    """
     if bbox_wgs84 is not None:
         features = features_in_bbox(features, bbox_wgs84)
     shaped = _regions(features, [id_property], epsg)
@@ -83,8 +113,12 @@ def corridor_regions(
     )
 
 
-def polygon_regions(features: DataFrame, resolution: int, epsg: int | None = None) -> DataFrame:
-    """Cell polygons of any origin, with the partition column ``cell_res{n}``."""
+def polygon_regions(features: DataFrame, resolution: int, epsg: int | Sequence[int] | None = None) -> DataFrame:
+    """Cell polygons of any origin, with the partition column ``cell_res{n}``.
+
+    ``epsg`` as in :func:`corridor_regions`; without it polygons keep their degrees, and a
+    join with pixels that have a system of their own is an error.
+    """
     shaped = _regions(features, ["h3_index", "region_id"], epsg)
     key = f"cell_res{resolution}"
     return _finish(
@@ -118,10 +152,11 @@ def regions_in_box(regions: DataFrame, x0: Column, y0: Column, x1: Column, y1: C
 
 
 def require_unique_ids(regions: DataFrame) -> DataFrame:
-    """Fail when a region id occurs twice; joining stats back would multiply rows."""
-    repeated = regions.groupBy("region_id").count().filter("count > 1").limit(5).collect()
+    """Fail when a region id occurs twice in a system; joining stats back would multiply rows."""
+    keys = ["region_id", *[c for c in regions.columns if c == "epsg"]]
+    repeated = regions.groupBy(*keys).count().filter("count > 1").limit(5).collect()
     if repeated:
-        raise ValueError(f"Duplicate region ids: {sorted(r['region_id'] for r in repeated)}")
+        raise ValueError(f"Duplicate region ids: {sorted({r['region_id'] for r in repeated})}")
     return regions
 
 
@@ -151,7 +186,7 @@ def tile_regions(regions: DataFrame, half_pixel: float, tile_m: float = DEFAULT_
             )
         ),
     )
-    keep = [c for c in regions.columns if c not in ("edges", "min_x", "min_y", "max_x", "max_y", "epsg")]
+    keep = [c for c in regions.columns if c not in ("edges", "min_x", "min_y", "max_x", "max_y")]
     band_y0, band_y1 = F.col("tile_y") * tile_m, (F.col("tile_y") + 1) * tile_m
     banded = computed_once(
         rows,
@@ -204,10 +239,10 @@ def tile_regions(regions: DataFrame, half_pixel: float, tile_m: float = DEFAULT_
     )
 
 
-def tile_bound(regions: DataFrame, half_pixel: float, tile_m: float) -> tuple[int, int]:
-    """Upper bound of (rows, bytes) that :func:`tile_regions` can produce.
+def tile_bound(regions: DataFrame, half_pixel: float, tile_m: float) -> tuple[int, int, list[int]]:
+    """Upper bound of (rows, bytes) that :func:`tile_regions` can produce; the regions' systems.
 
-    Read off the regions alone: every edge reaches at most the tiles of its grown
+    Read off the regions alone, in one pass: every edge reaches at most the tiles of its grown
     envelope, and every row holds at most all edges of its region twice.
     """
     pad = (F.col("buffer_m") + 2.0 * half_pixel) * 2.0
@@ -224,8 +259,23 @@ def tile_bound(regions: DataFrame, half_pixel: float, tile_m: float) -> tuple[in
     row = regions.agg(
         F.coalesce(F.sum(rows), F.lit(0.0)).alias("n"),
         F.coalesce(F.sum(rows * (F.size("edges") * 80.0 + 160.0)), F.lit(0.0)).alias("b"),
+        (F.sort_array(F.collect_set("epsg")) if "epsg" in regions.columns else F.array().cast("array<int>")).alias("codes"),
     ).first()
-    return int(row["n"]), int(row["b"])
+    return int(row["n"]), int(row["b"]), list(row["codes"])
+
+
+def systems(regions: DataFrame) -> list[int]:
+    """Codes of the systems that regions are in; at most one for each UTM zone."""
+    return sorted(r["epsg"] for r in regions.select("epsg").distinct().collect() if r["epsg"] is not None)
+
+
+def in_known_systems(pixels: DataFrame, codes: Sequence[int]) -> DataFrame:
+    """The pixels; one in a system that no region is in stops the query."""
+    known = F.col("epsg").isin(list(codes)) if codes else F.lit(True)
+    wrong = F.concat(
+        F.lit("pixels in EPSG:"), F.coalesce(F.col("epsg").cast("string"), F.lit("none")), F.lit(f", regions in EPSG:{list(codes)}")
+    )
+    return pixels.filter(F.when(known, True).otherwise(F.raise_error(wrong).cast("boolean")))
 
 
 def pixel_region_join(
@@ -241,7 +291,20 @@ def pixel_region_join(
     A pixel lies in exactly one tile and a region has one row there, so no pair is found
     twice and nothing needs a distinct. The test of a pixel against a single edge is
     compiled arithmetic; arrays are searched only where a region has more of them near.
+
+    Pixels with an ``epsg`` meet the regions of their own system only; a pixel in a system
+    without regions is an error. Pixels without one are taken to be in the system of the
+    regions, which must then be a single one.
     """
+    keys = ["tile_x", "tile_y"]
+    *bound, codes = tile_bound(regions, half_pixel, tile_m)
+    if "epsg" in regions.columns:
+        if "epsg" in pixels.columns:
+            pixels, keys = in_known_systems(pixels, codes), ["epsg", *keys]
+        elif len(codes) > 1:
+            raise ValueError(f"regions are in EPSG:{codes}, pixels do not say which system they are in")
+        else:
+            regions = regions.drop("epsg")
     tiled = pixels.withColumns(
         {"tile_x": _tile(F.col("x"), tile_m), "tile_y": _tile(F.col("y"), tile_m)}
     )
@@ -256,9 +319,8 @@ def pixel_region_join(
     single = F.when(F.col("edge").isNotNull(), near(F.col("edge"))).otherwise(False)
     several = (F.size("edges") > 0) & F.exists("edges", near)
     inside = (F.size("ray_edges") > 0) & E.contains_point(F.col("ray_edges"), x, y)
-    bound = tile_bound(regions, half_pixel, tile_m)
     test = closed(F.col("full") | single | several | inside)
-    joined = tile_join(tiled, areas, ["tile_x", "tile_y"], test, max_bytes, bound)
+    joined = tile_join(tiled, areas, keys, test, max_bytes, tuple(bound))
     return joined.drop("tile_x", "tile_y", "edge", "edges", "ray_edges", "full")
 
 
@@ -270,6 +332,7 @@ def block_region_join(
 ) -> DataFrame:
     """Blocks and regions whose envelopes meet (regions grown by their buffer).
 
+    Blocks with an ``epsg`` meet the regions of their system only.
     Both sides cover several tiles. A pair is kept only in the tile holding the lower left
     corner of the common area, so it appears once without a distinct.
     """
@@ -297,7 +360,8 @@ def block_region_join(
         & (F.col("tile_x") == _tile(corner_x, tile_m))
         & (F.col("tile_y") == _tile(corner_y, tile_m))
     )
-    joined = tile_join(
-        tiles(blocks, ""), tiles(grown, "region_"), ["tile_x", "tile_y"], meets, max_bytes
-    )
+    keys = ["tile_x", "tile_y"]
+    if "epsg" in blocks.columns and "epsg" in regions.columns:
+        blocks, keys = in_known_systems(blocks, systems(regions)), ["epsg", *keys]
+    joined = tile_join(tiles(blocks, ""), tiles(grown, "region_"), keys, meets, max_bytes)
     return joined.drop("tile_x", "tile_y")

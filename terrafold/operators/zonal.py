@@ -97,7 +97,7 @@ def pivot_index_stats(long_df: DataFrame, stats: Sequence[str]) -> DataFrame:
 
     Absent indices give NULL columns; ``max`` is carried along when present.
     """
-    keys = ["region_id", "region_kind", "scene_id"]
+    keys = ["region_id", "region_kind", "scene_id", *[c for c in long_df.columns if c == "epsg"]]
     keys += [c for c in long_df.columns if c.startswith("cell_res")][:1]
     names = [s for s in stats if s in long_df.columns]
     if "max" in long_df.columns and "max" not in names:
@@ -112,8 +112,9 @@ def pivot_index_stats(long_df: DataFrame, stats: Sequence[str]) -> DataFrame:
 
 
 def attach_geometry(stats: DataFrame, regions: DataFrame, columns: Sequence[str] = ("edges",)) -> DataFrame:
-    """Left join of region geometry onto statistics."""
-    return stats.join(regions.select("region_id", *columns), "region_id", "left")
+    """Left join of region geometry onto statistics; where both name a system, of that one."""
+    keys = ["region_id", *[c for c in ("epsg",) if c in stats.columns and c in regions.columns]]
+    return stats.join(regions.select(*keys, *columns), keys, "left")
 
 
 def tabular(features: DataFrame, geometry_columns: Sequence[str] = ("edges", "geometry")) -> DataFrame:

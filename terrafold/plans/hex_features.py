@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import hexgrid
 from terrafold.functions.edges import coerce_bbox
-from terrafold.functions.projection import project_bbox, project_point, unproject_columns, unproject_vertices
+from terrafold.functions.projection import project_point, unproject_columns, unproject_vertices, utm_code, zones_near
 from terrafold.functions.scene_ids import scene_parts
 from terrafold.functions.spectral import REQUIRED_INDEX_BANDS
 from terrafold.operators import bands as B
@@ -40,16 +40,44 @@ def cell_statistics(
     """Statistics of every index per scene and cell address ``q, r``.
 
     Grouping is on the two integers; partial aggregation leaves one row per task, scene
-    and cell to shuffle, however many pixels a cell or scene has.
+    and cell to shuffle, however many pixels a cell or scene has. Pixels that have an
+    ``epsg`` have cells of their own zone; the code is then part of the address.
     """
     assigned = C.assign_cells(indices, resolution, touch, half_pixel)
-    return Z.wide_stats(assigned, ["scene_id", "q", "r"], stats=stats)
+    return Z.wide_stats(assigned, ["scene_id", *zone_column(indices), "q", "r"], stats=stats)
+
+
+def zone_column(df: DataFrame) -> list[str]:
+    """``epsg`` where rows have one."""
+    return [c for c in df.columns if c == "epsg"]
+
+
+def of_one_system(df: DataFrame, epsg: int) -> DataFrame:
+    """The rows without their ``epsg``; a row of another system stops the query."""
+    wrong = F.concat(F.lit(f"rows are to be in EPSG:{epsg}, found "), F.coalesce(F.col("epsg").cast("string"), F.lit("none")))
+    return df.filter(F.when(F.col("epsg") == epsg, True).otherwise(F.raise_error(wrong).cast("boolean"))).drop("epsg")
+
+
+def near_box(pixels: DataFrame, bbox_wgs84, epsg: int | None, reach: float) -> DataFrame:
+    """Pixels within ``reach`` metres of a lon/lat box, by comparisons with literals.
+
+    Where pixels have their own ``epsg`` the box is projected once to every zone near it; a
+    pixel of a zone further away cannot lie in the box.
+    """
+    inside = lambda b: F.col("x").between(b[0] - reach, b[2] + reach) & F.col("y").between(b[1] - reach, b[3] + reach)
+    if epsg is not None:
+        return pixels.filter(inside(study_envelope(bbox_wgs84, epsg)))
+    west, _, east, _ = coerce_bbox(bbox_wgs84)
+    test = F.lit(False)
+    for code in zones_near(west, east):
+        test = test | ((F.col("epsg") == code) & inside(study_envelope(bbox_wgs84, code)))
+    return pixels.filter(utm_code(F.col("epsg")).isNotNull()).filter(test)
 
 
 def build_hex_features(
     pixels: DataFrame,
     bbox_wgs84,
-    epsg: int,
+    epsg: int | None = None,
     resolution: int = hexgrid.DEFAULT_RESOLUTION,
     stats: Sequence[str] = Z.DEFAULT_STATS,
     touch: str = "all",
@@ -61,18 +89,24 @@ def build_hex_features(
     scenes are one plan. The box reaches the scan as literal comparisons, grown by one
     cell; cells without valid pixels vanish in the aggregation, so a footprint filter
     beforehand would not change the result.
+
+    Pixels with an ``epsg`` column may lie in several UTM zones: each scene has cells of its
+    zone's grid, whose ids and rows name the zone. With the argument ``epsg`` all pixels are
+    of that one system, ids do without, and a pixel of another system is an error.
     """
-    min_x, min_y, max_x, max_y = study_envelope(bbox_wgs84, epsg)
-    reach = hexgrid.edge_m(resolution) + half_pixel
-    near = pixels.filter(
-        F.col("x").between(min_x - reach, max_x + reach) & F.col("y").between(min_y - reach, max_y + reach)
-    )
-    indices = B.with_indices(near, ["scene_id", "x", "y"], REQUIRED_INDEX_BANDS)
+    if epsg is None and "epsg" not in pixels.columns:
+        raise ValueError("pixels have no epsg column: say which system they are in")
+    if epsg is not None and "epsg" in pixels.columns:
+        pixels = of_one_system(pixels, epsg)
+    near = near_box(pixels, bbox_wgs84, epsg, hexgrid.edge_m(resolution) + half_pixel)
+    zone = zone_column(pixels)
+    indices = B.with_indices(near, ["scene_id", *zone, "x", "y"], REQUIRED_INDEX_BANDS)
     grouped = cell_statistics(indices, resolution, stats, touch, half_pixel)
     west, south, east, north = coerce_bbox(bbox_wgs84)
-    centred = unproject_columns(C.with_center(grouped, resolution), "cx", "cy", epsg, "center_lon", "center_lat")
+    system = F.col("epsg") if epsg is None else epsg
+    centred = unproject_columns(C.with_center(grouped, resolution), "cx", "cy", system, "center_lon", "center_lat")
     kept = centred.filter(F.col("center_lon").between(west, east) & F.col("center_lat").between(south, north))
-    return finish_features(kept, resolution, stats)
+    return finish_features(kept, resolution, stats, zone)
 
 
 def finish_features(
@@ -80,7 +114,8 @@ def finish_features(
 ) -> DataFrame:
     """Cell id, partition key and acquisition date; the public column order."""
     key = f"cell_res{resolution}"
-    named = grouped.withColumn("cell", hexgrid.cell_id(F.col("q"), F.col("r"), resolution))
+    zone = F.col("epsg") if zone_column(grouped) else None
+    named = grouped.withColumn("cell", hexgrid.cell_id(F.col("q"), F.col("r"), resolution, zone))
     return named.select(
         "cell",
         F.col("cell").alias(key),
@@ -92,11 +127,13 @@ def finish_features(
     )
 
 
-def with_cell_geometry(features: DataFrame, epsg: int, resolution: int) -> DataFrame:
-    """Add ``geometry``: the closed lon/lat ring of each cell."""
+def with_cell_geometry(features: DataFrame, epsg: int | None, resolution: int) -> DataFrame:
+    """Add ``geometry``: the closed lon/lat ring of each cell, in the zone its id names."""
     _, q, r = hexgrid.parse_cell_id(F.col("cell"))
     corners = hexgrid.vertices(hexgrid.center_x(q, r, resolution), hexgrid.center_y(r, resolution), resolution)
-    return features.withColumn("geometry", close_ring(unproject_vertices(corners, epsg)))
+    named = hexgrid.cell_epsg(F.col("cell"))
+    zone = epsg if epsg is not None else named
+    return features.withColumn("geometry", close_ring(unproject_vertices(corners, zone)))
 
 
 def close_ring(points: Column) -> Column:

@@ -20,7 +20,7 @@ def region_statistics_long(
 ) -> DataFrame:
     """Statistics per region, scene and index, in long form; repeated region ids are an error."""
     regions = R.require_unique_ids(regions)
-    keys = _keys(regions, resolution)
+    keys = _keys(indices, regions, resolution)
     return Z.long_stats(R.pixel_region_join(indices, regions, **join_options), keys, stats=stats)
 
 
@@ -35,17 +35,19 @@ def build_region_features(
     """One row per region and scene with ``{index}_{stat}`` and ``{index}_max``.
 
     All scenes and indices are one plan: tile join, exact test, aggregation that combines
-    before its shuffle. Nothing is folded to long form only to be pivoted back.
+    before its shuffle. Nothing is folded to long form only to be pivoted back. Indices with
+    an ``epsg`` may lie in several zones, which then stands in the rows too.
     """
     regions = R.require_unique_ids(regions)
     stats = list(stats) + ([] if "max" in stats else ["max"])
     joined = R.pixel_region_join(indices, regions, **join_options)
-    wide = Z.wide_stats(joined, _keys(regions, resolution), stats=stats)
+    wide = Z.wide_stats(joined, _keys(indices, regions, resolution), stats=stats)
     return Z.attach_geometry(wide, regions) if geometry else wide
 
 
-def _keys(regions: DataFrame, resolution: int | None) -> list[str]:
+def _keys(indices: DataFrame, regions: DataFrame, resolution: int | None) -> list[str]:
     keys = ["region_id", "region_kind", "scene_id"]
+    keys += [c for c in ("epsg",) if c in indices.columns and c in regions.columns]
     if resolution is not None:
         keys.append(f"cell_res{resolution}")
         if keys[-1] not in regions.columns:

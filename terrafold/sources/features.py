@@ -25,8 +25,9 @@ def with_coarse_key(features: DataFrame, coarse_resolution: int, name: str | Non
     )
     coarse = hexgrid.with_axial(located, coarse_resolution, "__x", "__y", "__cq", "__cr")
     key = name or f"cell_res{coarse_resolution}"
+    zone = hexgrid.cell_epsg(F.col("cell"))
     return coarse.withColumn(
-        key, hexgrid.cell_id(F.col("__cq"), F.col("__cr"), coarse_resolution)
+        key, hexgrid.cell_id(F.col("__cq"), F.col("__cr"), coarse_resolution, zone)
     ).drop("__x", "__y", "__cq", "__cr")
 
 

@@ -88,12 +88,12 @@ def test_repeated_region_ids_are_an_error_in_every_form(spark):
 
 
 def test_bad_names_give_null_or_an_error(spark):
-    good = "LC09_L2SP_044032_20240715_20240717_02_T1"
+    good = "LC09_L2SP_012022_20210305_20210309_02_T1"
     df = spark.createDataFrame([(good, "B4"), (good, "XX"), (None, "B4")], "scene string, band string")
     paths = [r[0] for r in df.select(scene_ids.local_band_path("data/raw", "scene", "band")).collect()]
     assert paths == [f"data/raw/{good}/{good}_SR_B4.TIF", None, None]
     keys = [r[0] for r in df.select(scene_ids.band_key("scene", "band")).collect()]
-    assert keys[0].endswith(f"2024/044/032/{good}/{good}_SR_B4.TIF") and keys[1:] == [None, None]
+    assert keys[0].endswith(f"2021/012/022/{good}/{good}_SR_B4.TIF") and keys[1:] == [None, None]
     for strict in (scene_ids.band_key("scene", "band", strict=True), scene_ids.local_band_path("r", "scene", "band", strict=True)):
         with pytest.raises(Exception, match="Invalid band XX"):
             df.filter("band = 'XX'").select(strict).collect()
@@ -119,7 +119,7 @@ def test_few_files_for_each_key(spark, tmp_path):
 
 
 def test_scenes_left_out_are_named(spark):
-    good = ["LC09_L2SP_044032_20240715_20240717_02_T1", "LC09_L2SP_044031_20240715_20240717_02_T1", "LC09_L2SP_044033_20240715_20240717_02_T1"]
+    good = ["LC09_L2SP_012022_20210305_20210309_02_T1", "LC09_L2SP_012021_20210305_20210309_02_T1", "LC09_L2SP_012023_20210305_20210309_02_T1"]
     scenes = spark.createDataFrame([(s,) for s in [*good, "nonsense", None]], "scene_id string")
     metadata = spark.createDataFrame([(good[0],), (good[2],)], "scene_id string")
     required = list(catalog.REQUIRED_ITEM_BANDS)

@@ -7,9 +7,9 @@ from terrafold.operators import manifests, scenes
 from terrafold.plans import scene_selection
 
 IDS = [
-    "LC09_L2SP_044032_20240715_20240717_02_T1",
-    "LC09_L2SP_044033_20240715_20240717_02_T1",
-    "LC09_L2SP_044032_20240731_20240801_02_T1",
+    "LC09_L2SP_012022_20210305_20210309_02_T1",
+    "LC09_L2SP_012023_20210305_20210309_02_T1",
+    "LC09_L2SP_012022_20210321_20210325_02_T1",
 ]
 
 
@@ -24,16 +24,16 @@ def scene_table(spark, names):
 def test_filters_combine(spark):
     df = scene_table(spark, IDS)
     assert sorted(ids(scenes.filter_scenes(df))) == sorted(IDS)
-    assert ids(scenes.filter_scenes(df, "044", ["032"], ["20240731"])) == [IDS[2]]
+    assert ids(scenes.filter_scenes(df, "012", ["022"], ["20210321"])) == [IDS[2]]
     assert ids(scenes.filter_scenes(df, wrs_path="045")) == []
-    assert sorted(ids(scenes.filter_scenes(df, rows=["032", "033"], dates=["20240715"]))) == sorted(IDS[:2])
+    assert sorted(ids(scenes.filter_scenes(df, rows=["022", "023"], dates=["20210305"]))) == sorted(IDS[:2])
 
 
 def test_malformed_id_fails_even_without_a_filter(spark):
     df = scene_table(spark, [*IDS, "garbage"])
     with pytest.raises(Exception, match="Invalid scene ID"):
         scenes.filter_scenes(df).collect()
-    assert len(ids(scenes.filter_scenes(df, "044", strict=False))) == 3
+    assert len(ids(scenes.filter_scenes(df, "012", strict=False))) == 3
 
 
 def items(spark, *rows):
@@ -43,7 +43,7 @@ def items(spark, *rows):
 def test_selection(spark):
     found = items(
         spark, (IDS[0] + "_SR", "5.0"), (IDS[0], "3.0"), (IDS[1], "10.0"), (IDS[2], "9.9"),
-        ("LC08_L2SP_044032_20240715_20240717_02_T1", "1.0"), ("LC09_L2SP_bad", "1.0"),
+        ("LC08_L2SP_012022_20210305_20210309_02_T1", "1.0"), ("LC09_L2SP_bad", "1.0"),
     )
     out = scene_selection.select_scenes(found, 10.0)
     assert [(r["scene_id"], r["cloud_cover"]) for r in out.collect()] == [(IDS[0], 3.0), (IDS[2], 9.9)]

@@ -14,7 +14,7 @@ from terrafold.sources import documents, features, geojson, geotiff, listing
 from terrafold.sources.shared import fresh_path, shared_folder
 from terrafold.streaming.incremental import ingest_scenes
 
-SCENE = "LC09_L2SP_044032_20240715_20240717_02_T1"
+SCENE = "LC09_L2SP_012022_20210305_20210309_02_T1"
 
 
 def assemble(raw: bytes, band: int = 1) -> np.ndarray:
@@ -97,7 +97,7 @@ def test_band_files_to_hexagon_features(spark, tmp_path):
     out = hex_features.build_hex_features(pixels, (-122.0, 40.0, -121.0, 41.0), 32610)
     rows = out.collect()
     assert rows and {r["scene_id"] for r in rows} == {SCENE}
-    assert {r["acquisition_date"] for r in rows} == {"20240715"}
+    assert {r["acquisition_date"] for r in rows} == {"20210305"}
     for r in rows:
         assert r["ndvi_mean"] == pytest.approx(0.66667, abs=1e-3)
         assert r["nbr_mean"] == pytest.approx(0.42857, abs=1e-3)
@@ -106,8 +106,8 @@ def test_band_files_to_hexagon_features(spark, tmp_path):
     # Elsewhere nothing is found.
     assert hex_features.build_hex_features(pixels, (-120.0, 39.0, -119.9, 39.1), 32610).count() == 0
     # Block-wise and pixel-wise alignment agree.
-    loose = bands.blocks_to_pixels(geotiff.read_scene_bands(spark, root))
-    keys = ["scene_id", "row_no", "col_no", "x", "y"]
+    loose = bands.blocks_to_pixels(geotiff.read_scene_bands(spark, root), extra=["epsg"])
+    keys = ["scene_id", "row_no", "col_no", "x", "y", "epsg"]
     wide = bands.align_bands(loose, keys).select(*pixels.columns)
     assert wide.exceptAll(pixels).count() == 0 and wide.count() == pixels.count()
 
@@ -228,7 +228,7 @@ def test_metadata_and_catalog_files(spark, tmp_path):
     item = json.loads(spark.read.text(f"{path}/items").first()[0])
     assert item["id"] == SCENE and item["properties"]["datetime"] == "2024-07-15T18:45:23Z"
     assert item["geometry"]["coordinates"][0][0] == item["geometry"]["coordinates"][0][-1]
-    assert item["assets"]["B4"]["href"].startswith("s3://usgs-landsat/collection02/level-2/standard/oli-tirs/2024/044/032/")
+    assert item["assets"]["B4"]["href"].startswith("s3://usgs-landsat/collection02/level-2/standard/oli-tirs/2021/012/022/")
     assert [b["name"] for b in item["properties"]["eo:bands"]] == ["red", "nir08"]
     doc = json.loads(spark.read.text(f"{path}/collection").first()[0])
     assert doc["extent"]["spatial"]["bbox"] == [[-122.0, 40.0, -121.0, 41.0]]
