@@ -94,3 +94,27 @@ def incremental_scenes(spark, sf_dir):
     ingest(fresh_path(spark, "progress"))
     schema = build(pixels.drop("drop_no")).schema
     return T.read_features(spark, target, schema, "scene_id")
+
+
+_GONE = "scene_id LIKE '%044032%'"
+
+
+@query(
+    "incremental_retired_scenes",
+    X.with_("px", f"SELECT * FROM ({Q.wide_stats('hit', 'scene_id, q, r', ('mean', 'std'))}) WHERE NOT ({_GONE})", **_HEX),
+)
+def incremental_retired_scenes(spark, sf_dir):
+    """A source with a directory for each scene; a third of the scenes is withdrawn to fill alone."""
+    source, target, progress = (fresh_path(spark, n) for n in ("drops", "ingested", "progress"))
+    pixels = X.px(spark, sf_dir)
+    schema = pixels.schema
+
+    def build(rows):
+        indices = B.with_indices(rows, ["scene_id", "x", "y"])
+        return rounded_stats(H.cell_statistics(indices, X.RES), Z.DEFAULT_STATS)
+
+    fill = pixels.filter(_GONE).withColumns({b: F.lit(0).cast(schema[b].dataType) for b in ("b3", "b4", "b5", "b7")})
+    for rows in (pixels, fill):
+        T.replace_partitions(rows, source, "scene_id")
+        ingest_scenes(spark, source, schema, build, target, progress, partitioned=True)
+    return T.read_features(spark, target, build(pixels).schema, "scene_id")

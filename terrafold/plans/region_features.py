@@ -55,11 +55,16 @@ def _keys(indices: DataFrame, regions: DataFrame, resolution: int | None) -> lis
     return keys
 
 
-def write_region_features(features: DataFrame, path: str, resolution: int | None = None) -> str:
+def write_region_features(
+    features: DataFrame, path: str, resolution: int | None = None, scenes: DataFrame | None = None
+) -> str:
     """Write all scenes at once; a second run replaces its own scenes, and those wholly.
 
+    ``scenes`` (``scene_id``) are those the features were built for: one that no longer has any
+    feature is emptied by the same commit.
+
     A directory is a scene. Cells are sorted inside it, so a filter on the cell key skips row
     groups, and cells that a second run no longer has go with the scene's old files.
     """
     within = ["region_id"] if resolution is None else [f"cell_res{resolution}"]
-    return replace_partitions(features, path, "scene_id", within)
+    return replace_partitions(features, path, "scene_id", within, scenes)

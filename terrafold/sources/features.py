@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrafold.functions import hexgrid
-from terrafold.sources.shared import path_missing
+from terrafold.sources.shared import fresh_path, path_missing
 
 
 def with_coarse_key(features: DataFrame, coarse_resolution: int, name: str | None = None) -> DataFrame:
@@ -49,12 +49,37 @@ def write_features(features: DataFrame, path: str, key: str, max_records_per_fil
     return path
 
 
-def replace_partitions(features: DataFrame, path: str, key: str, order: list[str] | None = None) -> str:
+def emptied(features: DataFrame, touched: DataFrame, key: str) -> DataFrame:
+    """For each touched key without any feature a row that has nothing but the key."""
+    names = touched.select(F.col(key).cast(features.schema[key].dataType)).filter(F.col(key).isNotNull()).distinct()
+    gone = names.join(features.select(key).distinct(), key, "left_anti")
+    return gone.select(*[F.col(c) if c == key else F.lit(None).cast(features.schema[c].dataType).alias(c) for c in features.columns])
+
+
+def present(features: DataFrame, key: str) -> DataFrame:
+    """The rows of a feature table without those that mark an emptied partition."""
+    values = [F.col(f"`{c}`") for c in features.columns if c != key]
+    return features.filter(F.coalesce(*[F.when(v.isNotNull(), True) for v in values], F.lit(False))) if values else features
+
+
+def replace_partitions(
+    features: DataFrame, path: str, key: str, order: list[str] | None = None, touched: DataFrame | None = None
+) -> str:
     """Overwrite exactly the partitions present in ``features``, in one write.
 
     Running it again with the same rows gives the same table. A large partition is split
     over several tasks by its measured size; ``order`` sorts rows inside its files.
+
+    ``touched`` has the keys that the features were built for. Those that no row has any more
+    are emptied by the same commit: their partition then holds one row of nulls, which
+    :func:`read_features` leaves out. Features are written once to the shared folder first,
+    so that they are built only once.
     """
+    if touched is not None:
+        spark, staged = features.sparkSession, fresh_path(features.sparkSession, "features")
+        features.write.parquet(staged)
+        features = spark.read.schema(features.schema).parquet(staged)
+        features = features.unionByName(emptied(features, touched, key))
     (
         features.hint("rebalance", key)
         .sortWithinPartitions(key, *(order or []))
@@ -70,13 +95,14 @@ def read_features(spark: SparkSession, path: str, schema: T.StructType | str, ke
     """Read a feature table, its key restored from the directory names as text.
 
     ``schema`` declares all columns including the key; a path that does not exist gives an
-    empty table of that schema. Any other error is the caller's.
+    empty table of that schema. Any other error is the caller's. Partitions emptied by
+    :func:`replace_partitions` have no rows.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     declared = T.StructType([T.StructField(f.name, T.StringType() if f.name == key else f.dataType) for f in schema])
     try:
-        return spark.read.schema(declared).parquet(path).select(*declared.names)
+        return present(spark.read.schema(declared).parquet(path).select(*declared.names), key)
     except AnalysisException as exc:
         if not path_missing(exc):
             raise

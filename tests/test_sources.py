@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrafold.operators import bands, catalog, regions, summaries
-from terrafold.plans import hex_features, scene_catalog
+from terrafold.plans import hex_features, region_features, scene_catalog
 from terrafold.sources import documents, features, geojson, geotiff, listing
 from terrafold.sources.shared import fresh_path, shared_folder
 from terrafold.streaming.incremental import ingest_scenes
@@ -303,3 +303,47 @@ def test_ingest_adds_only_what_is_new(spark, tmp_path):
     assert len(seen) == n
     ingest_scenes(spark, source, schema, build, target, str(tmp_path / "again"), max_files_per_trigger=1)
     assert {(r["scene_id"], r["v"]) for r in spark.read.parquet(target).collect()} == {("a", 3), ("b", 5)}
+
+
+def plan_files(df):
+    return {f.rsplit("/", 2)[1] for f in df.inputFiles()}
+
+
+def test_ingest_reads_only_touched_scenes(spark, tmp_path):
+    """A directory for each scene: a batch lists those it touches; scenes that become empty go."""
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = spark.createDataFrame([("a", 1)], "scene_id string, v bigint").schema
+    seen = []
+
+    def build(rows):
+        seen.append(plan_files(rows))
+        return rows.filter("v > 0").groupBy("scene_id").agg(F.sum("v").alias("v"))
+
+    def drop(mode, *rows):
+        df = spark.createDataFrame(list(rows), schema).coalesce(1)
+        df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("scene_id").parquet(source)
+        ingest_scenes(spark, source, schema, build, target, progress, partitioned=True)
+        table = features.read_features(spark, target, schema, "scene_id")
+        return {(r["scene_id"], r["v"]) for r in table.collect()}
+
+    assert drop("append", ("a", 1), ("b=c [dé]%", 5), ("c", 7)) == {("a", 1), ("b=c [dé]%", 5), ("c", 7)}
+    assert drop("append", ("a", 2)) == {("a", 3), ("b=c [dé]%", 5), ("c", 7)}
+    assert seen[-1] == {"scene_id=a"}
+    assert drop("overwrite", ("c", 0)) == {("a", 3), ("b=c [dé]%", 5)}
+    assert seen[-1] == {"scene_id=c"}
+    assert drop("append", ("b=c [dé]%", 1), ("c", 4)) == {("a", 3), ("b=c [dé]%", 6), ("c", 4)}
+    # Emptied and filled again in other ways: a repeated run, scenes that never had a row.
+    for _ in range(2):
+        features.replace_partitions(spark.createDataFrame([], schema), target, "scene_id", touched=spark.createDataFrame([("a",), ("z",)], "scene_id string"))
+    table = features.read_features(spark, target, schema, "scene_id")
+    assert {(r["scene_id"], r["v"]) for r in table.collect()} == {("b=c [dé]%", 6), ("c", 4)}
+
+
+def test_region_features_of_scenes_that_become_empty(spark, tmp_path):
+    rows = [("s1", "r1", "c1", 1.0), ("s1", "r2", "c2", 2.0), ("s2", "r1", "c1", 3.0)]
+    df = spark.createDataFrame(rows, "scene_id string, region_id string, cell_res8 string, v double")
+    path, scenes = str(tmp_path / "cells"), spark.createDataFrame([("s1",), ("s2",), (None,)], "scene_id string")
+    region_features.write_region_features(df, path, 8, scenes)
+    region_features.write_region_features(df.filter("scene_id = 's2'"), path, 8, scenes)
+    back = features.read_features(spark, path, df.schema, "scene_id")
+    assert [tuple(r) for r in back.select("scene_id", "region_id", "v").collect()] == [("s2", "r1", 3.0)]
