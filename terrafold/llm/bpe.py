@@ -7,7 +7,8 @@ makes it deterministic as texts need it: a state holds every guess still alive w
 tokens it has not emitted, a step emits what all guesses share. A guess dies at the latest
 after the bytes of the longest token, which bounds the lookahead. States are dropped when
 there are too many; they come back when needed, so memory is bounded and results are not
-touched.
+touched. The pre-tokens of a chunk are read in sorted order: each goes on from where it
+parts from the one before, so a prefix that many share is read once.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from terrafold.llm.common import as_bytes, chunks
 from terrafold.llm.pretokens import Pieces, flat_ids
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Bytes of text whose pre-tokens are sorted together; the more, the longer the shared prefixes.
+SORTED_BYTES = 4 << 20
 
 
 @functools.cache
@@ -51,6 +54,15 @@ def merged(piece: bytes, rank: dict[bytes, int], least: int = 1) -> list[int]:
     return [rank[p] for p in parts]
 
 
+def common_prefix(a: bytes, b: bytes) -> int:
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
 class Transducer:
     """Encodes pre-tokens by a rank table."""
 
@@ -59,8 +71,9 @@ class Transducer:
         self.token = {v: k for k, v in self.rank.items()}
         self.max_states, self.max_pieces = max_states, max_pieces
         self.pieces: dict[bytes, bytes] = {}
-        # The trie of all tokens that BPE can make; a node is (children, token or -1).
-        self.trie: list[tuple[dict[int, int], int]] = [({}, -1)]
+        # The trie of all tokens that BPE can make: the children of its root, by byte; a node is
+        # (its children, token or -1).
+        self.trie: dict[int, tuple[dict, int]] = {}
         # Of each such token, the two that its last merge joins.
         self.halves: dict[int, tuple[int, int]] = {}
         for piece, token in self.rank.items():
@@ -69,14 +82,10 @@ class Transducer:
                 if len(halves) != 2:
                     continue
                 self.halves[token] = halves[0], halves[1]
-            node = 0
-            for byte in piece:
-                children = self.trie[node][0]
-                if byte not in children:
-                    children[byte] = len(self.trie)
-                    self.trie.append(({}, -1))
-                node = children[byte]
-            self.trie[node] = (self.trie[node][0], token)
+            children = self.trie
+            for byte in piece[:-1]:
+                children = children.setdefault(byte, ({}, -1))[0]
+            children[piece[-1]] = (children[piece[-1]][0] if piece[-1] in children else {}, token)
         self.pair: dict[tuple[int, int], bool] = {}
         self.reset()
 
@@ -84,10 +93,10 @@ class Transducer:
         """Forget all states but the start.
 
         A state is the last token emitted and the bytes read since. With it go the guesses
-        still alive, as (offset in those bytes, trie node), and for every offset where a
+        still alive, as (offset in those bytes, children of a trie node), and for every offset where a
         token may end that token and the offset where it starts.
         """
-        self.states = [(-1, b"", ((0, 0),), {0: (-1, 0)})]
+        self.states = [(-1, b"", ((0, self.trie),), {0: (-1, 0)})]
         self.number = {(-1, b""): 0}
         self.missed: set[tuple[int, int]] = set()
         self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
@@ -122,19 +131,19 @@ class Transducer:
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Make the state after a byte, and what all its guesses emit."""
         last, bytes_read, guesses, ends = self.states[state]
-        n, trie, alive, ended = len(bytes_read) + 1, self.trie, [], None
-        for offset, node in guesses:
-            child = trie[node][0].get(byte)
-            if child is None:
+        n, alive, ended = len(bytes_read) + 1, [], None
+        for offset, following in guesses:
+            node = following.get(byte)
+            if node is None:
                 continue
-            children, token = trie[child]
+            children, token = node
             if token >= 0 and ended is None:
                 before = ends[offset][0]
                 if before < 0 or self.fits(before, token):
                     ended = token, offset
             if children:
-                alive.append((offset, child))
-        alive.append((n, 0))
+                alive.append((offset, children))
+        alive.append((n, self.trie))
         # The offset up to which all guesses have the same tokens.
         shared = alive[0][0]
         ends = ends | {n: ended}
@@ -158,7 +167,7 @@ class Transducer:
                     kept.add(offset)
                     offset = ends[offset][1]
             moved = {o - shared: (ends[o][0], ends[o][1] - shared) for o in kept}
-            self.states.append((*key, tuple((o - shared, node) for o, node in alive), moved))
+            self.states.append((*key, tuple((o - shared, children) for o, children in alive), moved))
             self.steps.append({})
         found = self.steps[state][byte] = number, tuple(reversed(out))
         return found
@@ -196,24 +205,25 @@ class Transducer:
     def follow(self, state: int, data: bytes) -> list[int]:
         """Tokens from a state to the end of ``data``, without making states."""
         _, bytes_read, guesses, ends = self.states[state]
-        n, trie, pair = len(bytes_read), self.trie, self.pair
+        n, trie, pair = len(bytes_read), self.trie, self.pair.get
         if data:
             ends = dict(ends)
         for byte in data:
             n += 1
             alive, open_ = [], True
-            for offset, node in guesses:
-                child = trie[node][0].get(byte)
-                if child is not None:
-                    children, token = trie[child]
+            for offset, following in guesses:
+                node = following.get(byte)
+                if node is not None:
+                    children, token = node
                     if open_ and token >= 0:
                         before = ends[offset][0]
-                        if before < 0 or (pair.get((before, token)) if (before, token) in pair else self.fits(before, token)):
+                        fits = before < 0 or pair((before, token))
+                        if self.fits(before, token) if fits is None else fits:
                             ends[n] = token, offset
                             open_ = False
                     if children:
-                        alive.append((offset, child))
-            alive.append((n, 0))
+                        alive.append((offset, children))
+            alive.append((n, trie))
             guesses = alive
         out = []
         while n:
@@ -221,6 +231,100 @@ class Transducer:
             out.append(token)
         return out[::-1]
 
+    def sorted_streams(self, pieces: list[bytes], many: int = 16) -> Iterator[list[int]]:
+        """Tokens of pre-tokens in ascending order; a prefix shared with the one before is kept.
+
+        What ``many`` of them share becomes part of the table. The rest of a pre-token follows
+        transitions that are there and then, for at most 48 bytes, the guesses themselves. Of
+        every byte of the last pre-token the state after it is kept with the number of tokens
+        emitted, and beyond the table the guesses still alive.
+        """
+        trie, pair, before = self.trie, self.pair.get, b""
+        states, counts, done, base = [0], [0], [], None
+        for k, data in enumerate(pieces):
+            n, shared, before = len(data), common_prefix(before, data), data
+            if base is None or shared <= base:
+                # Within the table.
+                shared = min(shared, len(states) - 1)
+                del states[shared + 1 :], counts[shared + 1 :], done[counts[shared] :]
+                base, steps = None, self.steps
+                frequent = common_prefix(data, pieces[k + many - 1]) if k + many <= len(pieces) else 0
+                if len(self.states) > self.max_states:
+                    self.reset()
+                    states, counts, done, shared, steps = [0], [0], [], 0, self.steps
+                state = states[-1]
+                for i in range(shared, n):
+                    found = steps[state].get(data[i])
+                    if found is None:
+                        if i >= frequent and n - i <= 48:
+                            base = i
+                            break
+                        if len(self.states) > 2 * self.max_states:
+                            break
+                        found = self.step(state, data[i])
+                    state, out = found
+                    if out:
+                        done += out
+                    states.append(state)
+                    counts.append(len(done))
+                else:
+                    yield done + self.follow(state, b"")
+                    continue
+                if base is None:  # one very long pre-token; it starts the table anew
+                    yield self.stream(data)
+                    self.reset()
+                    states, counts, done, before = [0], [0], [], b""
+                    continue
+                _, bytes_read, guesses, ends = self.states[state]
+                first, kept, ends, shared = len(bytes_read), [guesses], dict(ends), base
+            else:
+                del kept[shared - base + 1 :]
+            guesses = kept[-1]
+            # Whatever stands in ``ends`` for later bytes is overwritten before it is read.
+            for i in range(shared, n):
+                byte, at, alive, open_ = data[i], first + i - base + 1, [], True
+                for offset, following in guesses:
+                    node = following.get(byte)
+                    if node is not None:
+                        children, token = node
+                        if open_ and token >= 0:
+                            last = ends[offset][0]
+                            fits = last < 0 or pair((last, token))
+                            if self.fits(last, token) if fits is None else fits:
+                                ends[at] = token, offset
+                                open_ = False
+                        if children:
+                            alive.append((offset, children))
+                alive.append((at, trie))
+                guesses = alive
+                kept.append(guesses)
+            out, at = [], first + n - base
+            while at:
+                token, at = ends[at]
+                out.append(token)
+            yield done + out[::-1]
+
+    def encode_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Tokens of distinct pre-tokens as unsigned 32-bit numbers; short ones are remembered."""
+        known, rank = self.pieces, self.rank
+        out = list(map(known.get, pieces))
+        missing = []
+        for i, found in enumerate(out):
+            if found is None:
+                whole = rank.get(pieces[i])
+                if whole is None:
+                    missing.append(i)
+                else:
+                    out[i] = known[pieces[i]] = struct.pack("<I", whole)
+        missing.sort(key=pieces.__getitem__)
+        for i, tokens in zip(missing, self.sorted_streams([pieces[i] for i in missing]), strict=True):
+            out[i] = struct.pack(f"<{len(tokens)}I", *tokens)
+            if len(pieces[i]) <= 64:
+                known[pieces[i]] = out[i]
+        if len(known) >= self.max_pieces:
+            known.clear()
+        return out
+
     def encode(self, piece: bytes) -> bytes:
         """Tokens of one pre-token as unsigned 32-bit numbers; short ones are remembered."""
         known = self.pieces.get(piece)
@@ -331,9 +435,9 @@ def portions(ids: np.ndarray, size: int) -> Iterator[list[int]]:
 
 def encoded_chunks(column: pa.Array, path: str):
     """Ids of the texts of a column, chunk by chunk, with the range of rows of each chunk."""
-    encode = transducer(path).encode
+    encode = transducer(path).encode_all
     raw, offsets = as_bytes(column)
-    for lo, hi in chunks(offsets):
+    for lo, hi in chunks(offsets, SORTED_BYTES):
         own = offsets[lo : hi + 1]
         ids, at = flat_ids(Pieces(raw[own[0] : own[-1]], own - own[0]), encode)
         yield ids, at, lo, hi

@@ -68,6 +68,9 @@ class Encoder:
                 self.known[piece] = found
         return found
 
+    def encode_all(self, pieces: list[bytes]) -> list[bytes]:
+        return list(map(self.encode, pieces))
+
     def occurrences(self, raw: bytes, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """Added tokens within documents, left to right without overlaps: start, end, id."""
         if self.pattern is None or not self.pattern.search(raw):
@@ -83,9 +86,9 @@ class Encoder:
         """Ids of all documents of a chunk, and where each document's start and the last end."""
         cuts = self.occurrences(raw.tobytes(), offsets)
         if not cuts:
-            return flat_ids(Pieces(raw, offsets), self.encode)
+            return flat_ids(Pieces(raw, offsets), self.encode_all)
         bounds = np.unique(np.concatenate([offsets, [c[0] for c in cuts], [c[1] for c in cuts]]))
-        ids, at = flat_ids(Pieces(raw, bounds), self.encode)
+        ids, at = flat_ids(Pieces(raw, bounds), self.encode_all)
         size, token = np.diff(at), np.full(len(bounds) - 1, -1, np.int64)
         for start, _, number in cuts:
             token[np.searchsorted(bounds, start)] = number

@@ -108,13 +108,13 @@ class Pieces:
 def flat_ids(pieces: Pieces, encode) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a whole chunk, and where each document's ids start and the last end.
 
-    ``encode`` gives the ids of one pre-token as little-endian 32-bit numbers; it is asked once for each distinct one.
+    ``encode`` gives the ids of distinct pre-tokens, each as little-endian 32-bit numbers.
     """
     chosen, kind = pieces.distinct()
     if not len(chosen):
         return np.zeros(0, np.uint32), np.zeros(len(pieces.first), np.int64)
     raw = pieces.raw.tobytes()
-    found = [encode(raw[b:e]) for b, e in zip(pieces.begin[chosen].tolist(), pieces.end[chosen].tolist(), strict=True)]
+    found = encode([raw[b:e] for b, e in zip(pieces.begin[chosen].tolist(), pieces.end[chosen].tolist(), strict=True)])
     sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
     pool = np.frombuffer(b"".join(found), "<u4")
     at = np.cumsum(sizes) - sizes

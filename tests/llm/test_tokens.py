@@ -60,6 +60,19 @@ def test_forgotten_states_change_nothing(public):
             assert np.frombuffer(small.encode(word.encode()), "<u4").tolist() == public.encode_ordinary(word)
 
 
+@pytest.mark.parametrize("states, many", [(100_000, 16), (100_000, 2), (30, 2), (30, 16)])
+def test_sorted_pre_tokens_share_prefixes(public, states, many):
+    draw = random.Random(8)
+    parts = ["th", "sh", "un", "believ", "ation", "é", "ñ", "q", "ing", "🙂", "zzz", "anthrop"]
+    words = sorted({"".join(draw.choices(parts, k=draw.randint(1, 6))).encode() for _ in range(3000)} | {b"x" * 400, b"xy" * 300, b"x" * 399})
+    small = bpe.Transducer(PATH, max_states=states, max_pieces=100)
+    for _ in range(2):
+        got = list(small.sorted_streams(words, many))
+        assert got == [public.encode_ordinary(w.decode()) for w in words]
+    mixed = draw.sample(words, len(words))
+    assert [np.frombuffer(x, "<u4").tolist() for x in small.encode_all(mixed)] == [public.encode_ordinary(w.decode()) for w in mixed]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=40), st.lists(st.integers(1, 5), max_size=40))
 def test_bytes_in_portions(text, sizes):
