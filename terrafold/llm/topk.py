@@ -5,12 +5,15 @@ size; queries likewise to groups. A task holds one block and the groups that vis
 both in cover trees and walks pairs of nodes: a pair is dropped when centres and covering
 radii bound its products below the worst kth score of the query node. Every group first
 visits the block of its own pivot; the kth scores found there then decide, by the same bound,
-which other blocks it visits at all. Products are of integers and exact; bounds have a margin
-for their rounding.
+which other pivots' cells and then which of their blocks it visits at all. Products are of
+integers and exact at any size; bounds have a margin for their rounding, and where numbers are
+too large for bounds nothing is pruned.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -27,16 +30,42 @@ SAMPLE, PER_PIVOT, PIVOTS = 2048, 2048, 256
 #: Points of a leaf of data and of queries, and children of a node.
 LEAF, QUERY_LEAF, FANOUT = 512, 64, 8
 NOTHING = np.iinfo(np.int64).min
+#: What stands for scores below and above a long.
+LOW, HIGH = NOTHING + 1, np.iinfo(np.int64).max
+#: Coordinates from here on have no squares to prune by.
+HUGE = 1e100
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """The integers of components, as floating point; infinite where 64 times them is."""
+    with np.errstate(over="ignore"):
+        return np.floor(SCALE * x)
+
+
+def integers(x: np.ndarray) -> np.ndarray:
+    """The integers of components, as Python's."""
+    flat = [int(c) * SCALE if abs(c) >= 2.0**53 else math.floor(SCALE * c) for c in x.ravel().tolist()]
+    return np.array(flat, object).reshape(x.shape)
 
 
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of rows; in floating point only where that is exact."""
+    """Integer inner products of rows of components; in floating point only where that is exact.
+
+    Products above or below a long become ``HIGH`` and ``LOW``.
+    """
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
-    most = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
+    u, v = scaled(a), scaled(b)
+    most = float(np.abs(u).max()) * float(np.abs(v).max()) * a.shape[1]
     if most < 2**52:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+        return (u @ v.T).astype(np.int64)
+    if most < 2**62 and max(np.abs(u).max(), np.abs(v).max()) < 2**62:
+        return u.astype(np.int64) @ v.astype(np.int64).T
+    out = np.empty((len(a), len(b)), np.int64)
+    wide, left = integers(b).T, integers(a)
+    for i in range(len(a)):
+        out[i] = [min(max(p, LOW), HIGH) for p in left[i] @ wide]
+    return out
 
 
 class Tree:
@@ -44,14 +73,17 @@ class Tree:
 
     def __init__(self, points: np.ndarray, leaf: int):
         self.leaf = leaf
-        self.points = points.astype(np.float64)
+        self.points = scaled(points)
+        self.huge = bool(self.points.size) and float(np.abs(self.points).max()) > HUGE
+        if self.huge:  # one leaf with a ball of any size
+            self.points = np.zeros_like(self.points)
         self.square = (self.points**2).sum(1)
         #: Per node: centre (a point), covering radius, norm of the centre, members, children.
         self.center: list[int] = []
         self.radius: list[float] = []
         self.members: list[np.ndarray] = []
         self.children: list[list[int]] = []
-        self.root = self._node(np.arange(len(points)), int(((points - points.mean(0)) ** 2).sum(1).argmin()))
+        self.root = self._node(np.arange(len(points)), int(((self.points - self.points.mean(0)) ** 2).sum(1).argmin()))
         self.norm = np.sqrt(self.square[self.center])
 
     def _far(self, members: np.ndarray, center: int) -> np.ndarray:
@@ -60,12 +92,12 @@ class Tree:
 
     def _node(self, members: np.ndarray, center: int) -> int:
         far = self._far(members, center)
-        number, radius = len(self.center), float(far.max())
+        number, radius = len(self.center), np.inf if self.huge else float(far.max())
         self.center.append(center)
         self.radius.append(radius)
         self.members.append(members)
         self.children.append([])
-        if len(members) <= self.leaf or radius == 0:
+        if len(members) <= self.leaf or radius == 0 or self.huge:
             return number
         centers, near = [center], np.zeros(len(members), np.int64)
         while len(centers) < FANOUT and far.max() > radius / 2:
@@ -80,7 +112,10 @@ class Tree:
 
 
 def bound(dot, radius_a, norm_a, radius_b, norm_b):
-    """Above every inner product of a point of one ball with a point of the other."""
+    """Above every inner product of a point of one ball with a point of the other.
+
+    No number, where a ball has no bounds; that is greater than any.
+    """
     out = dot + radius_a * norm_b + radius_b * norm_a + radius_a * radius_b
     return out + 1e-9 * (radius_a + norm_a) * (radius_b + norm_b) + 1e-6
 
@@ -109,7 +144,7 @@ class Search:
         scores = np.concatenate([self.score[rows], np.where(good[some], score[some], NOTHING)], axis=1)
         known = np.where(good[some], ids[None, :], np.iinfo(np.int64).max)
         found = np.concatenate([self.found[rows], known], axis=1)
-        order = np.lexsort((found, -scores.clip(NOTHING + 1)), axis=-1)[:, : self.k]
+        order = np.lexsort((found, -scores.clip(NOTHING + 1), scores == NOTHING), axis=-1)[:, : self.k]
         self.score[rows] = np.take_along_axis(scores, order, 1)
         self.found[rows] = np.take_along_axis(found, order, 1)
 
@@ -131,12 +166,15 @@ class Search:
                 pairs = [(x, d) for x in parts_q]
             a, b = ([p[i] for p in pairs] for i in (0, 1))
             dot = (own.points[np.array(own.center)[a]] * data.points[np.array(data.center)[b]]).sum(1)
-            tops = bound(dot, np.array(own.radius)[a], own.norm[a], np.array(data.radius)[b], data.norm[b])
+            with np.errstate(invalid="ignore"):
+                tops = bound(dot, np.array(own.radius)[a], own.norm[a], np.array(data.radius)[b], data.norm[b])
+            tops = np.where(np.isnan(tops), np.inf, tops)
             stack += [(*pairs[i], float(tops[i])) for i in np.argsort(tops)]
 
 
 def whole(vectors: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), np.int64).reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 1), np.int64)
+    """Components of the rows."""
+    return np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 1))
 
 
 def search_block(key, queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -154,7 +192,7 @@ def search_block(key, queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.D
 
 
 def prepared(vectors: DataFrame) -> DataFrame:
-    """Rows that take part: integers of every vector as bytes, and its dimension."""
+    """Rows that take part: components of every vector as bytes, and its dimension."""
 
     def run(frames):
         for f in frames:
@@ -163,9 +201,8 @@ def prepared(vectors: DataFrame) -> DataFrame:
                 if x is None or vec_id is None or vec_id != vec_id or not len(x):
                     continue
                 v = np.array([np.nan if c is None else c for c in x], np.float64)
-                scaled = np.floor(SCALE * v)
-                if np.isfinite(v).all() and (np.abs(scaled) < 2**30).all():
-                    out.append((int(vec_id), scaled.astype(np.int64).tobytes(), len(v)))
+                if np.isfinite(v).all():
+                    out.append((int(vec_id), v.tobytes(), len(v)))
             yield pd.DataFrame(out, columns=["vec_id", "v", "dim"]).astype({"vec_id": "int64", "dim": "int32"})
 
     narrow = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter("vec_id is not null and embedding is not null")
@@ -181,28 +218,36 @@ def spread(sample: np.ndarray, n: int) -> np.ndarray:
     return sample[chosen]
 
 
-def dealt(rows: DataFrame) -> DataFrame:
-    """The pivot (``cell``) of every row; pivots come from a bounded sample per dimension."""
+def dealt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pivot (``cell``) of every row and how far it is; the pivots themselves.
+
+    Pivots come from a bounded sample and are at most ``PIVOTS`` for each dimension.
+    """
     draw = F.pmod(F.xxhash64("vec_id", F.lit("pivot")), F.lit(1 << 40))
     count = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().collect()}
     pivots: dict[int, np.ndarray] = {}
     for dim, n in sorted(count.items()):
         drawn = rows.filter((F.col("dim") == dim) & (draw < int((1 << 40) * min(1.0, SAMPLE / n)))).select("vec_id", "v").collect()
-        sample = np.array([np.frombuffer(r["v"], np.int64) for r in sorted(drawn, key=lambda r: (r["vec_id"], bytes(r["v"])))], np.float64)
-        if len(sample):
-            pivots[dim] = spread(sample, max(1, min(PIVOTS, n // PER_PIVOT)))
+        sample = np.array([np.frombuffer(r["v"], np.float64) for r in sorted(drawn, key=lambda r: (r["vec_id"], bytes(r["v"])))])
+        sample = scaled(sample).clip(-HUGE, HUGE) if len(sample) else np.zeros((1, dim))
+        pivots[dim] = spread(sample, max(1, min(PIVOTS, n // PER_PIVOT)))
 
     def run(frames):
         for f in frames:
-            cell = np.zeros(len(f), np.int32)
+            cell, far = np.zeros(len(f), np.int32), np.zeros(len(f))
             for dim, own in pivots.items():
                 at = np.flatnonzero(f["dim"].to_numpy() == dim)
                 if len(at):
-                    x = whole(f["v"].iloc[at]).astype(np.float64)
-                    cell[at] = ((own**2).sum(1)[None, :] - 2 * x @ own.T).argmin(1)
-            yield f.assign(cell=cell)
+                    x = scaled(whole(f["v"].iloc[at]))
+                    near = ((own**2).sum(1)[None, :] - 2 * x.clip(-HUGE, HUGE) @ own.T).argmin(1)
+                    huge = (np.abs(x) > HUGE).any(1)
+                    cell[at] = near
+                    far[at] = np.where(huge, np.inf, np.sqrt(((x.clip(-HUGE, HUGE) - own[near]) ** 2).sum(1)) * (1 + 1e-9))
+            yield f.assign(cell=cell, far=far)
 
-    return rows.mapInPandas(run, "vec_id long, v binary, dim int, cell int")
+    centers = [(d, c, p.tolist(), float(np.sqrt((p**2).sum()))) for d, own in pivots.items() for c, p in enumerate(own)]
+    named = rows.sparkSession.createDataFrame(centers, "dim int, cell int, p_center array<double>, p_norm double")
+    return rows.mapInPandas(run, "vec_id long, v binary, dim int, cell int, far double"), named
 
 
 def grouped(rows: DataFrame, name: str, most: int) -> DataFrame:
@@ -217,13 +262,15 @@ def balls(rows: DataFrame, name: str, extra: str | None = None) -> DataFrame:
     """Centre, covering radius and norm of the centre of every group."""
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        x = whole(f["v"]).astype(np.float64)
+        x = scaled(whole(f["v"]))
+        huge = float(np.abs(x).max()) > HUGE
+        x = np.zeros_like(x) if huge else x
         center = x.mean(0)
-        radius = float(np.sqrt(((x - center) ** 2).sum(1).max()))
-        row = {name: f[name].iloc[0], "dim": f["dim"].iloc[0], "center": center, "radius": radius, "norm": float(np.sqrt((center**2).sum()))}
+        radius = np.inf if huge else float(np.sqrt(((x - center) ** 2).sum(1).max()))
+        row = {name: f[name].iloc[0], "dim": f["dim"].iloc[0], "cell": f["cell"].iloc[0], "center": center, "radius": radius, "norm": float(np.sqrt((center**2).sum()))}
         return pd.DataFrame([row | ({extra: int(f[extra].min())} if extra else {})])
 
-    schema = f"{name} string, dim int, center array<double>, radius double, norm double" + (f", {extra} long" if extra else "")
+    schema = f"{name} string, dim int, cell int, center array<double>, radius double, norm double" + (f", {extra} long" if extra else "")
     return rows.groupBy(name).applyInPandas(run, schema)
 
 
@@ -251,13 +298,16 @@ def top_products(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     """The ``k`` rows of largest inner product with each query, ties to the smaller id.
 
     ``is_query``: a condition on ``vec_id``. Takes ``vec_id`` and ``embedding``; other columns
-    are left out. Rows with a null id, a null or empty vector, or a null, non-finite or
-    huge (2**24 and up) component take no part. Vectors meet only those of their dimension.
+    are left out. Rows with a null id, a null or empty vector, or a null or non-finite
+    component take no part; all others do, however large. A result whose score is not below
+    the largest and above the two smallest numbers of a long stops the query. Vectors meet
+    only those of their dimension.
     A candidate with the query's id is its own row; of queries that repeat an id the one of
     least bytes asks; repeated candidates count each. Fewer than ``k`` candidates are all
     returned; an empty table gives none.
     """
-    rows = keep(dealt(keep(prepared(vectors), "vectors")), "dealt")
+    placed, pivots = dealt(keep(prepared(vectors), "vectors"))
+    rows = keep(placed, "dealt")
     data = keep(grouped(rows, "db", BLOCK), "data")
     one = Window.partitionBy("vec_id").orderBy("v")
     asking = rows.filter(is_query).withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n")
@@ -272,9 +322,19 @@ def top_products(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     floors = best(first, k).groupBy("query_id").agg(F.min("score").alias("s"), F.count("*").alias("n"))
     floors = floors.select(F.col("query_id").alias("vec_id"), F.when(F.col("n") == k, F.col("s")).otherwise(F.lit(int(NOTHING))).alias("floor"))
     queries = keep(queries.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(int(NOTHING)))), "floors")
-    groups = balls(queries, "qg", "floor").toDF("qg", "dim", "q_center", "q_radius", "q_norm", "floor")
-    dot = F.aggregate(F.zip_with("q_center", "center", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    top = bound(dot, F.col("q_radius"), F.col("q_norm"), F.col("radius"), F.col("norm"))
-    pairs = groups.join(blocks, "dim").filter(top >= F.col("floor").cast("double")).select("qg", "db")
+    groups = balls(queries, "qg", "floor").toDF("qg", "dim", "q_cell", "q_center", "q_radius", "q_norm", "floor").drop("q_cell")
+    reach = data.groupBy("dim", "cell").agg(F.max("far").alias("p_radius"))
+    # As many cells as pivots, so they go to every group; only blocks of cells in reach follow.
+    cells = F.broadcast(pivots.join(reach, ["dim", "cell"]))
+
+    def above(center: str, radius: str, norm: str):
+        dot = F.aggregate(F.zip_with("q_center", center, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+        return bound(dot, F.col("q_radius"), F.col("q_norm"), F.col(radius), F.col(norm)) >= F.col("floor").cast("double")
+
+    near = groups.join(cells, "dim").filter(above("p_center", "p_radius", "p_norm")).drop("p_center", "p_radius", "p_norm")
+    pairs = near.join(blocks, ["dim", "cell"]).filter(above("center", "radius", "norm")).select("qg", "db")
     rest = visits(queries, data, pairs.join(seeds, ["qg", "db"], "left_anti"), k)
-    return best(first.union(rest), k).select("query_id", "rank", "vec_id", "score")
+    found = best(first.union(rest), k).select("query_id", "rank", "vec_id", "score")
+    wrong = F.concat(F.lit("the score of vectors "), F.col("query_id"), F.lit(" and "), F.col("vec_id"), F.lit(" is no long"))
+    fits = F.when((F.col("score") > LOW) & (F.col("score") < HIGH), F.col("score")).otherwise(F.raise_error(wrong).cast("long"))
+    return found.withColumn("score", fits)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import math
 import re
 import zlib
 
@@ -250,11 +251,12 @@ def test_pseudonym_edges(spark):
 
 
 def simple_top(rows, k=topk.K):
-    good = [(i, np.floor(64 * np.array(v, float)).astype(np.int64)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
+    whole = lambda c: int(c) * 64 if abs(c) >= 2.0**53 else math.floor(64 * c)
+    good = [(i, [whole(c) for c in v]) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
     out = set()
     for q, v in good:
         if q % 20 == 0:
-            found = sorted((-int(v @ w), i) for i, w in good if i != q and len(w) == len(v))[:k]
+            found = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in good if i != q and len(w) == len(v))[:k]
             out |= {(q, r, i, -s) for r, (s, i) in enumerate(found, 1)}
     return out
 
@@ -273,6 +275,33 @@ def test_top_products(spark, monkeypatch, block):
     assert got == simple_top(rows)
 
 
+@pytest.mark.parametrize("block", [topk.BLOCK, 32])
+def test_top_products_of_large_components(spark, monkeypatch, block):
+    """Finite components of any size take part, and sums beyond 2**53 are exact."""
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "PER_PIVOT", block)
+    draw = np.random.default_rng(9)
+    rows = [(i, [0.0, *(draw.normal(size=6) * 3).tolist()]) for i in range(200)]
+    rows += [(300 + i, [0.0, 2.0**24 + i, *draw.normal(size=5).tolist()]) for i in range(30)]
+    rows += [(401 + i, [0.0, 0.0, 2.0**40, -(2.0**30), 1.0 + i / 64, 0.0, 0.5]) for i in range(5)]
+    # Nobody has anything where these are largest of all.
+    rows += [(501, [1e300, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0]), (502, [-1.7e308, 5.0, 0.0, 0.0, 0.0, 0.0, 0.0])]
+    rows = [(i, v) for i, v in rows if not (i % 20 == 0 and i >= 400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = simple_top(rows)
+    assert max(s for *_, s in want) > 2**60 and all(abs(s) < 2**63 for *_, s in want)
+    assert {tuple(r) for r in topk.top_products(df, "vec_id % 20 = 0").collect()} == want
+
+
+def test_a_score_that_is_no_long_is_an_error(spark):
+    rows = [(0, [2.0**40, 1.0]), (1, [2.0**40, 1.0]), (2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="the score of vectors 0 and 1 is no long"):
+        topk.top_products(df, "vec_id % 20 = 0").collect()
+    assert (topk.exact_products(np.array([[2.0**30 - 1] * 16]), np.array([[2.0**30 - 1] * 16])) == topk.HIGH).all()
+    assert (topk.exact_products(np.array([[-1e300, 0.0]]), np.array([[1e300, 0.0], [0.0, 7.0]])) == [[topk.LOW, 0]]).all()
+
+
 def test_top_products_of_embeddings(spark):
     df = spark.read.parquet(f"{X.SF}/embeddings.parquet")
     rows = [(r["vec_id"], list(r["embedding"])) for r in df.collect()]
