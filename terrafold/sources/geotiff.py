@@ -1,4 +1,7 @@
-"""Baseline GeoTIFF bytes to block rows and back.
+"""GeoTIFF bytes to block rows and back.
+
+Read are strips and tiles of integers and floats, plain, deflate or LZW, with horizontal or
+floating-point differencing, in files with 32-bit or 64-bit directories.
 
 Decoding is the one step Spark has no expression for. A file is unpacked tile by tile
 inside the task that read it, and every tile or strip becomes one block row; nothing
@@ -25,8 +28,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_FIELDS = (
     "block_row bigint, block_col bigint, first_row bigint, first_col bigint, x0 double, y0 double, "
-    "pixel_size double, width int, height int, epsg int, nodata double, data array<double>"
+    "pixel_size double, width int, height int, epsg int, nodata double, data array<{values}>"
 )
+#: Types that values may be delivered as.
+VALUE_TYPES = {
+    "double": np.dtype("f8"), "float": np.dtype("f4"), "bigint": np.dtype("i8"), "int": np.dtype("i4"), "smallint": np.dtype("i2"),
+}
 
 # Fixed values of the TIFF and GeoTIFF formats.
 TAG_WIDTH, TAG_HEIGHT, TAG_BITS, TAG_COMPRESSION, TAG_PHOTOMETRIC = 256, 257, 258, 259, 262
@@ -36,30 +43,43 @@ TAG_TILE_OFFSETS, TAG_TILE_COUNTS, TAG_SAMPLE_FORMAT = 324, 325, 339
 TAG_PIXEL_SCALE, TAG_TIEPOINT, TAG_GEO_KEYS, TAG_NODATA = 33550, 33922, 34735, 42113
 KEY_RASTER_TYPE, KEY_GEOGRAPHIC, KEY_PROJECTED = 1025, 2048, 3072
 PIXEL_IS_POINT = 2
-COMPRESSION_NONE, COMPRESSION_DEFLATE, COMPRESSION_DEFLATE_OLD = 1, 8, 32946
+COMPRESSION_NONE, COMPRESSION_LZW, COMPRESSION_DEFLATE, COMPRESSION_DEFLATE_OLD = 1, 5, 8, 32946
 FIELD_FORMATS = {
-    1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q",
+    1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q",
 }
+LZW_CLEAR, LZW_END, LZW_FIRST, LZW_WIDEST = 256, 257, 9, 12
+PREDICTOR_NONE, PREDICTOR_HORIZONTAL, PREDICTOR_FLOAT = 1, 2, 3
 SAMPLE_KINDS = {1: "u", 2: "i", 3: "f"}
 
 
 def _tags(raw: bytes) -> tuple[str, dict[int, tuple]]:
-    """Byte order and the tag values of the first (full-resolution) directory."""
+    """Byte order and the tag values of the first (full-resolution) directory.
+
+    A 64-bit file differs in its version and in the width of counts, offsets and of what an
+    entry holds itself.
+    """
     order = {b"II": "<", b"MM": ">"}.get(raw[:2])
-    if order is None or struct.unpack_from(order + "H", raw, 2)[0] != 42:
-        raise ValueError("not a baseline TIFF")
-    at = struct.unpack_from(order + "I", raw, 4)[0]
+    version = struct.unpack_from(order + "H", raw, 2)[0] if order else None
+    if version == 42:
+        word, number, entries = "I", "H", 4
+    elif version == 43 and struct.unpack_from(order + "HH", raw, 4) == (8, 0):
+        word, number, entries = "Q", "Q", 8
+    else:
+        raise ValueError("not a baseline TIFF, nor one with 64-bit offsets")
+    size = struct.calcsize(order + word)
+    at = struct.unpack_from(order + word, raw, entries)[0]
+    first = at + struct.calcsize(order + number)
     tags = {}
-    for k in range(struct.unpack_from(order + "H", raw, at)[0]):
-        entry = at + 2 + 12 * k
-        tag, kind, count = struct.unpack_from(order + "HHI", raw, entry)
+    for k in range(struct.unpack_from(order + number, raw, at)[0]):
+        entry = first + (4 + 2 * size) * k
+        tag, kind, count = struct.unpack_from(order + "HH" + word, raw, entry)
         if kind not in FIELD_FORMATS:
             continue
         code = FIELD_FORMATS[kind]
         layout = order + (f"{count}s" if code == "s" else code * count)
-        where = entry + 8
-        if struct.calcsize(layout) > 4:
-            where = struct.unpack_from(order + "I", raw, where)[0]
+        where = entry + 4 + size
+        if struct.calcsize(layout) > size:
+            where = struct.unpack_from(order + word, raw, where)[0]
         tags[tag] = struct.unpack_from(layout, raw, where)
     return order, tags
 
@@ -83,22 +103,69 @@ def _corner(tags: dict[int, tuple], geo: dict[int, int]) -> tuple[float, float,
     return tie[3] - (tie[0] + back) * scale[0], tie[4] + (tie[1] + back) * scale[0], scale[0]
 
 
+def unpack_lzw(packed: bytes) -> bytes:
+    """Bytes of an LZW stream: codes of 9 to 12 bits, the highest bit first.
+
+    A code grows by a bit one entry before the table needs it.
+    """
+    table: list[bytes] = [bytes((i,)) for i in range(256)] + [b"", b""]
+    out, last, width, held, bits = [], None, LZW_FIRST, 0, 0
+    for byte in packed:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code = held >> bits
+        held &= (1 << bits) - 1
+        if code == LZW_END:
+            break
+        if code == LZW_CLEAR:
+            del table[258:]
+            last, width = None, LZW_FIRST
+            continue
+        if code > len(table) or code == len(table) and last is None:
+            raise ValueError(f"damaged LZW data: code {code} of {len(table)}")
+        found = table[code] if code < len(table) else last + last[:1]
+        out.append(found)
+        if last is not None and len(table) < 1 << LZW_WIDEST:
+            table.append(last + found[:1])
+        last = found
+        if len(table) >= (1 << width) - 1 and width < LZW_WIDEST:
+            width += 1
+    return b"".join(out)
+
+
 def _samples(chunk: bytes, compression: int, dtype, rows: int, cols: int, depth: int, predictor: int):
     """Decoded values of one tile or strip as (rows, cols, depth)."""
     if compression in (COMPRESSION_DEFLATE, COMPRESSION_DEFLATE_OLD):
         chunk = zlib.decompress(chunk)
+    elif compression == COMPRESSION_LZW:
+        chunk = unpack_lzw(chunk)
     elif compression != COMPRESSION_NONE:
         raise ValueError(f"unsupported TIFF compression {compression}")
+    if predictor == PREDICTOR_FLOAT:
+        if dtype.kind != "f":
+            raise ValueError("floating-point differencing of values that are no floats")
+        # A row has the highest bytes of all values first, then the next ones, as differences.
+        size = dtype.itemsize
+        steps = np.frombuffer(chunk, np.uint8, rows * cols * depth * size).reshape(rows, -1, depth)
+        planes = np.cumsum(steps, axis=1, dtype=np.uint8).reshape(rows, size, cols * depth)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(f">f{size}").reshape(rows, cols, depth)
     values = np.frombuffer(chunk, dtype=dtype, count=rows * cols * depth).reshape(rows, cols, depth)
-    if predictor == 2:
+    if predictor == PREDICTOR_HORIZONTAL:
+        if dtype.kind == "f":
+            raise ValueError("horizontal differencing of floats")
         values = np.cumsum(values, axis=1, dtype=values.dtype.newbyteorder("="))
-    elif predictor != 1:
+    elif predictor != PREDICTOR_NONE:
         raise ValueError(f"unsupported TIFF predictor {predictor}")
     return values
 
 
-def decode_blocks(raw: bytes, band: int = 1) -> Iterator[dict]:
-    """Blocks of one file. ``band`` is counted from 1; values are widened to double."""
+def decode_blocks(raw: bytes, band: int = 1, value_type: str = "double") -> Iterator[dict]:
+    """Blocks of one file. ``band`` is counted from 1.
+
+    Values are delivered as ``value_type``; a file whose own type does not fit it is an error.
+    """
     order, tags = _tags(raw)
     width, height = tags[TAG_WIDTH][0], tags[TAG_HEIGHT][0]
     samples = tags.get(TAG_SAMPLES, (1,))[0]
@@ -106,7 +173,9 @@ def decode_blocks(raw: bytes, band: int = 1) -> Iterator[dict]:
         raise ValueError(f"band {band} of a file with {samples}")
     bits = tags.get(TAG_BITS, (1,))[0]
     kind = SAMPLE_KINDS[tags.get(TAG_SAMPLE_FORMAT, (1,))[0]]
-    dtype = np.dtype(f"{order}{kind}{bits // 8}")
+    dtype, wanted = np.dtype(f"{order}{kind}{bits // 8}"), VALUE_TYPES[value_type]
+    if not np.can_cast(dtype, wanted) and wanted != VALUE_TYPES["double"]:
+        raise ValueError(f"values of type {dtype.name} do not fit {value_type}")
     compression = tags.get(TAG_COMPRESSION, (COMPRESSION_NONE,))[0]
     predictor = tags.get(TAG_PREDICTOR, (1,))[0]
     separate = tags.get(TAG_PLANAR, (1,))[0] == 2
@@ -136,13 +205,13 @@ def decode_blocks(raw: bytes, band: int = 1) -> Iterator[dict]:
                 raw[start : start + stored], compression, dtype, bh if tiled else rows, bw, depth, predictor
             )[:rows, :cols, 0 if separate else band - 1]
         else:  # a sparse file leaves out tiles without data
-            values = np.full((rows, cols), 0.0 if nodata is None else nodata)
+            values = np.full((rows, cols), 0.0 if nodata is None else nodata, wanted)
         yield {
             "block_row": r, "block_col": c, "first_row": r * bh, "first_col": c * bw,
             "x0": left + c * bw * size, "y0": top - r * bh * size,
             "pixel_size": size, "width": cols, "height": rows,
             "epsg": geo.get(KEY_PROJECTED, geo.get(KEY_GEOGRAPHIC)), "nodata": nodata,
-            "data": values.astype(np.float64).ravel(),
+            "data": values.astype(wanted).ravel(),
         }
 
 
@@ -213,8 +282,14 @@ def encode_geotiff(
     return struct.pack("<2sHI", b"II", 42, at) + body + directory + struct.pack("<I", 0) + extra
 
 
-def decode_geotiffs(files: DataFrame, keys: list[str], band: int = 1, rows_per_batch: int = 16) -> DataFrame:
-    """Files (``content`` bytes plus key columns) to one row per block."""
+def decode_geotiffs(
+    files: DataFrame, keys: list[str], band: int = 1, rows_per_batch: int = 16, value_type: str = "double"
+) -> DataFrame:
+    """Files (``content`` bytes plus key columns) to one row per block.
+
+    ``value_type`` is the element type of ``data``: ``int`` for 16-bit numbers halves what
+    every later shuffle moves.
+    """
     key_ddl = ", ".join(f"{k} {files.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -222,7 +297,7 @@ def decode_geotiffs(files: DataFrame, keys: list[str], band: int = 1, rows_per_b
             for row in batch.to_dict("records"):
                 head = {k: row[k] for k in keys}
                 out = []
-                for block in decode_blocks(row["content"], band):
+                for block in decode_blocks(row["content"], band, value_type):
                     out.append({**head, **block})
                     if len(out) == rows_per_batch:
                         yield pd.DataFrame(out)
@@ -230,7 +305,7 @@ def decode_geotiffs(files: DataFrame, keys: list[str], band: int = 1, rows_per_b
                 if out:
                     yield pd.DataFrame(out)
 
-    return files.select(*keys, "content").mapInPandas(run, f"{key_ddl}, {BLOCK_FIELDS}")
+    return files.select(*keys, "content").mapInPandas(run, f"{key_ddl}, {BLOCK_FIELDS.format(values=value_type)}")
 
 
 def encode_geotiffs(blocks: DataFrame, keys: list[str], dtype: str, nodata: float | None = None) -> DataFrame:
@@ -256,7 +331,9 @@ def encode_geotiffs(blocks: DataFrame, keys: list[str], dtype: str, nodata: floa
     return blocks.select(*dict.fromkeys(columns)).mapInPandas(run, f"{key_ddl}, content binary")
 
 
-def read_geotiff_blocks(spark: SparkSession, root: str, glob: str = "*.tif", band: int = 1) -> DataFrame:
+def read_geotiff_blocks(
+    spark: SparkSession, root: str, glob: str = "*.tif", band: int = 1, value_type: str = "double"
+) -> DataFrame:
     """Rasters below ``root`` as blocks named by directory (scene) and file stem."""
     files = (
         spark.read.format("binaryFile")
@@ -270,7 +347,7 @@ def read_geotiff_blocks(spark: SparkSession, root: str, glob: str = "*.tif", ban
             "content",
         )
     )
-    return decode_geotiffs(files, ["scene_id", "name", "path"], band)
+    return decode_geotiffs(files, ["scene_id", "name", "path"], band, value_type=value_type)
 
 
 def read_manifest_blocks(spark: SparkSession, manifest: DataFrame, band: int = 1) -> DataFrame:
@@ -287,7 +364,7 @@ def read_manifest_blocks(spark: SparkSession, manifest: DataFrame, band: int = 1
     return decode_geotiffs(files.join(manifest, "path"), manifest.columns, band)
 
 
-def read_scene_bands(spark: SparkSession, root: str) -> DataFrame:
-    """Band files below ``root`` as blocks with ``scene_id`` and ``band``."""
-    blocks = read_geotiff_blocks(spark, root, "*_SR_B*.TIF")
+def read_scene_bands(spark: SparkSession, root: str, value_type: str = "int") -> DataFrame:
+    """Band files below ``root`` as blocks with ``scene_id`` and ``band``; digital numbers are whole."""
+    blocks = read_geotiff_blocks(spark, root, "*_SR_B*.TIF", value_type=value_type)
     return blocks.withColumn("band", F.regexp_extract("name", "_SR_(B[0-9]+)$", 1)).drop("name")
