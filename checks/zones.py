@@ -1,4 +1,4 @@
-"""Scenes of two UTM zones on either side of their border, and bands that are tiled unlike."""
+"""Scenes of two zones or with grids of their own, bands tiled unlike, geometry as bytes."""
 
 from __future__ import annotations
 
@@ -6,16 +6,20 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as X
 from checks import sqltext as Q
-from checks.hexagons import rounded_stats
+from checks.hexagons import _STUDY, rounded_stats, study_features
 from checks.raster import IDX
 from checks.registry import query
 from terrafold.functions import hexgrid
+from terrafold.functions.wkb import wkb_shape
 from terrafold.operators import bands as B
+from terrafold.operators import cells as C
 from terrafold.operators import regions as R
 from terrafold.operators import zonal as Z
 from terrafold.plans import hex_features as H
 from terrafold.plans import region_features as RF
+from terrafold.sources import features as T
 from terrafold.sources import geotiff
+from terrafold.sources.shared import fresh_path
 
 ZONES = (32610, 32611)
 BORDER_BBOX = (-120.04, 40.56, -119.96, 40.60)
@@ -135,3 +139,75 @@ def band_align_unlike_tiles(spark, sf_dir):
     # Fill stands for absent pixels of a block too.
     aligned = B.align_block_bands(placed, tile=64).filter("least(b3, b4, b5, b7) > 0")
     return aligned.withColumns({b: F.col(b).cast("bigint") for b in ("b3", "b4", "b5", "b7")})
+
+
+@query(
+    "features_wkb_roundtrip",
+    X.with_(
+        "px",
+        "SELECT cell, scene_id, 'Polygon' AS kind, 125 AS n_bytes, CAST(k AS int) AS corner, round(lon, 7) AS lon, round(lat, 7) AS lat FROM geo",
+        **_STUDY,
+        kept="SELECT s.cell, s.scene_id, p.cx, p.cy FROM study s JOIN placed p ON s.scene_id = p.scene_id "
+        "AND s.cell = 'hx8_' || CAST(p.q AS string) || '_' || CAST(p.r AS string)",
+        corner="SELECT *, unnest(generate_series(0, 6)) AS k FROM kept",
+        turned=f"SELECT *, cx + {Q.S8!r}*cos(radians(60*(k % 6) - 30)) AS vx, cy + {Q.S8!r}*sin(radians(60*(k % 6) - 30)) AS vy FROM corner",
+        geo=Q.unproject("turned", "vx", "vy"),
+    ),
+)
+def features_wkb_roundtrip(spark, sf_dir):
+    """A feature table with polygons as bytes, written, read and taken apart again."""
+    features = T.with_wkb(H.with_cell_geometry(study_features(spark, sf_dir), X.EPSG, X.RES))
+    path = T.write_features(features, fresh_path(spark, "shapes"), "cell_res8")
+    back = T.read_features(spark, path, features.schema, "cell_res8").select("cell", "scene_id", "geometry")
+    shaped = back.withColumn("shape", wkb_shape("geometry"))
+    return shaped.select(
+        "cell", "scene_id", F.col("shape.type").alias("kind"), F.octet_length("geometry").alias("n_bytes"),
+        F.posexplode(F.col("shape.paths")[0]).alias("corner", "p"),
+    ).select("cell", "scene_id", "kind", "n_bytes", "corner", F.round(F.col("p")[0], 7).alias("lon"), F.round(F.col("p")[1], 7).alias("lat"))
+
+
+# Every third scene has pixels of 50 m; all have corners of their own.
+_GRID = (
+    "6e5 + 17e2*CAST(substr(scene_id, 16, 1) AS int) AS gx, 45e5 - 13e2*CAST(substr(scene_id, 25, 1) AS int) AS gy, "
+    "CASE WHEN substr(scene_id, 16, 1) = '2' THEN 5e1 ELSE 3e1 END AS size"
+)
+_SQUARES = (
+    "SELECT scene_id, gx + (coarse_col + 5e-1)*{side} AS x, gy - (coarse_row + 5e-1)*{side} AS y FROM foot JOIN grids USING (scene_id) WHERE size = {size}"
+)
+
+
+@query(
+    "cells_in_footprint_scene_grids",
+    X.with_(
+        "dn_long",
+        f"SELECT DISTINCT scene_id, {Q.cell()} AS cell FROM filled JOIN (SELECT scene_id, q, r FROM fine UNION SELECT scene_id, q, r FROM rough) "
+        "USING (scene_id, q, r)",
+        grids=f"SELECT DISTINCT scene_id, {_GRID} FROM dn_long",
+        coarse="SELECT DISTINCT scene_id, row_no // (CASE size WHEN 5e1 THEN 2 ELSE 4 END) AS cr, col_no // (CASE size WHEN 5e1 THEN 2 ELSE 4 END) AS cc "
+        "FROM dn_long JOIN grids USING (scene_id) WHERE dn <> 0 AND band = 'B4'",
+        foot="SELECT DISTINCT scene_id, cr + dr AS coarse_row, cc + dc AS coarse_col FROM coarse "
+        "CROSS JOIN (VALUES (-1), (0), (1)) a(dr) CROSS JOIN (VALUES (-1), (0), (1)) b(dc)",
+        extent="SELECT scene_id, min(gx + size*col_no) - 2e3 AS min_x, max(gx + size*(col_no + 1)) + 2e3 AS max_x, "
+        "min(gy - size*(row_no + 1)) - 2e3 AS min_y, max(gy - size*row_no) + 2e3 AS max_y FROM dn_long JOIN grids USING (scene_id) GROUP BY scene_id",
+        filled=Q.cells_centred("extent"),
+        fine=Q.cells_touched(f"({_SQUARES.format(side='12e1', size='3e1')})", 60.0),
+        rough=Q.cells_touched(f"({_SQUARES.format(side='1e2', size='5e1')})", 50.0),
+    ),
+)
+def cells_in_footprint_scene_grids(spark, sf_dir):
+    """Footprints of scenes whose corners and pixel sizes differ."""
+    dn = X.dn_long(spark, sf_dir).selectExpr(
+        "scene_id", "row_no", "col_no", "band", "dn", "6e5 + 17e2*CAST(substr(scene_id, 16, 1) AS int) AS gx",
+        "45e5 - 13e2*CAST(substr(scene_id, 25, 1) AS int) AS gy", "CASE WHEN substr(scene_id, 16, 1) = '2' THEN 5e1 ELSE 3e1 END AS size",
+    )
+    edge = {"min_x": F.min(F.expr("gx + size*col_no")) - 2e3, "max_x": F.max(F.expr("gx + size*(col_no + 1)")) + 2e3}
+    edge |= {"min_y": F.min(F.expr("gy - size*(row_no + 1)")) - 2e3, "max_y": F.max(F.expr("gy - size*row_no")) + 2e3}
+    extent = dn.groupBy("scene_id").agg(*[e.alias(n) for n, e in edge.items()])
+    study = C.polyfill(extent, X.RES).select("scene_id", "q", "r")
+    # The grids as blocks of one row each would tell them.
+    blocks = dn.selectExpr("scene_id", "gx + col_no*size AS x0", "gy - row_no*size AS y0", "size AS pixel_size", "row_no AS first_row", "col_no AS first_col")
+    foot = C.valid_footprint(dn.filter("band = 'B4'"), ["scene_id"], F.col("size")).join(C.scene_grids(blocks), "scene_id")
+    size = F.col("pixel_size")
+    squares = C.footprint_squares(foot, F.col("x0"), F.col("y0"), size)
+    half = C.coarse_factor(size) * size / 2
+    return C.with_cell_id(C.cells_in_footprint(study, squares, ["scene_id"], X.RES, half), X.RES).select("scene_id", "cell")

@@ -161,7 +161,7 @@ def assign_cells(
     pixels: DataFrame,
     resolution: int = hexgrid.DEFAULT_RESOLUTION,
     touch: str = "all",
-    half_pixel: float = 15.0,
+    half_pixel: float | Column = 15.0,
 ) -> DataFrame:
     """Give each pixel its cell (``touch="center"``) or every cell its square reaches.
 
@@ -173,7 +173,7 @@ def assign_cells(
         return located
     if touch != "all":
         raise ValueError(f"touch must be 'all' or 'center', got {touch!r}")
-    if half_pixel > hexgrid.apothem_m(resolution):
+    if not isinstance(half_pixel, Column) and half_pixel > hexgrid.apothem_m(resolution):
         raise ValueError("pixels must not be larger than cells")
 
     dx = F.col("x") - hexgrid.center_x(F.col("q"), F.col("r"), resolution)
@@ -206,21 +206,39 @@ def cells_in_extent(cells: DataFrame, resolution: int) -> DataFrame:
     )
 
 
+def coarse_factor(pixel_size: float | Column, target_m: float = FOOTPRINT_TARGET_M) -> int | Column:
+    """Pixels along the side of a coarse square."""
+    if isinstance(pixel_size, Column):
+        return F.greatest(F.lit(1), F.rint(F.lit(target_m) / pixel_size)).cast("bigint")
+    return max(1, round(target_m / pixel_size))
+
+
+def scene_grids(blocks: DataFrame) -> DataFrame:
+    """The corner ``x0, y0`` and ``pixel_size`` of every scene's grid, read off its blocks."""
+    return blocks.groupBy("scene_id").agg(
+        F.min(F.col("x0") - F.col("first_col") * F.col("pixel_size")).alias("x0"),
+        F.max(F.col("y0") + F.col("first_row") * F.col("pixel_size")).alias("y0"),
+        F.min("pixel_size").alias("pixel_size"),
+    )
+
+
 def valid_footprint(
-    pixels: DataFrame, keys: list[str], pixel_size: float, target_m: float = FOOTPRINT_TARGET_M
+    pixels: DataFrame, keys: list[str], pixel_size: float | Column, target_m: float = FOOTPRINT_TARGET_M
 ) -> DataFrame:
     """Coarse squares around valid data, grown by one coarse pixel.
 
+    ``pixel_size`` is one number or a column with each row's own.
+
     Pixels collapse to coarse addresses before the shuffle; growth happens on the coarse
     table, which is at least (target / pixel)^2 times smaller.
     """
-    factor = max(1, round(target_m / pixel_size))
+    factor = coarse_factor(pixel_size, target_m)
     coarse = (
         pixels.filter(F.col("dn") != FILL_DN)
         .select(
             *keys,
-            F.expr(f"row_no div {factor}").alias("coarse_row"),
-            F.expr(f"col_no div {factor}").alias("coarse_col"),
+            F.floor(F.col("row_no") / factor).alias("coarse_row"),
+            F.floor(F.col("col_no") / factor).alias("coarse_col"),
         )
         .distinct()
     )
@@ -234,10 +252,14 @@ def valid_footprint(
 
 
 def footprint_squares(
-    footprint: DataFrame, x0: float, y0: float, pixel_size: float, target_m: float = FOOTPRINT_TARGET_M
+    footprint: DataFrame, x0: float | Column, y0: float | Column, pixel_size: float | Column, target_m: float = FOOTPRINT_TARGET_M
 ) -> DataFrame:
-    """Footprint addresses as squares: centre ``x, y`` in the grid of one origin."""
-    side = max(1, round(target_m / pixel_size)) * pixel_size
+    """Footprint addresses as squares: centre ``x, y`` in the grid.
+
+    Corner and pixel size are numbers for all rows or columns with each scene's own, as
+    :func:`scene_grids` finds them.
+    """
+    side = coarse_factor(pixel_size, target_m) * pixel_size
     return footprint.withColumns(
         {
             "x": F.lit(x0) + (F.col("coarse_col") + 0.5) * side,
@@ -251,12 +273,13 @@ def cells_in_footprint(
     squares: DataFrame,
     keys: list[str],
     resolution: int,
-    half: float,
+    half: float | Column,
 ) -> DataFrame:
     """Cells (unique per ``keys, q, r``) whose hexagon meets a footprint square.
 
     Each square names the cells it touches; the distinct names are then a plain equi
-    semi-join, so no square is compared with a cell it cannot reach.
+    semi-join, so no square is compared with a cell it cannot reach. ``half`` is half a
+    square's side, one number or a column of ``squares``.
     """
     touched = assign_cells(squares, resolution, "all", half).select(*keys, "q", "r").distinct()
     return cells.join(touched, [*keys, "q", "r"], "left_semi")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrafold.functions import hexgrid
+from terrafold.functions.wkb import polygon_wkb
 from terrafold.sources.shared import fresh_path, path_missing
 
 
@@ -31,6 +32,11 @@ def with_coarse_key(features: DataFrame, coarse_resolution: int, name: str | Non
     ).drop("__x", "__y", "__cq", "__cr")
 
 
+def with_wkb(features: DataFrame, ring: str = "geometry") -> DataFrame:
+    """The closed ring of each row, an array of vertices, as the bytes of a polygon."""
+    return features.withColumn(ring, polygon_wkb(F.array(F.col(ring))))
+
+
 def write_features(features: DataFrame, path: str, key: str, max_records_per_file: int = 5_000_000) -> str:
     """Write one directory per ``key`` value, replacing what was there.
 
