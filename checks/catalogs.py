@@ -203,3 +203,22 @@ def catalog_json(spark, sf_dir):
         F.size(F.map_keys(asset)).cast("bigint").alias("n_assets"), "collection",
         asset["MTL_JSON"]["href"].alias("metadata_href"),
     )
+
+
+@query(
+    "catalog_tree",
+    X.with_(
+        "scenes files boxes",
+        "SELECT scene_id AS id, 4 AS depth, 'items/wrs_path=' || substr(scene_id, 11, 3) || '/wrs_row=' || substr(scene_id, 14, 3) || '/id=' || scene_id AS folder "
+        "FROM built UNION ALL SELECT DISTINCT 'wrs_path=' || substr(scene_id, 11, 3) || '/wrs_row=' || substr(scene_id, 14, 3), 3, "
+        "'rows/wrs_path=' || substr(scene_id, 11, 3) || '/wrs_row=' || substr(scene_id, 14, 3) FROM built "
+        "UNION ALL SELECT DISTINCT 'wrs_path=' || substr(scene_id, 11, 3), 2, 'paths/wrs_path=' || substr(scene_id, 11, 3) FROM built "
+        f"UNION ALL SELECT '{COLLECTION}', 1, 'collection' UNION ALL SELECT 'scenes', 0, 'catalog'",
+        **_ITEMS,
+    ),
+)
+def catalog_tree(spark, sf_dir):
+    """All documents that links lead to from the root, read back from files."""
+    built, collection = items(spark, sf_dir, href_bucket=None)
+    path = P.write_catalog_tree(built, collection, COLLECTION, fresh_path(spark, "tree"))
+    return K.linked_documents(D.read_tree(spark, path), "catalog", 5).select("id", "depth", "folder")

@@ -322,6 +322,91 @@ def collection_document(
     )
 
 
+def _link(rel: str, href: Column | str) -> Column:
+    return F.struct(F.lit(rel).alias("rel"), (F.lit(href) if isinstance(href, str) else href).alias("href"), F.lit("application/json").alias("type"))
+
+
+def _catalog(name: Column, text: Column, links: Column) -> Column:
+    return F.struct(
+        F.lit("Catalog").alias("type"), name.alias("id"), F.lit(STAC_VERSION).alias("stac_version"), text.alias("description"), links.alias("links")
+    )
+
+
+def tree_documents(
+    items: DataFrame, collection: DataFrame, collection_id: str, catalog_id: str, description: str
+) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Every document of a catalog, by folder: a table with ``document``, and its partition columns.
+
+    Between the collection and the items stand a catalog for each path and one for each path
+    and row of the scenes' reference system. So no document has more links than there are
+    paths, rows of a path or scenes of one place, however many items there are. Links are
+    relative to the document's own folder.
+    """
+    at_path = F.concat(F.lit("wrs_path="), F.col("wrs_path"))
+    at_row = F.concat(at_path, F.lit("/wrs_row="), F.col("wrs_row"))
+    below = lambda folder, place, up: F.concat(F.lit("../" * up + folder + "/"), place)
+    places = items.groupBy("wrs_path", "wrs_row").agg(F.sort_array(F.collect_list("scene_id")).alias("ids"))
+    paths = places.groupBy("wrs_path").agg(F.sort_array(F.collect_list("wrs_row")).alias("rows"))
+    all_paths = paths.agg(F.sort_array(F.collect_list("wrs_path")).alias("paths"))
+
+    root = _catalog(F.lit(catalog_id), F.lit(description), F.array(_link("root", "."), _link("self", "."), _link("child", "../collection")))
+    children = F.transform("paths", lambda p: _link("child", F.concat(F.lit("../paths/wrs_path="), p)))
+    own = F.array(_link("root", "../catalog"), _link("parent", "../catalog"), _link("self", "."))
+    # Two tables of one row each.
+    both = collection.withColumn("__one", F.lit(1)).join(all_paths.withColumn("__one", F.lit(1)), "__one")
+    whole = both.select(F.struct("collection.*", F.concat(own, children).alias("links")).alias("document"))
+
+    row_links = F.transform("rows", lambda r: _link("child", F.concat(F.lit("../../rows/"), at_path, F.lit("/wrs_row="), r)))
+    up = F.array(_link("root", "../../catalog"), _link("parent", "../../collection"), _link("self", "."))
+    by_path = _catalog(at_path, F.concat(F.lit("Scenes of path "), F.col("wrs_path")), F.concat(up, row_links))
+
+    item_links = F.transform("ids", lambda i: _link("item", F.concat(F.lit("../../../items/"), at_row, F.lit("/id="), i)))
+    up = F.array(_link("root", "../../../catalog"), _link("parent", below("paths", at_path, 3)), _link("self", "."))
+    by_row = _catalog(at_row, F.concat(F.lit("Scenes of path "), F.col("wrs_path"), F.lit(", row "), F.col("wrs_row")), F.concat(up, item_links))
+
+    up = F.array(
+        _link("root", "../../../../catalog"), _link("parent", below("rows", at_row, 4)), _link("collection", "../../../../collection"), _link("self", ".")
+    )
+    documents = item_documents(items, collection_id).select("scene_id", "item.*")
+    placed = documents.join(items.select("scene_id", "wrs_path", "wrs_row"), "scene_id").withColumnRenamed("scene_id", "__id")
+    names = [f"`{c}`" for c in documents.columns if c != "scene_id"]
+    single = placed.select(F.struct(*names, up.alias("links")).alias("document"), "wrs_path", "wrs_row", F.col("__id").alias("id"))
+    return {
+        "catalog": (all_paths.select(root.alias("document")), []),
+        "collection": (whole, []),
+        "paths": (paths.select(by_path.alias("document"), "wrs_path"), ["wrs_path"]),
+        "rows": (places.select(by_row.alias("document"), "wrs_path", "wrs_row"), ["wrs_path", "wrs_row"]),
+        "items": (single, ["wrs_path", "wrs_row", "id"]),
+    }
+
+
+def resolved(folder: Column, href: Column) -> Column:
+    """The folder that a relative link names, seen from a document's own folder."""
+    parts = F.filter(F.split(F.concat(folder, F.lit("/"), href), "/"), lambda p: (p != ".") & (p != ""))
+    step = lambda done, p: F.when(p == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(p)))
+    return F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+
+
+def linked_documents(documents: DataFrame, root: str, levels: int = 8) -> DataFrame:
+    """Documents (``folder, links``) that links lead to from the root, with how many it takes.
+
+    Each level joins the links of the one before with the folders; a link to no document is
+    an error, and so is a document whose parent link does not lead back.
+    """
+    links = documents.select("folder", F.explode("links").alias("l")).select("folder", "l.rel", resolved(F.col("folder"), F.col("l.href")).alias("target"))
+    down = links.filter(F.col("rel").isin("child", "item")).select("folder", "target")
+    parents = links.filter("rel = 'parent'").select(F.col("folder").alias("target"), F.col("target").alias("parent"))
+    reached = documents.filter(F.col("folder") == root).select("folder", F.lit(0).alias("depth"))
+    out = reached
+    for depth in range(1, levels):
+        ends = reached.select("folder").join(down, "folder").join(parents, "target", "left")
+        lost = F.concat(F.lit("the link from "), F.col("folder"), F.lit(" to "), F.col("target"), F.lit(" has no way back"))
+        held = F.when(F.col("parent") == F.col("folder"), F.col("target")).otherwise(F.raise_error(lost).cast("string"))
+        reached = ends.select(held.alias("folder"), F.lit(depth).alias("depth"))
+        out = out.unionByName(reached)
+    return out.join(documents, "folder")
+
+
 def band_assets(items: DataFrame) -> DataFrame:
     """Items read back (``id, datetime, cloud_cover, assets``) as one row per band asset."""
     bands = F.map_filter("assets", lambda k, _: k.startswith("B"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from terrafold.operators import catalog as K
-from terrafold.sources.documents import write_documents
+from terrafold.sources.documents import write_documents, write_tree
 
 
 def build_catalog(
@@ -27,6 +27,14 @@ def build_catalog(
     return items, K.collection_document(items, collection_id, title, description, providers)
 
 
+def write_catalog_tree(
+    items: DataFrame, collection: DataFrame, collection_id: str, path: str, catalog_id: str = "scenes", description: str = "All scenes"
+) -> str:
+    """The whole catalog as linked documents, each in a folder of its own: root, collection,
+    a catalog for each path and each row, and the items."""
+    return write_tree(K.tree_documents(items, collection, collection_id, catalog_id, description), path)
+
+
 def write_catalog(items: DataFrame, collection: DataFrame, collection_id: str, path: str) -> str:
     """Item documents, one per line, beside the collection document."""
     write_documents(K.item_documents(items, collection_id), "item", f"{path}/items")

@@ -275,6 +275,20 @@ def test_exact_quantiles(spark, values):
     assert [row["q25"], row["q50"], row["q75"]] == pytest.approx(list(np.percentile(values, [25, 50, 75])))
 
 
+@pytest.mark.parametrize("most", [3, 300, 100_000])
+def test_quantiles_by_narrowing(spark, most):
+    """Intervals are narrowed until few distinct values are left; every rank is exact."""
+    draw = np.random.default_rng(7)
+    columns = {"a": draw.normal(size=3000), "b": np.repeat(draw.integers(0, 50, 40), 30).astype(float), "c": np.array([5.0]), "d": np.exp(draw.normal(size=2000) * 9)}
+    pairs = spark.createDataFrame([(k, float(v)) for k, values in columns.items() for v in values] + [("e", None)], "column_name string, value double").repartition(4)
+    probabilities = (0.0, 0.013, 0.25, 0.5, 0.999, 1.0)
+    rows = {r["column_name"]: list(r)[1:] for r in summaries.exact_quantiles(pairs, probabilities, most).collect()}
+    assert set(rows) == set(columns)
+    for k, values in columns.items():
+        assert rows[k] == pytest.approx(np.quantile(values, probabilities).tolist(), rel=1e-12)
+    assert summaries.exact_quantiles(pairs.filter("column_name = 'e'"), probabilities).count() == 0
+
+
 def test_shared_folder_is_the_named_one(spark):
     assert fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
