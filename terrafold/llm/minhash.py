@@ -38,8 +38,8 @@ PERCENT = 75
 #: Similarity by sketch below which a candidate is dropped, and its XOR count.
 ESTIMATE = 0.60
 MOST_FLIPS = int(SKETCH_BITS / 2 * (1 - np.exp(-2 * (2 * HASHES * (1 - ESTIMATE)) / SKETCH_BITS)))
-#: Members of a bucket that one comparison block holds.
-BLOCK = 1024
+#: Members of a bucket, and bytes of their texts, that one comparison block holds.
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
 _random = np.random.Generator(np.random.PCG64(7))
 XORS = _random.integers(0, 1 << 32, HASHES, np.uint64).astype(np.uint32)
 FACTORS = (_random.integers(0, 1 << 31, HASHES, np.uint64) * 2 + 1).astype(np.uint32)
@@ -79,7 +79,7 @@ def similarity(flips: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame) -> DataFrame:
     """Set size, set digest, text digest, bands and odd sketch of every row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    names = ["row_id", "doc_id", "n_shingles", "digest", "text_md5", "bands", "sketch"]
+    names = ["row_id", "doc_id", "n_shingles", "n_bytes", "digest", "text_sha", "bands", "sketch"]
 
     def run(batches):
         used = 0
@@ -102,8 +102,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                         pa.array(part_ids(hi - lo, used)),
                         batch.column(0).slice(lo, hi - lo),
                         pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(np.diff(own)),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                        pa.array([hashlib.md5(raw[a:b]).digest() for a, b in zip(own[:-1], own[1:], strict=True)], pa.binary()),
+                        pa.array([hashlib.sha256(raw[a:b]).digest() for a, b in zip(own[:-1], own[1:], strict=True)], pa.binary()),
                         *lists,
                     ],
                     names,
@@ -111,7 +112,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 used += hi - lo
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"row_id long, doc_id {id_type}, n_shingles long, digest binary, text_md5 binary, bands array<long>, sketch array<long>"
+        run, f"row_id long, doc_id {id_type}, n_shingles long, n_bytes long, digest binary, text_sha binary, bands array<long>, sketch array<long>"
     )
 
 
@@ -130,11 +131,11 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def full_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """A text of each class in ``wanted`` (column ``cid``)."""
-    wanted = keep(classes.join(wanted, "cid", "left_semi").select("cid", "rep_doc", "rep_md5"), "wanted")
+    wanted = keep(classes.join(wanted, "cid", "left_semi").select("cid", "rep_doc", "rep_sha"), "wanted")
     text = F.coalesce("text", F.lit("")).cast("binary")
-    own = docs.select("doc_id", text.alias("text")).join(small_side(wanted, "40"), F.col("doc_id").eqNullSafe(F.col("rep_doc")))
+    own = docs.select("doc_id", text.alias("text")).join(small_side(wanted, "56"), F.col("doc_id").eqNullSafe(F.col("rep_doc")))
     # Rows that repeat a doc_id with another text are not the class's.
-    return keep(own.filter(F.unhex(F.md5("text")) == F.col("rep_md5")).select("cid", "text").dropDuplicates(["cid"]), "texts")
+    return keep(own.filter(F.unhex(F.sha2("text", 256)) == F.col("rep_sha")).select("cid", "text").dropDuplicates(["cid"]), "texts")
 
 
 def enough(a: np.ndarray, b: np.ndarray) -> bool:
@@ -165,14 +166,18 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
 def open_blocks(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Blocks of bucket members that links have not joined, with their likely pairs.
 
-    The hub is left out. A bucket of many members is dealt out in pairs of blocks. A row has
-    the pairs of a block, most similar first, as two byte strings of ids.
+    The hub is left out. A bucket of many members, or of long texts, is dealt out in pairs of
+    blocks of about ``BLOCK`` members and ``BLOCK_BYTES`` of text at most. A row has the pairs
+    of a block, most similar first, as two byte strings of ids.
     """
     labelled = members.filter("cid <> hub").join(labels.select(F.col("v").alias("cid"), "l"), "cid", "left")
-    labelled = keep(labelled.select("key", "cid", F.coalesce("l", "cid").alias("comp")), "members")
-    open_ = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).filter("x <> y")
-    open_ = keep(open_.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "open")
-    own = labelled.join(small_side(open_, "16"), "key").join(classes.select("cid", "n_shingles", "sketch", "bands"), "cid")
+    labelled = keep(labelled.join(classes.select("cid", "n_bytes"), "cid").select("key", "cid", F.coalesce("l", "cid").alias("comp"), "n_bytes"), "members")
+    found = labelled.groupBy("key").agg(
+        F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), F.sum("n_bytes").alias("total")
+    )
+    parts = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("total") / BLOCK_BYTES)).cast("int")
+    open_ = keep(found.filter("x <> y").select("key", parts.alias("blocks")), "open")
+    own = labelled.drop("n_bytes").join(small_side(open_, "16"), "key").join(classes.select("cid", "n_shingles", "sketch", "bands"), "cid")
     own = own.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     own = own.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
@@ -265,13 +270,13 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signatures of rows, classes of equal sets, and the component of linked classes."""
     small_batches(docs)
     signed = keep(signatures(docs), "signatures")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "text_md5"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "text_sha"))
     grouped = signed.filter("digest is not null").groupBy("digest").agg(least.alias("rep"))
     chosen = keep(
-        grouped.select("digest", F.col("rep.row_id").alias("cid"), F.col("rep.doc_id").alias("rep_doc"), F.col("rep.text_md5").alias("rep_md5")), "classes"
+        grouped.select("digest", F.col("rep.row_id").alias("cid"), F.col("rep.doc_id").alias("rep_doc"), F.col("rep.text_sha").alias("rep_sha")), "classes"
     )
-    own = signed.select(F.col("row_id").alias("cid"), "n_shingles", "bands", "sketch")
-    classes = own.join(small_side(chosen.drop("digest"), "40"), "cid")
+    own = signed.select(F.col("row_id").alias("cid"), "n_shingles", "n_bytes", "bands", "sketch")
+    classes = own.join(small_side(chosen.drop("digest"), "56"), "cid")
     keyed = classes.select("cid", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("cid").alias("hub"), F.max("cid").alias("last")).filter("hub <> last")
     shared = keep(shared.select("key", "hub"), "shared")
@@ -318,16 +323,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows without words stay. Of rows equal in ``doc_id`` and text one stays.
     """
     signed, of_class = labelled(docs)
-    rows = signed.select("doc_id", "row_id", "digest", "text_md5").join(of_class, "digest", "left")
-    rows = rows.filter("digest is null or row_id = head_row").select("doc_id", "text_md5", F.isnull("digest").alias("_wordless"))
-    theirs, md5, wordless, own = unused(docs, "_id", "_md5", "_wordless", "_own_md5")
-    signs = keep(rows.distinct(), "kept").toDF(theirs, md5, wordless)
-    text_md5 = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    found = docs.withColumn(own, text_md5).join(
-        small_side(signs, "32"), F.col("doc_id").eqNullSafe(F.col(theirs)) & (F.col(own) == F.col(md5))
+    rows = signed.select("doc_id", "row_id", "digest", "text_sha").join(of_class, "digest", "left")
+    rows = rows.filter("digest is null or row_id = head_row").select("doc_id", "text_sha", F.isnull("digest").alias("_wordless"))
+    theirs, sha, wordless, own = unused(docs, "_id", "_sha", "_wordless", "_own_sha")
+    signs = keep(rows.distinct(), "kept").toDF(theirs, sha, wordless)
+    text_sha = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    found = docs.withColumn(own, text_sha).join(
+        small_side(signs, "48"), F.col("doc_id").eqNullSafe(F.col(theirs)) & (F.col(own) == F.col(sha))
     )
     columns = [f"`{c}`" for c in docs.columns]
-    repeated = signed.filter("digest is not null").groupBy("doc_id", "text_md5").count().filter("count > 1")
+    repeated = signed.filter("digest is not null").groupBy("doc_id", "text_sha").count().filter("count > 1")
     if not repeated.limit(1).count():
         return found.select(*columns)
     once = found.filter(~F.col(wordless)).dropDuplicates(["doc_id", own])

@@ -30,7 +30,7 @@ EDGE_SCHEMA = "doc_id long, text string, lang string, score double, source strin
 def edge(spark, extra=True):
     df = spark.createDataFrame(EDGE_ROWS, EDGE_SCHEMA).repartition(3)
     if extra:
-        for name in ("_hits", "_new", "_digest", "_md5", "_spans", "_id", "_wordless", "rejected", "row_id", "key", "b", "seq"):
+        for name in ("_hits", "_new", "_digest", "_md5", "_sha", "_spans", "_word", "_bits", "_id", "_wordless", "rejected", "row_id", "key", "b", "seq"):
             df = df.selectExpr("*", f"doc_id AS {name}")
     return df
 

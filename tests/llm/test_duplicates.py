@@ -68,8 +68,10 @@ def test_near_duplicates_of_documents(spark):
     assert [got[i] for i, _ in rows] == [(len(X.shingles(t)), c, c == i) for (i, t), c in zip(rows, want, strict=True)]
 
 
-def test_chains_within_a_bucket(spark):
+@pytest.mark.parametrize("size", [minhash.BLOCK_BYTES, 2000])
+def test_chains_within_a_bucket(spark, monkeypatch, size):
     """Texts that link to their neighbours only, and many that share a passage but no link."""
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", size)
     words = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(words[i * 8 : i * 8 + 100])) for i in range(30)]
     passage = " ".join(f"p{i}" for i in range(60))
