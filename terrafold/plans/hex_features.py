@@ -58,6 +58,14 @@ def of_one_system(df: DataFrame, epsg: int) -> DataFrame:
     return df.filter(F.when(F.col("epsg") == epsg, True).otherwise(F.raise_error(wrong).cast("boolean"))).drop("epsg")
 
 
+def study_boxes(bbox_wgs84, resolution: int = hexgrid.DEFAULT_RESOLUTION, half_pixel: float = 15.0) -> dict[int, tuple[float, float, float, float]]:
+    """The grid box of a lon/lat box in every zone near it, grown by what its cells can reach."""
+    west, _, east, _ = coerce_bbox(bbox_wgs84)
+    reach = hexgrid.edge_m(resolution) + half_pixel
+    found = {code: study_envelope(bbox_wgs84, code) for code in zones_near(west, east)}
+    return {code: (b[0] - reach, b[1] - reach, b[2] + reach, b[3] + reach) for code, b in found.items()}
+
+
 def near_box(pixels: DataFrame, bbox_wgs84, epsg: int | None, reach: float) -> DataFrame:
     """Pixels within ``reach`` metres of a lon/lat box, by comparisons with literals.
 

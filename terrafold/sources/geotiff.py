@@ -161,10 +161,14 @@ def _samples(chunk: bytes, compression: int, dtype, rows: int, cols: int, depth:
     return values
 
 
-def decode_blocks(raw: bytes, band: int = 1, value_type: str = "double") -> Iterator[dict]:
+def decode_blocks(
+    raw: bytes, band: int = 1, value_type: str = "double", boxes: dict[int, tuple[float, float, float, float]] | None = None
+) -> Iterator[dict]:
     """Blocks of one file. ``band`` is counted from 1.
 
     Values are delivered as ``value_type``; a file whose own type does not fit it is an error.
+    ``boxes`` has a box ``min_x, min_y, max_x, max_y`` for each coordinate system: only tiles
+    and strips that meet it are unpacked, and of a file in another system none.
     """
     order, tags = _tags(raw)
     width, height = tags[TAG_WIDTH][0], tags[TAG_HEIGHT][0]
@@ -195,10 +199,18 @@ def decode_blocks(raw: bytes, band: int = 1, value_type: str = "double") -> Iter
     nodata = tags.get(TAG_NODATA)
     nodata = float(nodata[0].rstrip(b"\0 ").decode()) if nodata else None
 
+    epsg = geo.get(KEY_PROJECTED, geo.get(KEY_GEOGRAPHIC))
+    box = None if boxes is None else boxes.get(epsg)
+    if boxes is not None and box is None:
+        return
     skip = (band - 1) * across * down if separate else 0
     for k in range(across * down):
         r, c = divmod(k, across)
         rows, cols = min(bh, height - r * bh), min(bw, width - c * bw)
+        if box is not None:
+            x0, y1 = left + c * bw * size, top - r * bh * size
+            if x0 > box[2] or x0 + cols * size < box[0] or y1 < box[1] or y1 - rows * size > box[3]:
+                continue
         start, stored = offsets[skip + k], counts[skip + k]
         if stored:
             values = _samples(
@@ -210,7 +222,7 @@ def decode_blocks(raw: bytes, band: int = 1, value_type: str = "double") -> Iter
             "block_row": r, "block_col": c, "first_row": r * bh, "first_col": c * bw,
             "x0": left + c * bw * size, "y0": top - r * bh * size,
             "pixel_size": size, "width": cols, "height": rows,
-            "epsg": geo.get(KEY_PROJECTED, geo.get(KEY_GEOGRAPHIC)), "nodata": nodata,
+            "epsg": epsg, "nodata": nodata,
             "data": values.astype(wanted).ravel(),
         }
 
@@ -283,9 +295,10 @@ def encode_geotiff(
 
 
 def decode_geotiffs(
-    files: DataFrame, keys: list[str], band: int = 1, rows_per_batch: int = 16, value_type: str = "double"
+    files: DataFrame, keys: list[str], band: int = 1, rows_per_batch: int = 16, value_type: str = "double",
+    boxes: dict[int, tuple[float, float, float, float]] | None = None,
 ) -> DataFrame:
-    """Files (``content`` bytes plus key columns) to one row per block.
+    """Files (``content`` bytes plus key columns) to one row per block, near the ``boxes`` if given.
 
     ``value_type`` is the element type of ``data``: ``int`` for 16-bit numbers halves what
     every later shuffle moves.
@@ -297,7 +310,7 @@ def decode_geotiffs(
             for row in batch.to_dict("records"):
                 head = {k: row[k] for k in keys}
                 out = []
-                for block in decode_blocks(row["content"], band, value_type):
+                for block in decode_blocks(row["content"], band, value_type, boxes):
                     out.append({**head, **block})
                     if len(out) == rows_per_batch:
                         yield pd.DataFrame(out)
@@ -332,7 +345,8 @@ def encode_geotiffs(blocks: DataFrame, keys: list[str], dtype: str, nodata: floa
 
 
 def read_geotiff_blocks(
-    spark: SparkSession, root: str, glob: str = "*.tif", band: int = 1, value_type: str = "double"
+    spark: SparkSession, root: str, glob: str = "*.tif", band: int = 1, value_type: str = "double",
+    boxes: dict[int, tuple[float, float, float, float]] | None = None,
 ) -> DataFrame:
     """Rasters below ``root`` as blocks named by directory (scene) and file stem."""
     files = (
@@ -347,7 +361,7 @@ def read_geotiff_blocks(
             "content",
         )
     )
-    return decode_geotiffs(files, ["scene_id", "name", "path"], band, value_type=value_type)
+    return decode_geotiffs(files, ["scene_id", "name", "path"], band, value_type=value_type, boxes=boxes)
 
 
 def read_manifest_blocks(spark: SparkSession, manifest: DataFrame, band: int = 1) -> DataFrame:
@@ -364,7 +378,13 @@ def read_manifest_blocks(spark: SparkSession, manifest: DataFrame, band: int = 1
     return decode_geotiffs(files.join(manifest, "path"), manifest.columns, band)
 
 
-def read_scene_bands(spark: SparkSession, root: str, value_type: str = "int") -> DataFrame:
-    """Band files below ``root`` as blocks with ``scene_id`` and ``band``; digital numbers are whole."""
-    blocks = read_geotiff_blocks(spark, root, "*_SR_B*.TIF", value_type=value_type)
+def read_scene_bands(
+    spark: SparkSession, root: str, value_type: str = "int", boxes: dict[int, tuple[float, float, float, float]] | None = None
+) -> DataFrame:
+    """Band files below ``root`` as blocks with ``scene_id`` and ``band``; digital numbers are whole.
+
+    With ``boxes``, as ``hex_features.study_boxes`` makes them, only tiles near a study area
+    are unpacked.
+    """
+    blocks = read_geotiff_blocks(spark, root, "*_SR_B*.TIF", value_type=value_type, boxes=boxes)
     return blocks.withColumn("band", F.regexp_extract("name", "_SR_(B[0-9]+)$", 1)).drop("name")

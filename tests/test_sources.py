@@ -103,6 +103,15 @@ def test_band_files_to_hexagon_features(spark, tmp_path):
         assert r["nbr_mean"] == pytest.approx(0.42857, abs=1e-3)
         assert r["ndwi_mean"] == pytest.approx(-0.25, abs=1e-3)
         assert r["ndvi_std"] == pytest.approx(0.0, abs=1e-9) and r["pixel_count"] > 0
+    # Only tiles near the study area are unpacked; the features are the same.
+    box = (-121.817, 40.641, -121.813, 40.645)
+    near = geotiff.read_scene_bands(spark, root, boxes=hex_features.study_boxes(box))
+    whole = geotiff.read_scene_bands(spark, root)
+    assert 0 < near.count() <= whole.count()
+    some = hex_features.build_hex_features(hex_features.pixels_from_blocks(near), box)
+    every = hex_features.build_hex_features(hex_features.pixels_from_blocks(whole), box)
+    assert sorted(map(str, some.collect())) == sorted(map(str, every.collect())) != []
+    assert geotiff.read_scene_bands(spark, root, boxes=hex_features.study_boxes((10.0, 40.0, 11.0, 41.0))).count() == 0
     # Elsewhere nothing is found.
     assert hex_features.build_hex_features(pixels, (-120.0, 39.0, -119.9, 39.1), 32610).count() == 0
     # Block-wise and pixel-wise alignment agree.

@@ -166,3 +166,16 @@ def test_bands_of_every_kind_make_one_scene(spark):
     rows = B.align_block_bands(blocks, tile=16).collect()
     assert len(rows) == DN.size
     assert all(r["b3"] == r["b4"] == r["b5"] == r["b7"] == DN[r["row_no"], r["col_no"]] for r in rows)
+
+
+def test_only_tiles_that_meet_a_box_are_unpacked():
+    """Tiles outside are damaged here, so unpacking one would fail."""
+    padded = np.pad(DN, ((0, 12), (0, 8)))
+    chunks = [zlib.compress(padded[r : r + 16, c : c + 16].tobytes()) for r in (0, 16) for c in (0, 16)]
+    raw = tiff([chunks[0], b"damaged", b"damaged", b"damaged"], 24, 20, 16, 1, 8, tile=16)
+    box = (600000.0 + 40.0, 4500000.0 - 300.0, 600000.0 + 400.0, 4500000.0 - 100.0)
+    found = list(geotiff.decode_blocks(raw, boxes={32610: box}))
+    assert [(b["block_row"], b["block_col"]) for b in found] == [(0, 0)]
+    assert list(geotiff.decode_blocks(raw, boxes={32611: box})) == []
+    with pytest.raises(zlib.error):
+        list(geotiff.decode_blocks(raw, boxes={32610: (box[0], box[1], box[2] + 300.0, box[3])}))
