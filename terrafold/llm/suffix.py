@@ -40,13 +40,15 @@ class Repeats:
     """What counts as repeated: strings of ``length`` bytes, found by anchors of ``gram`` bytes.
 
     ``length`` is a multiple of 8. Of the maximal repeated runs of a text those with fewer
-    than ``words`` whole words stay unless they have ``always`` bytes.
+    than ``words`` whole words stay unless they have ``always`` bytes. With ``across`` a string
+    counts only if another document has it; what repeats within one document alone stays.
     """
 
     length: int = 400
     gram: int = 100
     words: int = 0
     always: int = 0
+    across: bool = False
 
     def __post_init__(self):
         if self.length % STEP or not STEP <= self.gram <= self.length - STEP:
@@ -72,8 +74,9 @@ class Repeats:
         return STEP << ((self.length - STEP) // STEP).bit_length() - 1
 
 
-#: Of the query, and of the pipeline: passages of over 50 words, one of them cut by an edge.
-LONG, PASSAGES = Repeats(), Repeats(length=240, gram=48, words=50, always=400)
+#: Of the query, and of the pipeline: passages of over 50 words, one of them cut by an edge,
+#: that several documents have.
+LONG, PASSAGES = Repeats(), Repeats(length=240, gram=48, words=50, always=400, across=True)
 
 
 def sliding(values: np.ndarray, width: int, ufunc) -> np.ndarray:
@@ -204,11 +207,15 @@ def cover_ranks(table: np.ndarray, length: int) -> dict[int, np.ndarray]:
     return ranks
 
 
-def sort_block(bucket: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.ndarray, kind: Repeats = LONG) -> np.ndarray:
+def sort_block(
+    bucket: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.ndarray, kind: Repeats = LONG, owners: np.ndarray | None = None
+) -> np.ndarray:
     """Which suffixes of distinct contexts are equal to another one over ``kind.length`` bytes.
 
     ``table`` has the contexts with their anchors in column ``kind.left``; a row's suffixes start
-    from ``low`` to ``high`` columns before it. Returns a flag for each row and distance.
+    from ``low`` to ``high`` columns before it. ``owners`` are the least and greatest text that
+    has a context; only suffixes of different texts are then equal. Returns a flag for each
+    row and distance.
     """
     rows = len(table)
     out = np.zeros((rows, kind.places), bool)
@@ -236,6 +243,11 @@ def sort_block(bucket: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.
         equal = np.zeros(len(live), bool)
         equal[:-1] |= same
         equal[1:] |= same
+        if owners is not None:
+            first = np.flatnonzero(np.append(True, ~same))
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(live))))
+            least, most = (f.reduceat(o[live[order]], first) for f, o in zip((np.minimum, np.maximum), owners, strict=True))
+            equal &= (least < most)[group]
         out[live[order[equal]], d] = True
     return out
 
@@ -254,7 +266,15 @@ def repeated_spans(hashes: np.ndarray, rows: list[tuple], kind: Repeats = LONG)
         bucket[i] = h
         low[i], high[i] = windows(left, len(ctx), kind)
         table[i, kind.left - left : kind.left - left + len(ctx)] = np.frombuffer(ctx, np.uint8)
-    flags = sort_block(np.unique(bucket, return_inverse=True)[1], table, low, high, kind)
+    owners = None
+    if kind.across:
+        texts = np.array([r[0] for r in rows], np.int64)
+        owners = np.full((2, len(known)), texts.max())
+        owners[1] = -1
+        np.minimum.at(owners[0], own, texts)
+        np.maximum.at(owners[1], own, texts)
+        times = 1 + (owners[0] < owners[1])
+    flags = sort_block(np.unique(bucket, return_inverse=True)[1], table, low, high, kind, owners)
     for i in np.flatnonzero(times > 1):
         flags[i, low[i] : high[i] + 1] = True
     found = [runs(f) for f in flags]
@@ -319,7 +339,8 @@ def window_spans(texts: DataFrame, kind: Repeats = LONG) -> DataFrame:
 
     found = texts.select("text_id", "text", F.col("hot").alias("places")).mapInArrow(run, "text_id long, start long, mark binary")
     found = keep(found, "windows")
-    twice = keep(found.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"), "marks")
+    counted = found.groupBy("mark").agg(F.count("*").alias("n"), F.min("text_id").alias("x"), F.max("text_id").alias("y"))
+    twice = keep(counted.filter("x <> y" if kind.across else "n > 1").select("mark"), "marks")
     again = found.join(small_side(twice, "48"), "mark", "left_semi")
     return again.select("text_id", "start", (F.col("start") + kind.length).alias("end"))
 
@@ -334,7 +355,8 @@ def spans_by_text(docs: DataFrame, hot: int = HOT, kind: Repeats = LONG) -> Data
     single = signed.join(one, "digest").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
     zipped = single.select("text_id", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
     occurrences = zipped.select("text_id", F.col("x.hashes").alias("hash"), F.col("x.places").alias("place"))
-    shared = occurrences.groupBy("hash").agg(F.count("*").alias("m")).filter("m > 1")
+    shared = occurrences.groupBy("hash").agg(F.count("*").alias("m"), F.min("text_id").alias("x"), F.max("text_id").alias("y"))
+    shared = shared.filter("x <> y" if kind.across else "m > 1")
     shared = keep(shared.select("hash", (F.col("m") > hot).alias("is_hot")), "shared")
     met = occurrences.join(small_side(shared, "12"), "hash")
     pair = F.struct("place", "hash")

@@ -91,10 +91,12 @@ def removed(values: list[bytes]) -> list[tuple]:
     return out
 
 
-def without_passages(texts: list[str], length: int, words: int, always: int) -> list[str]:
+def without_passages(texts: list[str], length: int, words: int, always: int, across: bool = False) -> list[str]:
     """What stays when runs that repeat over ``length`` bytes and have so many whole words go."""
     values = [t.encode() for t in texts]
     seen = Counter(v[i : i + length] for v in values for i in range(len(v) - length + 1))
+    if across:
+        seen = Counter(w for v in values for w in {v[i : i + length] for i in range(len(v) - length + 1)})
     out = []
     for v in values:
         gone = bytearray(len(v))

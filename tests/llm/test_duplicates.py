@@ -42,7 +42,7 @@ def test_repeated_strings_edges(spark):
 
 
 @pytest.mark.parametrize("hot", [suffix.HOT, 1])
-@pytest.mark.parametrize("kind", [suffix.PASSAGES, suffix.Repeats(64, 16, 8, 90), suffix.Repeats(256, 40), suffix.Repeats(264, 200)])
+@pytest.mark.parametrize("kind", [suffix.PASSAGES, suffix.Repeats(64, 16, 8, 90, True), suffix.Repeats(64, 16, 8, 90), suffix.Repeats(256, 40), suffix.Repeats(264, 200)])
 def test_passages(spark, kind, hot):
     """Repeated passages of 30 to 70 words, below 400 bytes, within texts of their own."""
     draw = random.Random(3)
@@ -51,14 +51,18 @@ def test_passages(spark, kind, hot):
     passages = [text(n) for n in range(30, 71, 5)]
     texts = [f"{text(40)} {p} {text(30)}" for p in passages for _ in range(2)] + [text(100), "", "z" * 900, None]
     texts += [f"{text(5)}{passages[-1]}{text(5)}", passages[-2], "z" * 350]
+    # Repeated within one text alone, and within one and in another.
+    inner = text(80)
+    texts += [f"{inner} {text(9)} {inner}", f"{passages[0]} {passages[0]} {text(3)} {passages[4]} {passages[4]}"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["text"] for r in suffix.without_repeats(df, hot, kind).collect()}
-    want = X.without_passages([t or "" for t in texts], kind.length, kind.words, kind.always)
+    want = X.without_passages([t or "" for t in texts], kind.length, kind.words, kind.always, kind.across)
     assert [got[i] or "" for i in range(len(texts))] == want
     if kind is suffix.PASSAGES:
         long = [i for i, p in enumerate(passages) if len(p.split()) > 50]
         assert long and all(len(passages[i].encode()) < 400 for i in long)
         assert not [t for t in got.values() for i in long if t and passages[i] in t]
+        assert got[len(texts) - 2] == texts[-2]
 
 
 def test_near_duplicates_of_documents(spark):

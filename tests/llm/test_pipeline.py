@@ -30,7 +30,7 @@ def test_stages(spark):
     assert sorted(r["doc_id"] for r in after.collect()) == sorted(i for (i, _), c in zip(before, X.near_components(before), strict=True) if i == c)
     before, after = seen["repeated_strings"]
     texts = {r["doc_id"]: r["text"] for r in after.collect()}
-    for (doc_id, _), stays in zip(before, X.without_passages([t for _, t in before], 240, 50, 400), strict=True):
+    for (doc_id, _), stays in zip(before, X.without_passages([t for _, t in before], 240, 50, 400, True), strict=True):
         assert texts[doc_id] == stays
     before, after = seen["pseudonyms"]
     assert {r["doc_id"] for r in after.collect()} == {i for i, _ in before}
