@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,7 +64,20 @@ def band_label(band: Column | str, strict: bool = False) -> Column:
 
 
 def scene_prefix(scene_id: Column | str, collection_prefix: str = COLLECTION_PREFIX, strict: bool = False) -> Column:
-    """Directory key of a scene, ending in a slash; NULL (or an error) for bad ids."""
+    """Directory key of a scene, ending in a slash; NULL (or an error) for bad ids.
+
+    Usual ids take one test and one replacement; only the others are taken apart.
+    """
+    root = re.sub(r"([\\$])", r"\\\1", collection_prefix.rstrip("/"))
+    usual = F.regexp_replace(_col(scene_id), USUAL_ID, root + "/$3/$1/$2/$0/")
+    return F.when(_col(scene_id).rlike(USUAL_ID), usual).otherwise(_any_prefix(scene_id, collection_prefix, strict))
+
+
+#: A scene id with its path, row and year, whose first digit is no zero.
+USUAL_ID = "^[^_]*_[^_]*_([0-9]{3})([0-9]{3})_([1-9][0-9]{3})[0-9]{4}(?:_.*)?$"
+
+
+def _any_prefix(scene_id: Column | str, collection_prefix: str, strict: bool) -> Column:
     parts = scene_parts(scene_id, strict)
     pieces = (parts["year"].cast("string"), parts["wrs_path"], parts["wrs_row"], _col(scene_id))
     slash = F.lit("/")

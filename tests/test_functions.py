@@ -157,3 +157,16 @@ def test_polyfill_centres_lie_inside(spark):
     assert len(found) == pytest.approx(0.3 * math.cos(math.radians(39.7)) * 0.2 * 111194.9**2 / (1.5 * math.sqrt(3) * 461**2), rel=0.03)
     empty = cells.polyfill_wgs84(box.limit(0), 32610)
     assert empty.count() == 0
+
+
+def test_prefixes_of_usual_and_other_ids(spark):
+    """The short way for usual ids gives what taking ids apart gives, whatever the prefix holds."""
+    ids = ["LC09_L2SP_012022_20210305_20210309_02_T1", "a_b_123456_01990101", "__000000_20000101_$1", "x_y_1_2", "LC09_L2SP_012022_20210305", "", None]
+    df = spark.createDataFrame([(i,) for i in ids], "scene_id string")
+    for prefix in (scene_ids.COLLECTION_PREFIX, "a$1\\2/b/"):
+        rows = df.select(
+            scene_ids.scene_prefix("scene_id", prefix).alias("short"), scene_ids._any_prefix("scene_id", prefix, False).alias("long")
+        ).collect()
+        assert [r["short"] for r in rows] == [r["long"] for r in rows]
+        assert rows[0]["short"] == f"{prefix.rstrip('/')}/2021/012/022/{ids[0]}/" and rows[1]["short"].startswith(f"{prefix.rstrip('/')}/199/123/456/")
+        assert [r["short"] is None for r in rows] == [False, False, False, True, False, True, True]
