@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrafold.functions import metadata as M
 from terrafold.functions import scene_ids as S
 from terrafold.functions.edges import bbox_ring
+from terrafold.sources.shared import fresh_path
 
 # Band label, name, common name, centre wavelength and width in micrometres.
 LANDSAT9_BANDS = (
@@ -391,8 +392,12 @@ def linked_documents(documents: DataFrame, root: str, levels: int = 8) -> DataFr
     """Documents (``folder, links``) that links lead to from the root, with how many it takes.
 
     Each level joins the links of the one before with the folders; a link to no document is
-    an error, and so is a document whose parent link does not lead back.
+    an error, and so is a document whose parent link does not lead back. The documents are
+    read once and kept in the shared folder.
     """
+    spark, kept = documents.sparkSession, fresh_path(documents.sparkSession, "links")
+    documents.write.parquet(kept)
+    documents = spark.read.schema(documents.schema).parquet(kept)
     links = documents.select("folder", F.explode("links").alias("l")).select("folder", "l.rel", resolved(F.col("folder"), F.col("l.href")).alias("target"))
     down = links.filter(F.col("rel").isin("child", "item")).select("folder", "target")
     parents = links.filter("rel = 'parent'").select(F.col("folder").alias("target"), F.col("target").alias("parent"))

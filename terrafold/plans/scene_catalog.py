@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from terrafold.operators import catalog as K
 from terrafold.sources.documents import write_documents, write_tree
+from terrafold.sources.shared import fresh_path
 
 
 def build_catalog(
@@ -31,7 +32,13 @@ def write_catalog_tree(
     items: DataFrame, collection: DataFrame, collection_id: str, path: str, catalog_id: str = "scenes", description: str = "All scenes"
 ) -> str:
     """The whole catalog as linked documents, each in a folder of its own: root, collection,
-    a catalog for each path and each row, and the items."""
+    a catalog for each path and each row, and the items.
+
+    Items are written to the shared folder first, as every level is made from them.
+    """
+    spark, kept = items.sparkSession, fresh_path(items.sparkSession, "items")
+    items.write.parquet(kept)
+    items = spark.read.schema(items.schema).parquet(kept)
     return write_tree(K.tree_documents(items, collection, collection_id, catalog_id, description), path)
 
 
