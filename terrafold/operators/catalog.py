@@ -336,7 +336,7 @@ def _catalog(name: Column, text: Column, links: Column) -> Column:
 def tree_documents(
     items: DataFrame, collection: DataFrame, collection_id: str, catalog_id: str, description: str
 ) -> dict[str, tuple[DataFrame, list[str]]]:
-    """Every document of a catalog, by folder: a table with ``document``, and its partition columns.
+    """Every document of a catalog, by level: a table with ``folder`` and ``document``, and its partition columns.
 
     Between the collection and the items stand a catalog for each path and one for each path
     and row of the scenes' reference system. So no document has more links than there are
@@ -373,11 +373,14 @@ def tree_documents(
     names = [f"`{c}`" for c in documents.columns if c != "scene_id"]
     single = placed.select(F.struct(*names, up.alias("links")).alias("document"), "wrs_path", "wrs_row", F.col("__id").alias("id"))
     return {
-        "catalog": (all_paths.select(root.alias("document")), []),
-        "collection": (whole, []),
-        "paths": (paths.select(by_path.alias("document"), "wrs_path"), ["wrs_path"]),
-        "rows": (places.select(by_row.alias("document"), "wrs_path", "wrs_row"), ["wrs_path", "wrs_row"]),
-        "items": (single, ["wrs_path", "wrs_row", "id"]),
+        "catalog": (all_paths.select(F.lit("catalog").alias("folder"), root.alias("document")), []),
+        "collection": (whole.select(F.lit("collection").alias("folder"), "document"), []),
+        "paths": (paths.select(F.concat(F.lit("paths/"), at_path).alias("folder"), by_path.alias("document")), []),
+        "rows": (places.select(F.concat(F.lit("rows/"), at_row).alias("folder"), by_row.alias("document"), "wrs_path"), ["wrs_path"]),
+        "items": (
+            single.select(F.concat(F.lit("items/"), at_row, F.lit("/id="), F.col("id")).alias("folder"), "document", "wrs_path"),
+            ["wrs_path"],
+        ),
     }
 
 
@@ -393,18 +396,25 @@ def linked_documents(documents: DataFrame, root: str, levels: int = 8) -> DataFr
 
     Each level joins the links of the one before with the folders; a link to no document is
     an error, and so is a document whose parent link does not lead back. The documents are
-    read once and kept in the shared folder.
+    read and their links resolved once; both are kept in the shared folder.
     """
-    spark, kept = documents.sparkSession, fresh_path(documents.sparkSession, "links")
-    documents.write.parquet(kept)
-    documents = spark.read.schema(documents.schema).parquet(kept)
-    links = documents.select("folder", F.explode("links").alias("l")).select("folder", "l.rel", resolved(F.col("folder"), F.col("l.href")).alias("target"))
+    spark = documents.sparkSession
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    documents = kept(documents, "documents")
+    links = documents.select("folder", F.explode("links").alias("l")).filter(F.col("l.rel").isin("child", "item", "parent"))
+    links = kept(links.select("folder", "l.rel", resolved(F.col("folder"), F.col("l.href")).alias("target")), "links")
     down = links.filter(F.col("rel").isin("child", "item")).select("folder", "target")
     parents = links.filter("rel = 'parent'").select(F.col("folder").alias("target"), F.col("target").alias("parent"))
+    down = kept(down.join(parents, "target", "left"), "down")
     reached = documents.filter(F.col("folder") == root).select("folder", F.lit(0).alias("depth"))
     out = reached
     for depth in range(1, levels):
-        ends = reached.select("folder").join(down, "folder").join(parents, "target", "left")
+        ends = reached.select("folder").join(down, "folder")
         lost = F.concat(F.lit("the link from "), F.col("folder"), F.lit(" to "), F.col("target"), F.lit(" has no way back"))
         held = F.when(F.col("parent") == F.col("folder"), F.col("target")).otherwise(F.raise_error(lost).cast("string"))
         reached = ends.select(held.alias("folder"), F.lit(depth).alias("depth"))

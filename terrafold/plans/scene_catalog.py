@@ -31,8 +31,8 @@ def build_catalog(
 def write_catalog_tree(
     items: DataFrame, collection: DataFrame, collection_id: str, path: str, catalog_id: str = "scenes", description: str = "All scenes"
 ) -> str:
-    """The whole catalog as linked documents, each in a folder of its own: root, collection,
-    a catalog for each path and each row, and the items.
+    """The whole catalog as linked documents, each with a folder of its own in their links:
+    root, collection, a catalog for each path and each row, and the items.
 
     Items are written to the shared folder first, as every level is made from them.
     """
