@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ BLOCK_COLUMNS = (
     "width", "height", "epsg", "data",
 )
 
+#: Values that a task holds at once while it fills or cuts blocks.
+VALUES_PER_BATCH = 1 << 20
+
 
 def block_size(blocks: DataFrame) -> DataFrame:
     """Blocks with their grid envelope, for pruning before any pixel is unpacked."""
@@ -83,6 +88,19 @@ def indices_from_blocks(blocks: DataFrame, names: Sequence[str]) -> DataFrame:
     return chosen.groupBy("scene_id", "x", "y", "epsg").agg(*values)
 
 
+def _group_starts(rows: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
+    """Where a new group begins in rows that are sorted by ``keys``."""
+    if not rows.num_rows:
+        return np.zeros(0, np.int64)
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for k in keys:
+        here, before = rows.column(k).slice(1), rows.column(k).slice(0, rows.num_rows - 1)
+        differ = pc.or_(pc.fill_null(pc.not_equal(here, before), False), pc.xor(here.is_null(), before.is_null()))
+        new[1:] |= differ.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
 def pixels_to_blocks(
     pixels: DataFrame, value: str, block: int, fill: float, value_type: str = "int",
     keys: Sequence[str] = ("scene_id", "band"),
@@ -102,18 +120,37 @@ def pixels_to_blocks(
         F.col(value).cast(value_type).alias("v"),
     )
     group = [*keys, "block_row", "block_col"]
-    addressed = addressed.groupBy(*group, "pos").agg(F.max("v").alias("v"))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = np.full(block * block, fill, dtype=dtype)
-        present = pdf["v"].notna().to_numpy()
-        out[pdf["pos"].to_numpy()[present]] = pdf["v"].to_numpy()[present]
-        head = pdf[group].iloc[[0]].copy()
-        head["data"] = [out]
-        return head
+    single = addressed.groupBy(*group, "pos").agg(F.max("v").alias("v"))
+    # Groups lie one after the other, and so are filled many at a time.
+    sorted_ = single.repartition(*group).sortWithinPartitions(*group)
+    side, most = block * block, max(1, VALUES_PER_BATCH // (block * block))
+
+    def filled(rows: pa.RecordBatch, first: np.ndarray) -> pa.RecordBatch:
+        """Blocks of whole groups, which start at the rows ``first``."""
+        of = np.repeat(np.arange(len(first)), np.diff(np.append(first, rows.num_rows)))
+        pos, v = rows.column("pos").to_numpy(), rows.column("v")
+        present = v.is_valid().to_numpy(zero_copy_only=False)
+        out = np.full((len(first), side), fill, dtype=dtype)
+        out[of[present], pos[present]] = v.drop_null().to_numpy()
+        ends = np.arange(0, out.size + 1, side, dtype=np.int32)
+        heads = [rows.column(k).take(pa.array(first)) for k in group]
+        return pa.RecordBatch.from_arrays([*heads, pa.ListArray.from_arrays(ends, out.ravel())], names=[*group, "data"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pa.concat_batches([rest, batch])
+            first = _group_starts(rows, group)
+            # The last group may go on in the next batch.
+            for i in range(0, len(first) - 1, most):
+                end = min(i + most, len(first) - 1)
+                yield filled(rows.slice(first[i], first[end] - first[i]), first[i:end] - first[i])
+            rest = rows.slice(first[-1]) if len(first) else None
+        if rest is not None:
+            yield filled(rest, np.zeros(1, np.int64))
 
     key_ddl = ", ".join(f"{k} {addressed.schema[k].dataType.simpleString()}" for k in group)
-    packed = addressed.groupBy(*group).applyInPandas(pack, f"{key_ddl}, data array<{value_type}>")
+    packed = sorted_.mapInArrow(pack, f"{key_ddl}, data array<{value_type}>")
     return packed.withColumns(
         {
             "first_row": F.col("block_row") * block,
@@ -194,43 +231,72 @@ def one_grid_per_scene(blocks: DataFrame) -> DataFrame:
     grid = F.struct(F.col("pixel_size"), F.col("epsg"), part("x0").alias("x_part"), part("y0").alias("y_part"))
     told = blocks.withColumn("__grid", F.to_json(grid))
     grids = told.groupBy("scene_id").agg(F.min("__grid").alias("__least"), F.max("__grid").alias("__most"))
+    # One scene with two grids is enough to stop, so a single row is sent to all tasks; blocks stay where they are.
+    two = F.broadcast(grids.filter("__least <> __most").withColumnRenamed("scene_id", "__scene").limit(1))
     wrong = F.concat(F.lit("bands of "), F.col("scene_id"), F.lit(" lie on different grids: "), F.col("__least"), F.lit(" and "), F.col("__most"))
-    same = F.when(F.col("__least") == F.col("__most"), True).otherwise(F.raise_error(wrong).cast("boolean"))
-    return blocks.join(grids.withColumn("__same", same), "scene_id").filter("__same").drop("__least", "__most", "__same")
+    same = F.when(F.col("__least").isNull(), True).otherwise(F.raise_error(wrong).cast("boolean"))
+    checked = blocks.join(two, F.col("scene_id").eqNullSafe(F.col("__scene")), "left")
+    return checked.filter(same).drop("__scene", "__least", "__most")
 
 
 def cut_blocks(blocks: DataFrame, tile: int = TILE) -> DataFrame:
     """Blocks cut where the common tiles of their grid meet; a piece has its place in its tile.
 
     Tiles are counted from the origin of the coordinate system, so they do not depend on how
-    any band is stored. Values are sliced by expressions, each once.
+    any band is stored. A block is read once, whatever the number of its tiles, and each of
+    its values is copied once.
     """
     whole = lambda pixels: F.round(pixels - _part(pixels)).cast("bigint")
     size = F.col("pixel_size")
     placed = blocks.withColumns({"__top": whole(-F.col("y0") / size), "__left": whole(F.col("x0") / size)})
-    span = lambda first, n: F.sequence(F.floor(F.col(first) / tile), F.floor((F.col(first) + F.col(n) - 1) / tile))
-    tiles = placed.withColumn("tile_row", F.explode(span("__top", "height"))).withColumn("tile_col", F.explode(span("__left", "width")))
-    low = lambda t, first: F.greatest(F.col(t) * tile - F.col(first), F.lit(0)).cast("int")
-    high = lambda t, first, n: F.least((F.col(t) + 1) * tile - F.col(first), F.col(n)).cast("int")
-    tiles = tiles.withColumns(
-        {
-            "__r0": low("tile_row", "__top"), "__r1": high("tile_row", "__top", "height"),
-            "__c0": low("tile_col", "__left"), "__c1": high("tile_col", "__left", "width"), "__w": F.col("width"),
-        }
-    )
-    row = lambda r: F.slice("data", r * F.col("__w") + F.col("__c0") + 1, F.col("__c1") - F.col("__c0"))
-    return tiles.select(
-        "scene_id", "band", "tile_row", "tile_col", "pixel_size", "epsg",
+    placed = placed.select(
+        "scene_id", "band", "pixel_size", "epsg",
         (F.col("__top") - F.col("first_row")).alias("top"),
         (F.col("__left") - F.col("first_col")).alias("left"),
         (F.col("x0") - F.col("first_col") * size).alias("corner_x"),
         (F.col("y0") + F.col("first_row") * size).alias("corner_y"),
-        (F.col("__top") + F.col("__r0") - F.col("tile_row") * tile).cast("int").alias("row"),
-        (F.col("__left") + F.col("__c0") - F.col("tile_col") * tile).cast("int").alias("col"),
-        (F.col("__r1") - F.col("__r0")).alias("height"),
-        (F.col("__c1") - F.col("__c0")).alias("width"),
-        F.flatten(F.transform(F.sequence(F.col("__r0"), F.col("__r1") - 1), row)).alias("data"),
+        "__top", "__left", F.col("height").cast("int").alias("__h"), F.col("width").cast("int").alias("__w"), "data",
     )
+    kept = ["scene_id", "band", "pixel_size", "epsg", "top", "left", "corner_x", "corner_y"]
+    counted = ["tile_row", "tile_col", "row", "col", "height", "width"]
+
+    def pieces(top: int, left: int, height: int, width: int) -> Iterator[tuple]:
+        """Tile, place in it, size, and the values' indices in the block, for every tile in reach."""
+        for r in range(top // tile, (top + height - 1) // tile + 1):
+            r0, r1 = max(r * tile - top, 0), min((r + 1) * tile - top, height)
+            for c in range(left // tile, (left + width - 1) // tile + 1):
+                c0, c1 = max(c * tile - left, 0), min((c + 1) * tile - left, width)
+                at = (np.arange(r0, r1)[:, None] * width + np.arange(c0, c1)).ravel()
+                yield (r, c, top + r0 - r * tile, left + c0 - c * tile, r1 - r0, c1 - c0), at
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column("data").flatten()
+            starts = np.concatenate([[0], np.cumsum(batch.column("data").value_lengths().to_numpy())])
+            frames = (batch.column(n).to_pylist() for n in ("__top", "__left", "__h", "__w"))
+            found, held = [], 0
+            for i, frame in enumerate(zip(*frames)):
+                for head, at in pieces(*frame):
+                    found.append((i, head, at + starts[i]))
+                    held += len(at)
+                    if held >= VALUES_PER_BATCH:
+                        yield taken(batch, values, found)
+                        found, held = [], 0
+            if found:
+                yield taken(batch, values, found)
+
+    def taken(batch: pa.RecordBatch, values: pa.Array, found: list[tuple]) -> pa.RecordBatch:
+        of = pa.array([i for i, _, _ in found])
+        heads = np.array([head for _, head, _ in found], np.int64).T
+        ends = np.cumsum([0, *[len(at) for _, _, at in found]]).astype(np.int32)
+        data = pa.ListArray.from_arrays(ends, values.take(pa.array(np.concatenate([at for _, _, at in found]))))
+        columns = [batch.column(k).take(of) for k in kept]
+        columns += [pa.array(h if n.startswith("tile") else h.astype(np.int32)) for n, h in zip(counted, heads)]
+        return pa.RecordBatch.from_arrays([*columns, data], names=[*kept, *counted, "data"])
+
+    ddl = ", ".join(f"{k} {placed.schema[k].dataType.simpleString()}" for k in kept)
+    ddl += ", tile_row bigint, tile_col bigint, row int, col int, height int, width int"
+    return placed.mapInArrow(cut, f"{ddl}, data {blocks.schema['data'].dataType.simpleString()}")
 
 
 def align_unlike_blocks(blocks: DataFrame, bands: Sequence[str], tile: int = TILE) -> DataFrame:
@@ -247,10 +313,10 @@ def align_unlike_blocks(blocks: DataFrame, bands: Sequence[str], tile: int = TIL
         values, there = np.zeros((len(bands), tile, tile), dtype), np.zeros((len(bands), tile, tile), bool)
         place = {b: i for i, b in enumerate(bands)}
         for p in f.itertuples(index=False):
-            data = pd.array(p.data)
+            data = np.asarray(p.data)
+            known = ~pd.isna(data)
             at = place[p.band], slice(p.row, p.row + p.height), slice(p.col, p.col + p.width)
-            known = ~np.asarray(pd.isna(data))
-            values[at] = np.where(known, np.asarray(data.fillna(0) if not known.all() else data, dtype), 0).reshape(p.height, p.width)
+            values[at] = np.where(known, data, 0).astype(dtype).reshape(p.height, p.width)
             there[at] = known.reshape(p.height, p.width)
         row, col = np.nonzero(there.all(0))
         if not len(row):
