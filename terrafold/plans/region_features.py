@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
 from terrafold.operators import regions as R
 from terrafold.operators import zonal as Z
 from terrafold.sources.features import replace_partitions
+from terrafold.sources.shared import fresh_path
 
 
 def region_statistics_long(
@@ -19,9 +20,9 @@ def region_statistics_long(
     **join_options,
 ) -> DataFrame:
     """Statistics per region, scene and index, in long form; repeated region ids are an error."""
-    regions = R.require_unique_ids(regions)
+    regions = R.require_unique_ids(_kept(regions))
     keys = _keys(indices, regions, resolution)
-    return Z.long_stats(R.pixel_region_join(indices, regions, **join_options), keys, stats=stats)
+    return _by_shape(indices, regions, keys, lambda joined, keys: Z.long_stats(joined, keys, stats=stats), join_options)
 
 
 def build_region_features(
@@ -38,13 +39,35 @@ def build_region_features(
     before its shuffle. Nothing is folded to long form only to be pivoted back. Indices with
     an ``epsg`` may lie in several zones, which then stands in the rows too.
     """
-    regions = R.require_unique_ids(regions)
+    regions = R.require_unique_ids(_kept(regions))
     stats = list(stats) + ([] if "max" in stats else ["max"])
-    joined = R.pixel_region_join(indices, regions, **join_options)
-    wide = Z.wide_stats(joined, _keys(indices, regions, resolution), stats=stats)
+    keys = _keys(indices, regions, resolution)
+    wide = _by_shape(indices, regions, keys, lambda joined, keys: Z.wide_stats(joined, keys, stats=stats), join_options)
     return Z.attach_geometry(wide, regions) if geometry else wide
 
 
+def _kept(regions: DataFrame) -> DataFrame:
+    """The regions written to the shared folder: they are read several times, and shaping them is long."""
+    spark = regions.sparkSession
+    path = fresh_path(spark, "regions")
+    regions.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    return spark.read.schema(regions.schema).parquet(path)
+
+
+def _by_shape(
+    indices: DataFrame, regions: DataFrame, keys: list[str], statistics: Callable[[DataFrame, list[str]], DataFrame], join_options: dict
+) -> DataFrame:
+    """Statistics per key; where many regions have one shape, it meets the pixels once."""
+    if not R.mostly_copies(regions):
+        return statistics(R.pixel_region_join(indices, regions, **join_options), keys)
+    ones, members = R.one_of_each_shape(regions)
+    own = [k for k in keys if k in members.columns and k != "epsg"]
+    kept = ["region_id", *[k for k in keys if k not in own]]
+    found = statistics(R.pixel_region_join(indices, ones, **join_options), kept).withColumnRenamed("region_id", "shape_id")
+    on = ["shape_id", *[k for k in ("epsg",) if k in kept]]
+    return found.join(members.select(*own, *on), on).select(*keys, *[c for c in found.columns if c not in kept and c != "shape_id"])
+
+
 def _keys(indices: DataFrame, regions: DataFrame, resolution: int | None) -> list[str]:
     keys = ["region_id", "region_kind", "scene_id"]
     keys += [c for c in ("epsg",) if c in indices.columns and c in regions.columns]

@@ -8,8 +8,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from terrafold.functions import edges as E
 from terrafold.operators import bands as B
 from terrafold.operators import catalog as K
+from terrafold.operators import cells as C
+from terrafold.operators import regions as R
+from terrafold.plans import region_features as RF
 from terrafold.sources import documents as D
 from terrafold.sources import geotiff
 
@@ -92,3 +96,51 @@ def test_unlike_blocks_stay_where_they_are_until_cut(spark):
                 assert (row, col) not in got and 0 <= p["row"] < 3 and 0 <= p["col"] < 3
                 got[row, col] = v
         assert got == {(i // 5, i % 5 + shift): None if i % 6 == 5 else float(i) for i in range(20)}
+
+
+LINE = {"type": "LineString", "coordinates": "[[600100.0, 4499000.0], [600400.0, 4499200.0]]"}
+
+
+def same_lines(spark, n):
+    rows = [({**LINE}, {"OBJECTID": str(i)}) for i in range(n)]
+    return spark.createDataFrame(rows, "geometry struct<type:string,coordinates:string>, properties map<string,string>")
+
+
+def test_regions_of_one_shape_meet_the_pixels_once(spark):
+    regions = R.corridor_regions(same_lines(spark, 40), 100.0, None).withColumn("epsg", F.lit(32610))
+    assert R.mostly_copies(regions)
+    ones, members = R.one_of_each_shape(regions)
+    assert ones.count() == 1 and members.count() == 40
+    pixels = spark.range(400).selectExpr(
+        "'s' AS scene_id", "32610 AS epsg", "600000D + 30 * (id % 20) AS x", "4499500D - 30 * (id div 20) AS y",
+        "id * 1D AS ndvi", "id * 2D AS nbr", "id * 3D AS ndwi",
+    )
+    features = RF.build_region_features(pixels, regions, geometry=False)
+    alone = RF.build_region_features(pixels, regions.filter("region_id = '0'"), geometry=False)
+    assert features.columns == alone.columns
+    want = alone.drop("region_id").collect()
+    got = features.collect()
+    assert len(want) == 1 and {r["region_id"] for r in got} == {str(i) for i in range(40)} and len(got) == 40
+    assert {tuple(r[c] for c in features.columns if c != "region_id") for r in got} == {tuple(want[0])}
+
+
+@pytest.mark.parametrize("touch", ["all", "center"])
+def test_pairs_are_looked_at_shortly_before_the_exact_test(spark, touch):
+    regions = R.corridor_regions(same_lines(spark, 1), 100.0, None).drop("epsg")
+    pixels = spark.range(4000).selectExpr("id", "600000D + 10 * (id % 80) AS x", "4499500D - 15 * (id div 80) AS y")
+    joined = R.pixel_region_join(pixels, regions, touch=touch)
+    joins = [line for line in plan(joined).splitlines() if "HashJoin" in line or "SortMergeJoin" in line]
+    assert joins and all("exists(" not in line for line in joins)
+    whole = pixels.crossJoin(regions)
+    hit = E.square_in_region(F.col("edges"), F.col("areal"), F.col("buffer_m"), F.col("x"), F.col("y"), 15.0, touch)
+    assert {r["id"] for r in joined.collect()} == {r["id"] for r in whole.filter(hit).collect()}
+
+
+def test_equal_boxes_are_filled_once(spark):
+    boxes = spark.range(30).selectExpr("id", "-121.9D - id div 100 AS west", "40.5D AS south", "-121.88D AS east", "40.52D AS north")
+    filled = C.polyfill_wgs84(boxes, 32610)
+    assert "HashAggregate(keys=[" in plan(filled)
+    per_box = {}
+    for r in filled.collect():
+        per_box.setdefault(r["id"], set()).add((r["q"], r["r"]))
+    assert len(per_box) == 30 and len({frozenset(c) for c in per_box.values()}) == 1
