@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from terrafold.operators import regions as R
 from terrafold.operators import zonal as Z
 from terrafold.sources.features import replace_partitions
-from terrafold.sources.shared import fresh_path
+from terrafold.sources.shared import keep
 
 
 def region_statistics_long(
@@ -48,10 +48,7 @@ def build_region_features(
 
 def _kept(regions: DataFrame) -> DataFrame:
     """The regions written to the shared folder: they are read several times, and shaping them is long."""
-    spark = regions.sparkSession
-    path = fresh_path(spark, "regions")
-    regions.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
-    return spark.read.schema(regions.schema).parquet(path)
+    return keep(regions.repartition(regions.sparkSession.sparkContext.defaultParallelism), "regions")
 
 
 def _by_shape(

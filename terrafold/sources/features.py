@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from terrafold.functions import hexgrid
 from terrafold.functions.wkb import polygon_wkb
-from terrafold.sources.shared import fresh_path, path_missing
+from terrafold.sources.shared import keep, path_missing, shuffles_freed
 
 
 def with_coarse_key(features: DataFrame, coarse_resolution: int, name: str | None = None) -> DataFrame:
@@ -82,18 +82,17 @@ def replace_partitions(
     so that they are built only once.
     """
     if touched is not None:
-        spark, staged = features.sparkSession, fresh_path(features.sparkSession, "features")
-        features.write.parquet(staged)
-        features = spark.read.schema(features.schema).parquet(staged)
+        features = keep(features, "features")
         features = features.unionByName(emptied(features, touched, key))
-    (
-        features.hint("rebalance", key)
-        .sortWithinPartitions(key, *(order or []))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
-        .parquet(path)
-    )
+    with shuffles_freed(features.sparkSession):
+        (
+            features.hint("rebalance", key)
+            .sortWithinPartitions(key, *(order or []))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(key)
+            .parquet(path)
+        )
     return path
 
 

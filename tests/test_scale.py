@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import glob
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks import tables
 from terrafold.functions import edges as E
 from terrafold.operators import bands as B
 from terrafold.operators import catalog as K
@@ -15,6 +17,7 @@ from terrafold.operators import cells as C
 from terrafold.operators import regions as R
 from terrafold.plans import region_features as RF
 from terrafold.sources import documents as D
+from terrafold.sources import features as S
 from terrafold.sources import geotiff
 
 
@@ -144,3 +147,48 @@ def test_equal_boxes_are_filled_once(spark):
     for r in filled.collect():
         per_box.setdefault(r["id"], set()).add((r["q"], r["r"]))
     assert len(per_box) == 30 and len({frozenset(c) for c in per_box.values()}) == 1
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files that the session has on disk."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files that are new and stay; Spark deletes them beside the query."""
+    for _ in range(50):
+        if not (new := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return new
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    rows = spark.range(12600).selectExpr("concat('s', id % 7) AS scene_id", "id % 900 AS region_id", "id AS v")
+    summed = rows.groupBy("scene_id", "region_id").agg(F.sum("v").alias("v"))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_to, before = spark.conf.get(name, None), shuffle_files(spark)
+    path = S.replace_partitions(summed, str(tmp_path / "scenes"), "scene_id", ["region_id"])
+    S.replace_partitions(summed, path, "scene_id", ["region_id"], rows.select("scene_id"))
+    assert left_behind(spark, before) == set()
+    assert spark.conf.get(name, None) == set_to
+    assert spark.read.parquet(path).count() == summed.count() == 6300
+
+
+def small_tables(spark, folder):
+    """Pixels of nine scenes and one without a name, and lines among them."""
+    keys = "id * 5 % 600 AS l_orderkey", "id * 7 % 200 AS l_partkey", "CASE WHEN id % 50 = 0 THEN NULL ELSE id % 90 END AS l_suppkey"
+    spark.range(3000).selectExpr(*keys).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(40).selectExpr("id AS c_custkey").write.parquet(f"{folder}/customer.parquet")
+    return str(folder)
+
+
+def test_both_writes_are_of_features_built_once(spark, tmp_path, monkeypatch):
+    """What is written has no join below it any more, so a replay does not repeat the join's shuffles."""
+    written, write = [], RF.write_region_features
+    monkeypatch.setattr(RF, "write_region_features", lambda features, path: (written.append(plan(features)), write(features, path))[1])
+    assert tables.zonal_write(spark, small_tables(spark, tmp_path)).count() > 0
+    assert len(written) == 2
+    assert all("Exchange" not in p and "Join" not in p for p in written)
