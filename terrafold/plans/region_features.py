@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from terrafold.operators import regions as R
 from terrafold.operators import zonal as Z
 from terrafold.sources.features import replace_partitions
-from terrafold.sources.shared import keep
+from terrafold.sources.shared import fresh_path, keep, shuffles_freed
+
+#: Pixels whose shuffles may lie on disk at a time; with the statistics of their regions some 150 bytes each.
+WAVE_PIXELS = 80_000_000
 
 
 def region_statistics_long(
@@ -46,6 +50,40 @@ def build_region_features(
     return Z.attach_geometry(wide, regions) if geometry else wide
 
 
+def features_by_scenes(
+    indices: DataFrame, build: Callable[[DataFrame], DataFrame], most_pixels: int = WAVE_PIXELS
+) -> DataFrame:
+    """Features of all scenes, built once for some scenes at a time and kept in the shared folder.
+
+    ``build`` maps the index pixels of some scenes to their feature rows, each of one scene. A
+    wave has about ``most_pixels`` pixels, or one scene; its shuffle files are deleted before
+    the next, so the disk a build takes does not grow with the number of scenes. Pixels are read
+    once for their number and once for each wave. The driver sees a count for each scene.
+    """
+    path = fresh_path(indices.sparkSession, "features")
+    with shuffles_freed(indices.sparkSession):
+        for pixels in _waves(indices, most_pixels):
+            features = build(pixels)
+            features.write.mode("append").parquet(path)
+    return indices.sparkSession.read.schema(features.schema).parquet(path)
+
+
+def _waves(indices: DataFrame, most_pixels: int) -> Iterator[DataFrame]:
+    """The pixels by waves of whole scenes, as even as scenes allow; a scene without a name is one too."""
+    scenes = [(r["count"], r["scene_id"]) for r in indices.groupBy("scene_id").count().collect()]
+    waves = [[0, []] for _ in range(min(len(scenes), -(-sum(n for n, _ in scenes) // most_pixels)))]
+    for n, name in sorted(scenes, key=lambda s: (-s[0], str(s[1]))):
+        lightest = min(waves, key=lambda w: w[0])
+        lightest[0] += n
+        lightest[1].append(name)
+    if len(waves) < 2:
+        yield indices
+        return
+    for _, names in waves:
+        some = F.col("scene_id").isin([n for n in names if n is not None])
+        yield indices.filter(some | F.col("scene_id").isNull() if None in names else some)
+
+
 def _kept(regions: DataFrame) -> DataFrame:
     """The regions written to the shared folder: they are read several times, and shaping them is long."""
     return keep(regions.repartition(regions.sparkSession.sparkContext.defaultParallelism), "regions")

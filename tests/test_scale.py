@@ -192,3 +192,35 @@ def test_both_writes_are_of_features_built_once(spark, tmp_path, monkeypatch):
     assert tables.zonal_write(spark, small_tables(spark, tmp_path)).count() > 0
     assert len(written) == 2
     assert all("Exchange" not in p and "Join" not in p for p in written)
+
+
+def test_scenes_are_built_some_at_a_time(spark):
+    """Each wave has whole scenes and leaves no shuffle files to the next; the rows are those of one build."""
+    regions = R.corridor_regions(same_lines(spark, 1), 100.0, None).withColumn("epsg", F.lit(32610))
+    pixels = spark.range(2000).selectExpr(
+        "CASE WHEN id % 10 < 4 THEN 's1' WHEN id % 10 < 9 THEN concat('s', id % 10) END AS scene_id", "32610 AS epsg",
+        "600000D + 30 * (id div 10 % 20) AS x", "4499500D - 30 * (id div 200) AS y", "id * 1D AS ndvi", "id * 2D AS nbr", "id * 3D AS ndwi",
+    )
+    waves, left, before = [], [], shuffle_files(spark)
+
+    def build(some):
+        left.append(left_behind(spark, before))
+        waves.append({r["scene_id"]: r["count"] for r in some.groupBy("scene_id").count().collect()})
+        return RF.build_region_features(some, regions, geometry=False)
+
+    found = RF.features_by_scenes(pixels, build, most_pixels=800)
+    assert sorted(sum(w.values()) for w in waves) == [600, 600, 800]
+    assert sorted(str(name) for w in waves for name in w) == ["None", "s1", "s4", "s5", "s6", "s7", "s8"]
+    assert left == [set()] * 3
+    whole = RF.build_region_features(pixels, regions, geometry=False)
+    assert found.columns == whole.columns and found.count() == whole.count() == 7
+    rounded = lambda df: {tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect()}
+    assert rounded(found) == rounded(whole)
+
+
+def test_few_or_no_pixels_are_one_wave(spark):
+    rows, calls = spark.range(10).selectExpr("'s' AS scene_id", "id AS v"), []
+    for some in (rows, rows.filter("v < 0")):
+        kept = RF.features_by_scenes(some, lambda df: (calls.append(df), df)[1])
+        assert kept.exceptAll(some).count() == 0 and kept.count() == some.count()
+        assert calls.pop() is some and not calls
